@@ -6,12 +6,27 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarn.operators.nearby import within_radius
 from tarn.operators.packed import explode_packed
+from tarn.operators.spikes import implausible
+from tarn.operators.stays import segments
 from tarn.operators.timestamps import normalise_fields
 from tarn.session import table
 
 RADIUS_M = 300.0
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    stays = segments(table(spark, folder, "trkpt")).where("kind = 'stay'")
+    return stays.select("gpx_path", F.floor((F.col("start_s") + F.col("end_s")) / 2 / 1800).alias("stop_slot")).distinct()
+
+
+def p2_segments(spark: SparkSession, folder: str) -> DataFrame:
+    return segments(table(spark, folder, "trkpt"))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return implausible(table(spark, folder, "trkpt"), table(spark, folder, "summit_candidate_detection_baseline_summary")).distinct()
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     links = table(spark, folder, "gpx_yamap_activity_link_candidates")
     return normalise_fields(links, "link_id", {"gpx_filename_timestamp": "Asia/Tokyo", "gpx_first_time_utc": "UTC"}, {"yamap_date": "Asia/Tokyo"})
@@ -29,7 +44,7 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("region").alias("mountain_no"), "summit_candidate_id").distinct()
 
 
-QUERIES = {"p4_found": p4_found, "p6_found": p6_found, "p7_found": p7_found}
+QUERIES = {f.__name__: f for f in (p2_found, p2_segments, p4_found, p5_found, p6_found, p7_found)}
 
 ORACLES = {
     "p7_found": """
