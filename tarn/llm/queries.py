@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tarn.llm.canonical import blocks_of, resolve_names
+from tarn.llm.fillers import filler
+from tarn.llm.leakage import leaks
 from tarn.llm.matching import kilometres, linked, minutes, tokens_of
+from tarn.llm.tokenizer import encoded
 from tarn.operators.timestamps import normalised
 from tarn.session import table
 
@@ -31,7 +34,8 @@ def p1_pairs(spark: SparkSession, folder: str) -> DataFrame:
         F.col("gpx_distance_km").alias("km"), F.col("gpx_duration_min").cast("double").alias("minutes"),
     )
     diary = once("unlinked_activity", "yamap_title", "yamap_date", "yamap_distance", "yamap_time")
-    right = diary.select(F.col("link_id").alias("id"), tokens_of(F.col("yamap_title"), blocks).alias("t"), _day(F.col("yamap_date")).alias("day"), kilometres(F.col("yamap_distance")).alias("km"), minutes(F.col("yamap_time")).alias("minutes"))
+    written = F.nullif(F.regexp_extract("yamap_title", r"[0-9]{4}[-./][0-9]{1,2}[-./][0-9]{1,2}", 0), F.lit(""))
+    right = diary.select(F.col("link_id").alias("id"), tokens_of(F.col("yamap_title"), blocks).alias("t"), F.coalesce(_day(F.col("yamap_date")), _day(written)).alias("day"), kilometres(F.col("yamap_distance")).alias("km"), minutes(F.col("yamap_time")).alias("minutes"))
     flat = lambda df: df.select("id", "t.tokens", "t.named", "day", "km", "minutes")
     return linked(flat(left), flat(right))
 
@@ -47,5 +51,21 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("link_id", F.col("number").alias("mountain_no")).distinct()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_pairs, p3_found)}
+def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return encoded(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "heldout_items"), "item_id", "text")
+
+
+def p10_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return filler(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p10_shares(spark, folder).select("doc_id").distinct()
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_pairs, p3_found, p8_ids, p9_found, p10_found, p10_shares)}
 ORACLES: dict[str, str] = {}
