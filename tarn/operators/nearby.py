@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tarn.functions.geo import EARTH_M, finite, haversine_m, haversine_np
-from tarn.session import cut_lineage, is_small
+from tarn.session import cut_lineage, is_small, scatter
 
 COVER = "level int, cell bigint, interior boolean"
 #: Rows of a cover that may be broadcast (about 40 bytes each); a larger one is joined by shuffle, with salt.
@@ -74,7 +74,7 @@ def _covered(df: DataFrame, schema: str, cells_of: Callable[[tuple], list]) -> D
             rows = [(*row, *cell) for row in batch.itertuples(index=False) for cell in cells_of(row)]
             yield pd.DataFrame(rows, columns=[*batch.columns, "level", "cell", "interior"])
 
-    return cut_lineage(df.mapInPandas(run, f"{schema}, {COVER}"))
+    return cut_lineage(scatter(df).mapInPandas(run, f"{schema}, {COVER}"))
 
 
 def cover_discs(regions: DataFrame, radius_m: float, depth: int = 4) -> DataFrame:

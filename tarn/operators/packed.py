@@ -8,6 +8,8 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tarn.session import scatter
+
 #: Quotes and brackets with their closing marks, characters that stay inside an item.
 QUOTES = {'"': '"', "“": "”", "„": "”", "「": "」", "『": "』", "«": "»", "＂": "＂", "'": "'", "‘": "’"}
 BRACKETS = {"(": ")", "[": "]", "{": "}", "（": "）", "［": "］", "｛": "｝", "【": "】", "〔": "〕", "〈": "〉", "《": "》", "〖": "〗", "<": ">", "＜": "＞"}
@@ -143,5 +145,5 @@ def explode_packed(df: DataFrame, key: str, field: str) -> DataFrame:
     columns, also ones named like those of the result, are not read.
     """
     rows = df.select(F.col(key).cast("bigint").alias("row_id"), F.col(field).alias("_value")).where("row_id is not null and _value is not null").distinct()
-    exploded = rows.select("row_id", F.posexplode(items_of(F.col("_value"))).alias("_pos", "item"))
+    exploded = scatter(rows).select("row_id", F.posexplode(items_of(F.col("_value"))).alias("_pos", "item"))
     return exploded.select(F.lit(field).alias("field_name"), "row_id", (F.col("_pos") + 1).cast("int").alias("item_pos"), "item").distinct()

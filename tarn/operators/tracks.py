@@ -25,15 +25,15 @@ def seconds_of(time: Column) -> Column:
     return F.trim(time).try_cast("timestamp").cast("double")
 
 
-def with_slab(df: DataFrame, key: str, second: str, halo_s: float) -> DataFrame:
-    """df with slab and halo: slab 0 for ordinary tracks; hot ones are cut, rows near an edge also go to the next slab as halo.
+def with_slab(df: DataFrame, key: str, second: str, halo_s: float) -> tuple[DataFrame, bool]:
+    """(df with slab and halo, whether any track is cut): slab 0 for ordinary tracks; hot ones are cut, rows near an edge also go to the next slab as halo.
 
     Rows of a hot track without a time go to slab 0.
     """
     hot = df.groupBy(key).count().where(F.col("count") > HOT_FIXES).select(key)
     named = [r[0] for r in hot.limit(LISTED + 1).collect()]
     if not named:
-        return df.withColumns({"slab": F.lit(0).cast("bigint"), "halo": F.lit(False)})
+        return df.withColumns({"slab": F.lit(0).cast("bigint"), "halo": F.lit(False)}), False
     if len(named) > LISTED:
         df = df.join(hot.withColumn("_hot", F.lit(True)), key, "left")
     else:
@@ -43,7 +43,7 @@ def with_slab(df: DataFrame, key: str, second: str, halo_s: float) -> DataFrame:
     slabs = F.array_distinct(F.array(slab(at), slab(at - halo_s), slab(at + halo_s)))
     own = F.when(F.col("_hot") & at.isNotNull(), slabs).otherwise(F.array(F.lit(0).cast("bigint")))
     rows = df.withColumn("slab", F.explode(own))
-    return rows.withColumn("halo", F.coalesce(F.col("_hot") & (F.col("slab") != slab(at)), F.lit(False))).drop("_hot")
+    return rows.withColumn("halo", F.coalesce(F.col("_hot") & (F.col("slab") != slab(at)), F.lit(False))).drop("_hot"), True
 
 
 def in_track_order(df: DataFrame, *keys: str, order: tuple[str, ...]) -> DataFrame:

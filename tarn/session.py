@@ -48,3 +48,18 @@ def is_small(df: DataFrame, max_rows: int) -> bool:
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """df marked for broadcast if it has at most max_rows rows, else df for a shuffle join."""
     return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def tasks(spark: SparkSession, per_core: int = 4) -> int:
+    return per_core * spark.sparkContext.defaultParallelism
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a scan in enough partitions for costly work by row; inputs with many splits stay as they are."""
+    wanted = tasks(scan.sparkSession)
+    return scan if scan.rdd.getNumPartitions() >= wanted else scan.repartition(wanted)
+
+
+def scatter(df: DataFrame) -> DataFrame:
+    """Rows of a result of few bytes, which would else be put into few partitions, spread for costly work by row."""
+    return df.repartition(tasks(df.sparkSession))
