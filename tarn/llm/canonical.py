@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tarn.llm.spelling import fold, hiragana, latin, romaji
 from tarn.operators.packed import tokenize
+from tarn.session import spread
 
 #: Endings for kinds of mountains with their readings, words that typists add to a name.
 ENDINGS = {"山": "やま", "森": "もり", "峰": "みね", "岳": "だけ", "塚": "つか", "丸": "まる"}
@@ -239,7 +240,7 @@ def resolve_names(df: DataFrame, key: str, text: str, blocks: list[list[tuple]])
     the district in the text and gives all of them if the text has none; an item as close to several names gives none.
     Texts of any length are read whole. An empty list gives 0 for every text.
     """
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text")).where("key is not null and text is not null")
+    rows = spread(df.select(F.col(key).alias("key"), F.col(text).alias("text")).where("key is not null and text is not null"))
     kind = dict(rows.dtypes)["key"]
 
     def run(block: list[tuple]):

@@ -10,7 +10,7 @@ from tarn.llm.leakage import leaks
 from tarn.llm.matching import kilometres, linked, minutes, tokens_of
 from tarn.llm.tokenizer import encoded
 from tarn.operators.timestamps import normalised
-from tarn.session import table
+from tarn.session import scatter, table
 
 
 def _mountains(spark: SparkSession, folder: str) -> list[list[tuple]]:
@@ -26,7 +26,7 @@ def _day(text: Column) -> Column:
 def p1_pairs(spark: SparkSession, folder: str) -> DataFrame:
     links = table(spark, folder, "gpx_yamap_activity_link_candidates").where("link_id is not null")
     blocks = _mountains(spark, folder)
-    once = lambda status, *columns: links.where(F.col("match_status") == status).select("link_id", *columns).dropDuplicates(["link_id"])
+    once = lambda status, *columns: scatter(links.where(F.col("match_status") == status).select("link_id", *columns).dropDuplicates(["link_id"]))
     gpx = once("no_candidate", "gpx_track_name", "gpx_first_time_jst", "gpx_first_time_utc", "gpx_filename_timestamp", "gpx_distance_km", "gpx_duration_min")
     utc = normalised(F.col("gpx_first_time_utc"), "UTC")
     left = gpx.select(
