@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from tarn.plans import problems
+from tarn.plans import problems, reference
 
 
 def queries() -> dict:
-    return {**problems.QUERIES}
+    return {**problems.QUERIES, **reference.QUERIES}
 
 
 def oracles() -> dict[str, str]:
-    return {**problems.ORACLES}
+    return {**problems.ORACLES, **reference.ORACLES}
