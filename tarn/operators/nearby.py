@@ -130,9 +130,11 @@ def match_points(points: DataFrame, cover: DataFrame, exact: Column) -> DataFram
 
     exact is the test for points in boundary cells, over columns of points and of the cover. Points without finite
     coordinates match nothing. One point is one row for each region that holds it, as often as it stands in points; cells
-    don't overlap within a region. The cover is broadcast if its counted rows are few; else both sides are shuffled by
+    don't overlap within a region. Columns of points that are named like some of the cover get the prefix p_. The cover is broadcast if its counted rows are few; else both sides are shuffled by
     cell, points salted, the cover copied to each salt, so that a cell with a third of all points is spread.
     """
+    for clash in {"region", "rings", "level", "cell", "interior", "r_lat", "r_lon"} & {*points.columns}:
+        points = points.withColumnRenamed(clash, f"p_{clash}")
     levels = sorted(r[0] for r in cover.select("level").distinct().collect())  # at most 60 values
     rows = points.where(finite(F.col("lat")) & finite(F.col("lon")))
     if not levels:

@@ -189,5 +189,5 @@ def normalise_fields(df: DataFrame, key: str, instants: dict[str, str], dates: d
     give no row, repeated rows one; an empty table gives an empty result. Columns beside those named are not read.
     """
     forms = [F.struct(F.lit(c).alias("field_name"), normalised(F.col(c), zone, as_date).alias("value_norm")) for group, as_date in ((instants, False), (dates, True)) for c, zone in group.items()]
-    rows = spread(df.select(key, *instants, *dates)).select(F.col(key), F.explode(F.array(*forms)).alias("x")).select(key, "x.field_name", "x.value_norm")
+    rows = spread(df.select(key, *instants, *dates)).select(F.col(key), F.explode(F.array(*forms)).alias("_form")).select(key, "_form.field_name", "_form.value_norm")
     return rows.where(F.col("value_norm").isNotNull() & F.col(key).isNotNull()).distinct()
