@@ -217,7 +217,9 @@ class NameList:
 
     @staticmethod
     def _meant(options: list[tuple[int, str]], text: str) -> list[tuple[int, str]]:
-        return [o for o in options if o[1] and (o[1] in text or (len(o[1]) > 2 and o[1][:-1] in text))]
+        """Entries whose district stands in the folded text, with or without its ending (one of a single character as a remark)."""
+        remarks = REMARK.findall(text)
+        return [o for o in options if o[1] and (o[1] in text or (len(o[1]) > 2 and o[1][:-1] in text) or o[1][:-1] in remarks)]
 
 
 def blocks_of(names: DataFrame, number: str, name: str, reading: str, district: str) -> Iterator[list[tuple]]:
