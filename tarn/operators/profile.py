@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tarn.functions.geo import haversine_m
+from tarn.session import tasks
 
 
 def once(df: DataFrame, *key: str) -> DataFrame:
@@ -16,10 +17,16 @@ def once(df: DataFrame, *key: str) -> DataFrame:
     return df.dropDuplicates(list(key))
 
 
+def by_track(points: DataFrame, track: str) -> DataFrame:
+    """Points shuffled once by track, into a number of partitions that is not cut down for few bytes: the folds cost more than bytes tell."""
+    spark = points.sparkSession
+    return points.repartition(max(tasks(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))), track)
+
+
 def valid_points(points: DataFrame, track: str, order: list[str], value: str) -> DataFrame:
     """Points with a value (neither null nor NaN), with their index i from 0 and their number n in the track."""
     per = Window.partitionBy(track)
-    known = points.where(F.col(value).isNotNull() & ~F.isnan(value))
+    known = by_track(points.where(F.col(value).isNotNull() & ~F.isnan(value)), track)
     return known.withColumns({"i": F.row_number().over(per.orderBy(*order)) - 1, "n": F.count("*").over(per)})
 
 
@@ -29,8 +36,8 @@ def smoothed(points: DataFrame, track: str, value: str, window: int) -> DataFram
     return points.withColumn("s", F.avg(value).over(Window.partitionBy(track).orderBy("i").rowsBetween(-half, half)))
 
 
-def maxima(points: DataFrame, track: str, radius: int) -> DataFrame:
-    """Points that are strict maxima of s within min(radius, n // 3) to both sides, and each track's first highest point.
+def with_maxima(points: DataFrame, track: str, radius: int) -> DataFrame:
+    """All points, with peak: strict maxima of s within min(radius, n // 3) to both sides, and each track's first highest point.
 
     Plateaus are no maxima; the highest point is added unless a maximum lies within the radius. Tracks of fewer than three
     points have none.
@@ -38,30 +45,35 @@ def maxima(points: DataFrame, track: str, radius: int) -> DataFrame:
     per = Window.partitionBy(track)
     along = per.orderBy("i")
     r = F.least(F.lit(radius), F.floor(F.col("n") / 3)).cast("int")
-    before, after = F.collect_list("s").over(along.rowsBetween(-radius, -1)), F.collect_list("s").over(along.rowsBetween(1, radius))
-    rows = points.where("n >= 3").withColumns({"r": r, "_b": before, "_a": after})
-    left = F.array_max(F.slice("_b", F.greatest(F.size("_b") - F.col("r") + 1, F.lit(1)), F.col("r")))
-    right = F.array_max(F.slice("_a", F.lit(1), F.col("r")))
+    rows = points.where("n >= 3").withColumn("r", r)
+    beside = lambda shift: F.greatest(F.lit(float("-inf")), *(F.when(F.col("r") >= j, shift("s", j).over(along)) for j in range(1, radius + 1)))
+    left, right = beside(F.lag), beside(F.lead)
     inner = (F.col("i") >= F.col("r")) & (F.col("i") < F.col("n") - F.col("r"))
     rows = rows.withColumn("_max", F.coalesce(inner & (F.col("s") > left) & (F.col("s") > right), F.lit(False)))
     rows = rows.withColumn("_top", F.min_by("i", F.struct(-F.col("s"), F.col("i"))).over(per))
     near = F.max(F.when(F.col("_max") & (F.abs(F.col("i") - F.col("_top")) < F.col("r")), 1).otherwise(0)).over(per)
-    return rows.withColumn("_near", near).where("_max or (i = _top and _near = 0)").drop("_b", "_a", "_max", "_top", "_near")
+    return rows.withColumn("_near", near).withColumn("peak", F.expr("_max or (i = _top and _near = 0)")).drop("_max", "_top", "_near", "r")
 
 
-def with_prominence(peaks: DataFrame, points: DataFrame, track: str) -> DataFrame:
-    """With prominence: s less the higher of the lowest s to either side, up to a strictly higher point; an end is a wall."""
-    array = F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda p: p["s"])
-    tracks = points.join(peaks.select(track).distinct(), track, "left_semi").groupBy(track).agg(array.alias("_s"))
+def peaks_with_prominence(points: DataFrame, track: str) -> DataFrame:
+    """Peaks of with_maxima with prominence: s less the higher of the lowest s to either side, up to a strictly higher point.
 
-    def lowest(values: Column) -> Column:
-        start = F.struct(F.col("s").alias("low"), F.lit(False).alias("stop"))
-        step = lambda a, v: F.struct(F.when(a["stop"] | (v > F.col("s")), a["low"]).otherwise(F.least(a["low"], v)).alias("low"), (a["stop"] | (v > F.col("s"))).alias("stop"))
-        return F.aggregate(values, start, step, lambda a: a["low"])
+    The end of a track is a wall. One array per track holds all s and what belongs to peaks, so nothing is computed twice.
+    """
+    rest = [c for c in points.columns if c not in (track, "i", "s", "peak")]
+    entry = F.struct("i", "s", F.when(F.col("peak"), F.struct(F.lit(True).alias("_"), *rest)).alias("p"))
+    tracks = points.groupBy(track).agg(F.array_sort(F.collect_list(entry)).alias("_all"), F.max("peak").alias("_any")).where("_any")
+    peaks = tracks.select(track, F.transform("_all", lambda x: x["s"]).alias("_s"), F.explode(F.filter("_all", lambda x: x["p"].isNotNull())).alias("_k"))
+    peaks = peaks.select(track, "_s", "_k.i", "_k.s", *(F.col("_k.p")[c].alias(c) for c in rest))
+    higher = lambda values: F.transform(values, lambda v, k: F.when(v > F.col("s"), k))
+    before, after = F.slice("_s", F.lit(1), F.col("i")), F.slice("_s", F.col("i") + 2, F.greatest(F.size("_s") - F.col("i") - 1, F.lit(0)))
+    joined = peaks.withColumns({"_b": before, "_a": after})
+    wall = F.coalesce(F.array_max(higher(F.col("_b"))), F.lit(-1))
+    left = F.array_min(F.slice("_b", wall + 2, F.greatest(F.size("_b") - wall - 1, F.lit(0))))
+    right = F.array_min(F.slice("_a", F.lit(1), F.coalesce(F.array_min(higher(F.col("_a"))), F.size("_a"))))
+    low = F.greatest(F.least(F.col("s"), left), F.least(F.col("s"), right))  # least passes over the null of an empty side
+    return joined.withColumn("prominence", F.col("s") - low).drop("_s", "_b", "_a")
 
-    left = lowest(F.reverse(F.slice("_s", F.lit(1), F.col("i"))))
-    right = lowest(F.slice("_s", F.col("i") + 2, F.greatest(F.size("_s") - F.col("i") - 1, F.lit(0))))
-    return peaks.join(tracks, track).withColumn("prominence", F.col("s") - F.greatest(left, right)).drop("_s")
 
 
 def merged_peaks(peaks: DataFrame, keys: list[str], value: str, distance_m: Column | float) -> DataFrame:
@@ -78,7 +90,7 @@ def merged_peaks(peaks: DataFrame, keys: list[str], value: str, distance_m: Colu
 def detect_peaks(points: DataFrame, track: str, order: list[str], value: str, window: int = 5, radius: int = 10, prominence: float = 30, merge_m: float = 100) -> DataFrame:
     """Peaks of tracks: smoothing, maxima, prominence and merging in turn. points: track, order columns, value, lat, lon."""
     rows = smoothed(valid_points(points, track, order, value), track, value, window)
-    peaks = with_prominence(maxima(rows, track, radius), rows, track).where(F.col("prominence") >= prominence)
+    peaks = peaks_with_prominence(with_maxima(rows, track, radius), track).where(F.col("prominence") >= prominence)
     return merged_peaks(peaks, [track], value, merge_m)
 
 
@@ -93,7 +105,7 @@ def sweep(points: DataFrame, track: str, order: list[str], value: str, variants=
     parts = []
     for window, radius in dict.fromkeys((v[1], v[2]) for v in variants):
         rows = smoothed(valid, track, value, window)
-        peaks = with_prominence(maxima(rows, track, radius), rows, track)
+        peaks = peaks_with_prominence(with_maxima(rows, track, radius), track)
         own = [v for v in variants if v[1:3] == (window, radius)]
         each = F.array(*(F.struct(F.lit(v[0]).alias("variant_id"), F.lit(v[3]).alias("p"), F.lit(v[4]).alias("d")) for v in own))
         tried = peaks.withColumn("_v", F.explode(each)).where(F.col("prominence") >= F.col("_v.p")).select(track, "i", value, "lat", "lon", "_v.variant_id", F.col("_v.d").alias("d"))

@@ -48,7 +48,7 @@ def profile_smoothed(spark: SparkSession, folder: str) -> DataFrame:
 
 def _raw_peaks(spark: SparkSession, folder: str) -> DataFrame:
     rows = profile.smoothed(profile.valid_points(_points(spark, folder), "gpx_path", POINT, "ele"), "gpx_path", "ele", 5)
-    return profile.with_prominence(profile.maxima(rows, "gpx_path", 10), rows, "gpx_path")
+    return profile.peaks_with_prominence(profile.with_maxima(rows, "gpx_path", 10), "gpx_path")
 
 
 def peaks_raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -211,9 +211,10 @@ def fill_numbers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def place_nearest(spark: SparkSession, folder: str) -> DataFrame:
-    near = within_radius(_candidates(spark, folder).select(F.col("summit_candidate_id").alias("region"), "lat", "lon"), _mountains(spark, folder).select("mountain_no", F.col("m_lat").alias("lat"), F.col("m_lon").alias("lon")), 1000.0)
+    places = _mountains(spark, folder).select(F.col("mountain_no").alias("region"), F.col("m_lat").alias("lat"), F.col("m_lon").alias("lon"))
+    near = within_radius(places, _candidates(spark, folder).select("summit_candidate_id", "lat", "lon"), 1000.0)
     d = haversine_m(F.col("r_lat"), F.col("r_lon"), F.col("p_lat"), F.col("p_lon"))
-    return near.withColumn("d", d).groupBy(F.col("region").alias("summit_candidate_id")).agg(F.min_by("mountain_no", F.struct("d", "mountain_no")).alias("nearest"), F.round(F.min("d"), 3).alias("distance_m"), F.count("*").alias("near"))
+    return near.withColumn("d", d).groupBy("summit_candidate_id").agg(F.min_by("region", F.struct("d", "region")).alias("nearest"), F.round(F.min("d"), 3).alias("distance_m"), F.count("*").alias("near"))
 
 
 def place_nearest_trackpoint(spark: SparkSession, folder: str) -> DataFrame:
