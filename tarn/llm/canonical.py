@@ -57,26 +57,41 @@ class Trie:
     def search(self, text: str, edits: int) -> dict[int, int]:
         """Entry to distance, of all entries with a form within edits of text (and within the form's own limit)."""
         found: dict[int, int] = {}
-        first = list(range(len(text) + 1))
-        stack = [(self.root, first, None, "")]
-        n = len(text)
+        n, far = len(text), edits + 1
+        stack = [(self.root, [j if j <= edits else far for j in range(n + 1)], None, "", 1)]
         while stack:
-            node, row, before, last = stack.pop()
+            node, row, before, last, depth = stack.pop()
+            low, high = max(1, depth - edits), min(n, depth + edits)  # further from the diagonal no distance is within edits
             for c, child in node.items():
                 if not c:
                     continue
-                new = [row[0] + 1]
-                for j in range(1, n + 1):
-                    d = row[j - 1] if text[j - 1] == c else 1 + min(row[j - 1], row[j], new[j - 1])
+                new = [far] * (n + 1)
+                if depth <= edits:
+                    new[0] = depth
+                least = new[0]
+                for j in range(low, high + 1):
+                    if text[j - 1] == c:
+                        d = row[j - 1]
+                    else:
+                        d = row[j - 1]
+                        if row[j] < d:
+                            d = row[j]
+                        if new[j - 1] < d:
+                            d = new[j - 1]
+                        d += 1
                     if before is not None and j > 1 and text[j - 1] == last and text[j - 2] == c and before[j - 2] + 1 < d:
                         d = before[j - 2] + 1
-                    new.append(d)
+                    if d <= edits:
+                        new[j] = d
+                        if d < least:
+                            least = d
+                if least > edits:
+                    continue
                 if "" in child and new[n] <= edits:
                     for entry, limit in child[""].items():
                         if new[n] <= limit and new[n] < found.get(entry, 99):
                             found[entry] = new[n]
-                if min(new) <= edits:
-                    stack.append((child, new, row, c))
+                stack.append((child, new, row, c, depth + 1))
         return found
 
     def exact(self, text: str) -> dict[int, int]:
@@ -105,11 +120,16 @@ class Trie:
         return out
 
 
+def _script(form: str) -> str:
+    """The trie a form belongs to: a name has forms in each script, and a typed name is in one."""
+    return "kanji" if KANJI.search(form) else "latin" if form.isascii() else "kana"
+
+
 class NameList:
     """A reference list (number, name, reading, district) with the search for the names that a text holds."""
 
     def __init__(self, rows: list[tuple]) -> None:
-        self.trie = Trie()
+        self.tries = {script: Trie() for script in ("kanji", "kana", "latin")}
         entries: dict[str, int] = {}
         self.numbers: list[list[tuple[int, str]]] = []
         for number, name, reading, district in sorted(rows, key=lambda r: r[0]):
@@ -124,7 +144,10 @@ class NameList:
             self._add(name, reading, entry)
 
     def _add(self, name: str, reading: str | None, entry: int) -> None:
-        add = self.trie.add
+
+        def add(form: str, entry: int, edits: int) -> None:
+            self.tries[_script(form)].add(form, entry, edits)
+
         add(name, entry, allowed(name))
         if name[-1] in ENDINGS and len(name) > 2:
             stem = name[:-1]
@@ -184,16 +207,16 @@ class NameList:
             elif re.search("[a-z]", core):
                 keyed.append(latin(core))
         for key in keyed:
-            if found := self.trie.exact(key):
+            if found := self.tries[_script(key)].exact(key):
                 return tuple(found), 0
         for key in keyed[:1]:
-            if (edits := allowed(key)) and (found := self.trie.search(key, edits)):
+            if (edits := allowed(key)) and (found := self.tries[_script(key)].search(key, edits)):
                 least = min(found.values())
                 best = tuple(e for e, d in found.items() if d == least)
                 if len(best) == 1:
                     return best, least
         for key in keyed[-1:]:
-            if found := self.trie.within(key):
+            if found := self.tries[_script(key)].within(key):
                 return tuple(dict.fromkeys(e for _, _, es in found for e in es)), 0
         return (), 0
 
