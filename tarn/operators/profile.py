@@ -6,6 +6,9 @@ that has a peak, so a track must fit a row (a few thousand fixes; a million are
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tarn.functions.geo import haversine_m
@@ -135,13 +138,17 @@ def around_nearest(points: DataFrame, anchors: DataFrame, track: str, max_m: flo
     """Nearest point of the own track to each anchor (anchor, track, a_lat, a_lon), and how much of a peak it is.
 
     peak_like is one less the share of the local height range (points of the same segment within steps and reach_m) that lies
-    above it; one if the range is nothing. points: track, seg_idx, pt_idx, lat, lon, ele. Anchors farther than max_m from
-    their track give no row.
+    above it; one if the range is nothing. points: track, seg_idx, pt_idx, lat, lon, ele, and trk_idx where a file holds
+    several tracks, all of which are searched; equal distances go to the first in document order. Anchors farther than max_m
+    from their file give no row.
     """
+    part = [c for c in ("trk_idx", "seg_idx") if c in points.columns]
+    at = [*part, "pt_idx"]
     pairs = points.join(anchors, track).withColumn("d", haversine_m(F.col("a_lat"), F.col("a_lon"), F.col("lat"), F.col("lon")))
-    best = pairs.groupBy("anchor", track).agg(F.min_by(F.struct("seg_idx", "pt_idx", "lat", "lon", "ele", "d"), F.struct("d", "seg_idx", "pt_idx")).alias("b")).where(F.col("b.d") <= max_m)
-    near = points.alias("q").join(best.alias("k"), track).where((F.col("q.seg_idx") == F.col("b.seg_idx")) & (F.abs(F.col("q.pt_idx") - F.col("b.pt_idx")) <= steps))
+    best = pairs.groupBy("anchor", track).agg(F.min_by(F.struct(*at, "lat", "lon", "ele", "d"), F.struct("d", *at)).alias("b")).where(F.col("b.d") <= max_m)
+    same = reduce(and_, (F.col(f"q.{c}") == F.col(f"b.{c}") for c in part))
+    near = points.alias("q").join(best.alias("k"), track).where(same & (F.abs(F.col("q.pt_idx") - F.col("b.pt_idx")) <= steps))
     near = near.where(haversine_m(F.col("q.lat"), F.col("q.lon"), F.col("b.lat"), F.col("b.lon")) <= reach_m)
     local = near.groupBy("anchor", track, "b").agg(F.count("*").alias("points"), F.max("q.ele").alias("high"), F.min("q.ele").alias("low"))
     like = F.when(F.col("high") > F.col("low"), 1 - (F.col("high") - F.col("b.ele")) / (F.col("high") - F.col("low"))).otherwise(1.0)
-    return local.select("anchor", track, F.col("b.seg_idx").alias("seg_idx"), F.col("b.pt_idx").alias("pt_idx"), F.col("b.d").alias("distance_m"), "points", (F.col("high") - F.col("low")).alias("local_range"), F.least(F.greatest(like, F.lit(0.0)), F.lit(1.0)).alias("peak_like"))
+    return local.select("anchor", track, *(F.col(f"b.{c}").alias(c) for c in at), F.col("b.d").alias("distance_m"), "points", (F.col("high") - F.col("low")).alias("local_range"), F.least(F.greatest(like, F.lit(0.0)), F.lit(1.0)).alias("peak_like"))

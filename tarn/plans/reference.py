@@ -66,7 +66,7 @@ def peaks_sensitivity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def peaks_near_anchors(spark: SparkSession, folder: str) -> DataFrame:
-    points = _points(spark, folder).where(finite(F.col("lat")) & finite(F.col("lon")) & finite(F.col("ele")) & (F.col("trk_idx") == 0))
+    points = _points(spark, folder).where(finite(F.col("lat")) & finite(F.col("lon")) & finite(F.col("ele")))
     anchors = _candidates(spark, folder).where("lat is not null and lon is not null").select(F.col("summit_candidate_id").alias("anchor"), F.col("source_gpx_path").alias("gpx_path"), F.col("lat").alias("a_lat"), F.col("lon").alias("a_lon"))
     found = profile.around_nearest(points, anchors, "gpx_path")
     return found.withColumns({c: F.round(c, 4) for c in ("distance_m", "local_range", "peak_like")})

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tarn.functions.geo import haversine_np
 from tarn.functions import text
 from tarn.operators import areas, linkage, profile, quality, ranking, summary
+from tarn.plans import reference
 
 
 def rows(df):
@@ -186,6 +187,34 @@ def test_around_nearest(spark):
     assert [(r.anchor, r.pt_idx, r.points, r.peak_like) for r in found] == [("p", 3, 6, 1.0)]
 
 
+def test_around_nearest_of_two_tracks_against_brute_force(spark):
+    rng = np.random.default_rng(5)
+    fixes = [("t", trk, seg, i, 33 + trk * 0.01 + i * 2e-4, 132 + seg * 1e-4, float(rng.integers(100, 200))) for trk in (0, 1) for seg in (0, 1) for i in range(30)]
+    fixes += [("t", 2, 0, i, 33 + i * 2e-4, 132.0, 50.0) for i in range(30)]  # a copy of the first track's course: equal distances
+    anchors = [(f"a{k}", "t", 33 + float(rng.uniform(0, 0.016)), 132 + float(rng.uniform(-1e-3, 1e-3))) for k in range(20)] + [("far", "t", 35.0, 132.0)]
+    want = []
+    for name, track, lat, lon in anchors:
+        d, trk, seg, pt = min((float(haversine_np(lat, lon, f[4], f[5])), *f[1:4]) for f in fixes)
+        if d > 300:
+            continue
+        own = next(f for f in fixes if f[1:4] == (trk, seg, pt))
+        ele = [f[6] for f in fixes if f[1:3] == (trk, seg) and abs(f[3] - pt) <= 10 and haversine_np(f[4], f[5], own[4], own[5]) <= 100]
+        wide = max(ele) - min(ele)
+        want.append((name, track, trk, seg, pt, round(d, 4), len(ele), wide, round(1 - (max(ele) - own[6]) / wide if wide else 1.0, 6)))
+    points = spark.createDataFrame(fixes, "gpx_path string, trk_idx int, seg_idx int, pt_idx int, lat double, lon double, ele double")
+    found = profile.around_nearest(points, spark.createDataFrame(anchors, "anchor string, gpx_path string, a_lat double, a_lon double"), "gpx_path")
+    assert rows(found.withColumns({"distance_m": F.round("distance_m", 4), "peak_like": F.round("peak_like", 6)})) == sorted(want, key=str)
+    assert {w[2] for w in want} == {0, 1}
+
+
+def test_the_query_near_anchors_takes_all_tracks(spark, tmp_path):
+    point = [("t", trk, 0, i, 33 + trk * 0.1 + i * 1e-4, 132.0, 100.0 + i, None) for trk in (0, 1) for i in range(5)]
+    spark.createDataFrame(point, "gpx_path string, trk_idx int, seg_idx int, pt_idx int, lat double, lon double, ele double, time string").write.parquet(f"{tmp_path}/trkpt.parquet")
+    anchor = [("s", "t", 33.1002, 132.0, None, None)]
+    spark.createDataFrame(anchor, "summit_candidate_id string, source_gpx_path string, lat double, lon double, ele_m double, track_name string").write.parquet(f"{tmp_path}/summit_candidates.parquet")
+    assert [(r.anchor, r.trk_idx, r.pt_idx) for r in reference.peaks_near_anchors(spark, str(tmp_path)).collect()] == [("s", 1, 2)]
+
+
 def test_last_wins(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", None)], "k int, v string, o int")
     assert rows(linkage.last_wins(df, "k", "o").select("k", "v")) == [(1, "b"), (2, "c")]
