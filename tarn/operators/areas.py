@@ -43,13 +43,16 @@ def adjacent(regions: DataFrame) -> DataFrame:
 def boundary_distance(points: DataFrame, regions: DataFrame, key: str, near_m: float) -> DataFrame:
     """(key, region, distance_m) of points within near_m of a region's boundary: grid cells join points and sides.
 
-    Distances are planar at the point's latitude. A side is put into every cell of its box, grown by near_m.
+    Distances are planar at the point's latitude. Cells lie in bands of latitude and are so much wider in degrees as the band is
+    nearer to a pole, so that none is narrower than near_m. A side is put into every cell of its box, grown by one cell.
     """
     size = max(near_m, 200.0) / 90_000.0
-    cell = lambda v: F.floor(v / size)
-    span = lambda a, b: F.sequence(cell(F.least(a, b) - size), cell(F.greatest(a, b) + size))
-    sides = edges(regions).withColumn("cx", F.explode(span(F.col("x1"), F.col("x2")))).withColumn("cy", F.explode(span(F.col("y1"), F.col("y2"))))
-    placed = points.withColumns({"cx": cell(F.col("lon")), "cy": cell(F.col("lat"))})
+    band = lambda v: F.floor(v / size)
+    width = size / F.greatest(F.cos(F.radians(F.greatest(F.abs(F.col("cy") * size), F.abs((F.col("cy") + 1) * size)))), F.lit(1e-6))
+    cell = lambda v: F.floor(v / width)
+    sides = edges(regions).withColumn("cy", F.explode(F.sequence(band(F.least("y1", "y2") - size), band(F.greatest("y1", "y2") + size))))
+    sides = sides.withColumn("cx", F.explode(F.sequence(cell(F.least("x1", "x2") - width), cell(F.greatest("x1", "x2") + width))))
+    placed = points.withColumn("cy", band(F.col("lat"))).withColumn("cx", cell(F.col("lon")))
     kx = F.cos(F.radians("lat")) * 111_194.93
     ax, ay = (F.col("x1") - F.col("lon")) * kx, (F.col("y1") - F.col("lat")) * 111_194.93
     dx, dy = (F.col("x2") - F.col("x1")) * kx, (F.col("y2") - F.col("y1")) * 111_194.93

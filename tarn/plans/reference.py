@@ -250,7 +250,7 @@ def place_stability(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def place_boundary(spark: SparkSession, folder: str) -> DataFrame:
-    points = _candidates(spark, folder).where("lat between 32.5 and 34 and lon between 132 and 134").select("summit_candidate_id", "lat", "lon")
+    points = _candidates(spark, folder).where(finite(F.col("lat")) & finite(F.col("lon"))).select("summit_candidate_id", "lat", "lon")
     return areas.boundary_distance(points, squares(spark), "summit_candidate_id", 500.0).withColumn("distance_m", F.round("distance_m", 2))
 
 

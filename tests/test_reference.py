@@ -180,6 +180,34 @@ def test_areas(spark):
     assert set(near) == {(2, "a"), (2, "b")} and abs(near[2, "a"] - 11.12) < 0.1
 
 
+def test_boundary_distance_against_brute_force_at_all_latitudes(spark):
+    rng = np.random.default_rng(2)
+    regions = [(f"r{y}", [[(10.0, y), (10.02, y), (10.02, y + 0.02), (10.0, y + 0.02)]]) for y in (-75.0, 0.0, 33.0, 60.0, 80.0, 89.0)]
+    points = [(f"{name}/{i}", float(ring[0][0][1] + rng.uniform(-0.01, 0.03)), float(10.01 + rng.uniform(-0.02, 0.02) / np.cos(np.radians(ring[0][0][1])))) for name, ring in regions for i in range(60)]
+    want = []
+    for key, lat, lon in points:
+        k = 111_194.93 * np.cos(np.radians(lat))
+        for name, ring in regions:
+            ends = [((x - lon) * k, (y - lat) * 111_194.93) for x, y in ring[0]]
+            far = []
+            for (ax, ay), (bx, by) in zip(ends, ends[1:] + ends[:1]):
+                dx, dy = bx - ax, by - ay
+                along = min(1, max(0, -(ax * dx + ay * dy) / (dx * dx + dy * dy)))
+                far.append(np.hypot(ax + along * dx, ay + along * dy))
+            if min(far) <= 500:
+                want.append((key, name, round(float(min(far)), 3)))
+    found = areas.boundary_distance(spark.createDataFrame(points, "id string, lat double, lon double"), spark.createDataFrame(regions, "region string, rings array<array<struct<x: double, y: double>>>"), "id", 500.0)
+    assert rows(found.withColumn("distance_m", F.round("distance_m", 3))) == sorted(want, key=str)
+    assert {w[1] for w in want} == {r[0] for r in regions}
+
+
+def test_the_query_of_boundaries_takes_points_outside(spark, tmp_path):
+    point = [("out", "t", 34.003391, 133.091997), ("in", "t", 33.999, 133.1), ("far", "t", 34.01, 133.1), ("none", "t", None, 133.0), ("nan", "t", math.nan, 133.0)]
+    df = spark.createDataFrame(point, "summit_candidate_id string, source_gpx_path string, lat double, lon double")
+    df.withColumns({"ele_m": F.lit(1.0), "track_name": F.lit("")}).write.parquet(f"{tmp_path}/summit_candidates.parquet")
+    assert {r.summit_candidate_id for r in reference.place_boundary(spark, str(tmp_path)).collect()} == {"out", "in"}
+
+
 def test_around_nearest(spark):
     points = spark.createDataFrame([("t", 0, i, 33 + i * 1e-4, 132.0, float(e)) for i, e in enumerate([1, 2, 3, 9, 3, 2])], "gpx_path string, seg_idx int, pt_idx int, lat double, lon double, ele double")
     anchors = spark.createDataFrame([("p", "t", 33.0003, 132.0005), ("far", "t", 35.0, 132.0)], "anchor string, gpx_path string, a_lat double, a_lon double")
