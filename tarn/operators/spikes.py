@@ -12,11 +12,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tarn.functions.geo import haversine_np
-from tarn.operators.tracks import groups, in_track_order, numbers, seconds_of, with_slab
+from tarn.functions.geo import finite, haversine_np
+from tarn.operators.tracks import groups, in_track_order, numbers, seconds_of, split_hot
+from tarn.session import cut_lineage
 
 KEY = ("trk_idx", "seg_idx", "pt_idx")
 
@@ -124,10 +126,9 @@ def _flags(p: SpikeParameters):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths: list[str] = []
         keys: list[np.ndarray] = []
-        for group in groups(batches, ("gpx_path", "slab")):
+        for group in groups(batches, ("gpx_path",)):
             path = group["gpx_path"][0].as_py()
             has, kind = np.array(group["has_ele"].to_numpy(zero_copy_only=False), bool), np.array(group["summary"].to_numpy(zero_copy_only=False), bool)
-            halo = np.array(group["halo"].to_numpy(zero_copy_only=False), bool)
             t, ele, lat, lon, *key = numbers(group, "t", "ele", "lat", "lon", *KEY)
             key = np.stack(key, 1)
             fix = np.flatnonzero(~kind)
@@ -139,7 +140,7 @@ def _flags(p: SpikeParameters):
             read = has[order]
             order, at = order[read], at[read]
             flag = judge(at, ele[order], lat[order], lon[order], p)
-            own = order[flag & ~halo[order]]
+            own = order[flag]
             sound = ele[order[~flag]]
             out = [key[own]]
             if kind.any() and len(sound):
@@ -177,8 +178,8 @@ def implausible(fixes: DataFrame, summaries: DataFrame, p: SpikeParameters = Spi
 
     Null readings are none, NaN and infinite ones are flagged; rows without a time take their place in document order;
     re-delivered rows count once; rows with a null key are passed over; a summary of a track without sound readings, or
-    without a figure, is not flagged. Either table may be empty. Of a hot track (see tracks) each slab is judged by its own
-    steps, with rows of its neighbours as context, and its summary by slab 0 alone, which has no such rows and so no verdict.
+    without a figure, is not flagged. Either table may be empty. A hot track (see tracks) is judged by the same rules, as a
+    whole, but by distributed steps instead of in one task's memory.
     """
     keys = [F.coalesce(F.col(k), F.lit(0)).cast("int").alias(k) for k in KEY]
     rows = fixes.where("gpx_path is not null and trk_idx is not null and seg_idx is not null and pt_idx is not null").select(
@@ -188,6 +189,99 @@ def implausible(fixes: DataFrame, summaries: DataFrame, p: SpikeParameters = Spi
     heads = summaries.where("gpx_path is not null").select(
         "gpx_path", *(F.lit(-1).alias(k) for k in KEY), null.alias("lat"), null.alias("lon"), F.col("elevation_range").cast("double").alias("ele"), null.alias("t"), F.lit(True).alias("summary")
     )
-    rows = with_slab(rows, "gpx_path", "t", 1800.0)[0].unionByName(heads.withColumns({"slab": F.lit(0).cast("bigint"), "halo": F.lit(False)}))
-    rows = rows.withColumn("has_ele", F.col("ele").isNotNull())
-    return in_track_order(rows, "gpx_path", "slab", order=()).mapInArrow(_flags(p), FOUND)
+    usual, hot = split_hot(rows, "gpx_path")
+    heads_of_hot = None
+    if hot is not None:
+        hot = cut_lineage(hot)
+        names = hot.select("gpx_path").distinct()
+        heads, heads_of_hot = heads.join(names, "gpx_path", "left_anti"), heads.join(names, "gpx_path", "left_semi")
+    rows = usual.unionByName(heads).withColumn("has_ele", F.col("ele").isNotNull())
+    found = in_track_order(rows, "gpx_path", order=()).mapInArrow(_flags(p), FOUND)
+    return found if hot is None else found.unionByName(_of_hot(hot, heads_of_hot, p))
+
+
+def _of_hot(rows: DataFrame, heads: DataFrame, p: SpikeParameters) -> DataFrame:
+    """As _flags, of tracks too long for one task's memory; windows over a track spill, only what lies round jumps goes to Python."""
+    document = Window.partitionBy("gpx_path").orderBy(*KEY)
+    rows = rows.drop("summary").dropDuplicates(["gpx_path", *KEY]).withColumn("t", F.when(~F.isnan("t"), F.col("t")))
+    first = rows.where("t is not null").groupBy("gpx_path").agg(F.min_by("t", F.struct(*KEY)).alias("_first"))
+    rows = rows.withColumns({"_last": F.last("t", ignorenulls=True).over(document.rowsBetween(Window.unboundedPreceding, 0)), "_n": F.row_number().over(document)})
+    rows = rows.join(first, "gpx_path", "left").withColumn("t", F.coalesce("_last", "_first", F.col("_n").cast("double"))).where("ele is not null")
+    wild = ~finite(F.col("ele")) | (F.col("ele") < p.low) | (F.col("ele") > p.high)
+    rows = cut_lineage(rows.select("gpx_path", *KEY, "lat", "lon", "ele", "t", wild.alias("wild")))
+    in_time = Window.partitionBy("gpx_path").orderBy("t", *KEY)
+    sound = rows.where("not wild").drop("wild")
+    new = F.coalesce((F.col("ele") != F.lag("ele").over(in_time)).cast("int"), F.lit(0))
+    sound = sound.withColumn("_new", new).withColumn("run", F.sum("_new").over(in_time.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    sound = cut_lineage(sound)
+    stuck = _stuck_runs(sound, p)
+    rest = cut_lineage(sound.join(stuck, ["gpx_path", "run"], "left_anti").select("gpx_path", *KEY, "ele", "t"))
+    for _ in range(p.rounds):
+        rest, more = _without_outliers(rest, p)
+        if not more:
+            break
+    flagged = rows.select("gpx_path", *KEY).join(rest.select("gpx_path", *KEY), ["gpx_path", *KEY], "left_anti")
+    width = rest.groupBy("gpx_path").agg((F.max("ele") - F.min("ele")).alias("_w"))
+    wrong = heads.where(F.col("ele").isNotNull()).join(width, "gpx_path").where(~F.coalesce(F.abs(F.col("ele") - F.col("_w")) <= p.range_tolerance, F.lit(False)))
+    return flagged.unionByName(wrong.select("gpx_path", *KEY).distinct())
+
+
+def _stuck_runs(sound: DataFrame, p: SpikeParameters) -> DataFrame:
+    """(gpx_path, run) of stuck runs: of the long ones the five placed fixes at either end are enough."""
+    long = sound.groupBy("gpx_path", "run").count().where(F.col("count") >= p.stuck_run).drop("count")
+    placed = finite(F.col("lat")) & finite(F.col("lon")) & (F.col("lat") != 0) & (F.col("lon") != 0)
+    ends = sound.join(long, ["gpx_path", "run"]).where(placed)
+    run = Window.partitionBy("gpx_path", "run")
+    ends = ends.withColumns({"_a": F.row_number().over(run.orderBy("t", *KEY)), "_n": F.count("*").over(run)})
+    ends = ends.where((F.col("_a") <= 5) | (F.col("_a") > F.col("_n") - 5))
+
+    def far(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("_a")
+        lat, lon = group["lat"].to_numpy(), group["lon"].to_numpy()
+        apart = 0.0
+        if len(group) > 1:
+            a, b = _placed_ends(lat, lon, np.arange(len(group)))
+            apart = haversine_np(lat[a], lon[a], lat[b], lon[b])
+        return group[["gpx_path", "run"]].head(1 if apart > p.stuck_distance_m else 0)
+
+    return ends.select("gpx_path", "run", "lat", "lon", "_a").groupBy("gpx_path", "run").applyInPandas(far, "gpx_path string, run bigint")
+
+
+def _without_outliers(rest: DataFrame, p: SpikeParameters) -> tuple[DataFrame, bool]:
+    """One round of outliers() for each track: (rows without its outliers, whether any was found)."""
+    in_time = Window.partitionBy("gpx_path").orderBy("t", *KEY)
+    rows = rest.withColumns({"step": F.abs(F.lead("ele").over(in_time) - F.col("ele")), "n": F.row_number().over(in_time)})
+    counts = rows.where("step is not null").groupBy("gpx_path", "step").count()
+    upto = Window.partitionBy("gpx_path").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    ranks = counts.withColumn("upto", F.sum("count").over(upto)).join(counts.groupBy("gpx_path").agg(((F.sum("count") - 1) * p.step_quantile).alias("at")), "gpx_path")
+    at = lambda k: F.min(F.when(F.col("upto") > k, F.col("step")))
+    values = ranks.groupBy("gpx_path").agg(at(F.floor("at")).alias("lo"), at(F.ceil("at")).alias("hi"), F.first("at").alias("at"))
+    quantile = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.floor("at"))
+    limits = values.select("gpx_path", F.greatest(F.lit(p.min_jump), p.step_times * quantile).alias("limit"))
+    rows = rows.join(limits, "gpx_path")
+    # a jump reaches over longest + 1 readings behind it; those of jumps that meet are judged together, in order
+    reach = p.longest + 1
+    jump = F.when(F.col("step") > F.col("limit") / 2, F.col("n"))
+    rows = rows.withColumn("_j", jump).withColumn("_last", F.last("_j", ignorenulls=True).over(in_time.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.where(F.col("n") - F.col("_last") <= reach)
+    part = rows.withColumn("_new", F.coalesce((F.col("n") - F.lag("n").over(in_time) > 1).cast("int"), F.lit(0))).withColumn("part", F.sum("_new").over(in_time.rowsBetween(Window.unboundedPreceding, 0)))
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        paths: list[str] = []
+        keys: list[np.ndarray] = []
+        for group in groups(batches, ("gpx_path", "part")):
+            t, ele, step, limit, *key = numbers(group, "t", "ele", "step", "limit", *KEY)
+            found = _additive(t, ele, np.flatnonzero(step > limit[0] / 2), float(limit[0]), p.longest)
+            if found:
+                keys.append(np.stack(key, 1)[found])
+                paths += [group["gpx_path"][0].as_py()] * len(found)
+            if len(paths) > 20_000:
+                yield _batch(paths, keys)
+                paths, keys = [], []
+        yield _batch(paths, keys)
+
+    spread = in_track_order(part.select("gpx_path", "part", "n", "t", "ele", "step", "limit", *KEY), "gpx_path", "part", order=("n",))
+    new = cut_lineage(spread.mapInArrow(judged, FOUND))
+    if new.isEmpty():
+        return rest, False
+    return cut_lineage(rest.join(new, ["gpx_path", *KEY], "left_anti")), True

@@ -46,6 +46,17 @@ def with_slab(df: DataFrame, key: str, second: str, halo_s: float) -> tuple[Data
     return rows.withColumn("halo", F.coalesce(F.col("_hot") & (F.col("slab") != slab(at)), F.lit(False))).drop("_hot"), True
 
 
+def split_hot(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary tracks, rows of hot ones or None if there are none)."""
+    hot = df.groupBy(key).count().where(F.col("count") > HOT_FIXES).select(key)
+    named = [r[0] for r in hot.limit(LISTED + 1).collect()]
+    if not named:
+        return df, None
+    if len(named) > LISTED:
+        return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
+    return df.where(~F.col(key).isin(named)), df.where(F.col(key).isin(named))
+
+
 def in_track_order(df: DataFrame, *keys: str, order: tuple[str, ...]) -> DataFrame:
     return df.repartition(*keys).sortWithinPartitions(*keys, *order)
 

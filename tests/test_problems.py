@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from tarn.functions.geo import haversine_np
 from tarn.functions.zones import database_version, local_to_utc
@@ -236,3 +237,27 @@ def test_implausible_rows(spark):
     heads = spark.createDataFrame([("a", 460.0), ("a", 460.0), ("a", None), ("nowhere", 5.0), (None, 1.0)], "gpx_path string, elevation_range double")
     assert rows(implausible(df, heads)) == [("a", -1, -1, -1), ("a", 0, 0, 7), ("a", 0, 0, 11)]
     assert implausible(df.limit(0), heads).collect() == []
+
+
+def test_a_hot_track_has_the_same_implausible_readings(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    n = 900
+    ele = np.round(300 + np.cumsum(np.r_[rng.normal(0, 1.0, n // 2), rng.normal(0, 12.0, n - n // 2)]), 1)  # two halves of unlike steps
+    ele[rng.choice(n, 20, replace=False)] += rng.choice([-1, 1], 20) * rng.uniform(40, 900, 20)
+    ele[300:304] += 150
+    ele[500:540] = 777.25
+    ele[[40, 41, 620]] = [9000.0, -60.0, np.nan]
+    df = pd.DataFrame({"gpx_path": "a", "trk_idx": 0, "seg_idx": np.arange(n) // 400, "pt_idx": range(n), "lat": 33 + np.arange(n) * 1e-4, "lon": 132.0, "ele": ele, "time": pd.to_datetime(1.6e9 + np.arange(n) * 60, unit="s", utc=True).strftime("%Y-%m-%dT%H:%M:%SZ")})
+    df.loc[rng.choice(n, 30, replace=False), "time"] = None
+    df.loc[[0, 1, 303], "time"] = None  # a spike is part of what has no time
+    points = spark.createDataFrame(df).withColumn("ele", F.expr("CASE WHEN pt_idx % 97 = 5 THEN NULL ELSE ele END"))
+    points = points.unionByName(points.limit(50)).unionByName(points.where("pt_idx < 90").withColumn("gpx_path", F.lit("b")))
+    points = points.unionByName(points.where("pt_idx < 300 and gpx_path = 'a'").withColumns({"gpx_path": F.lit("c"), "time": F.lit("").cast("string")}))
+    sound = points.where("gpx_path = 'a'").join(implausible(points, spark.createDataFrame([], "gpx_path string, elevation_range double")), ["gpx_path", "trk_idx", "seg_idx", "pt_idx"], "left_anti").agg(F.max("ele") - F.min("ele")).first()[0]
+    for shift in (0.0, 100.0):
+        heads = spark.createDataFrame([("a", sound + shift), ("b", 5000.0), ("c", float("nan")), ("d", 1.0)], "gpx_path string, elevation_range double")
+        monkeypatch.setattr(tracks, "HOT_FIXES", 1_000_000)
+        whole = rows(implausible(points, heads))
+        monkeypatch.setattr(tracks, "HOT_FIXES", 100)
+        assert rows(implausible(points, heads)) == whole
+        assert (("a", -1, -1, -1) in whole) == (shift > 0) and ("b", -1, -1, -1) in whole and ("c", -1, -1, -1) in whole and len(whole) > 40
