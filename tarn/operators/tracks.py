@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 HOT_FIXES = 1_000_000
 SLAB_S = 6 * 3600
@@ -28,22 +28,22 @@ def seconds_of(time: Column) -> Column:
 def with_slab(df: DataFrame, key: str, second: str, halo_s: float) -> tuple[DataFrame, bool]:
     """(df with slab and halo, whether any track is cut): slab 0 for ordinary tracks; hot ones are cut, rows near an edge also go to the next slab as halo.
 
-    Rows of a hot track without a time go to slab 0.
+    Silence takes nothing from a halo: it is the last row before an edge and the first behind it, however far they are, and
+    what lies within halo_s of these. Rows of a hot track have a time.
     """
-    hot = df.groupBy(key).count().where(F.col("count") > HOT_FIXES).select(key)
-    named = [r[0] for r in hot.limit(LISTED + 1).collect()]
-    if not named:
-        return df.withColumns({"slab": F.lit(0).cast("bigint"), "halo": F.lit(False)}), False
-    if len(named) > LISTED:
-        df = df.join(hot.withColumn("_hot", F.lit(True)), key, "left")
-    else:
-        df = df.withColumn("_hot", F.col(key).isin(named))
-    slab = lambda s: F.floor(s / SLAB_S)
+    usual, hot = split_hot(df, key)
+    usual = usual.withColumns({"slab": F.lit(0).cast("bigint"), "halo": F.lit(False)})
+    if hot is None:
+        return usual, False
+    hot = hot.withColumn("_own", F.floor(F.col(second) / SLAB_S))
+    order = Window.partitionBy(key).orderBy("_own")
+    slabs = hot.groupBy(key, "_own").agg(F.min(second).alias("_min"), F.max(second).alias("_max"))
+    slabs = slabs.withColumns({"_before": F.lag("_own").over(order), "_after": F.lead("_own").over(order)})
     at = F.col(second)
-    slabs = F.array_distinct(F.array(slab(at), slab(at - halo_s), slab(at + halo_s)))
-    own = F.when(F.col("_hot") & at.isNotNull(), slabs).otherwise(F.array(F.lit(0).cast("bigint")))
-    rows = df.withColumn("slab", F.explode(own))
-    return rows.withColumn("halo", F.coalesce(F.col("_hot") & (F.col("slab") != slab(at)), F.lit(False))).drop("_hot"), True
+    before, after = F.when(at <= F.col("_min") + halo_s, F.col("_before")), F.when(at >= F.col("_max") - halo_s, F.col("_after"))
+    rows = hot.join(slabs, [key, "_own"]).withColumn("slab", F.explode(F.array_compact(F.array("_own", before, after))))
+    rows = rows.withColumn("halo", F.col("slab") != F.col("_own")).drop("_own", "_min", "_max", "_before", "_after")
+    return usual.unionByName(rows), True
 
 
 def split_hot(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:

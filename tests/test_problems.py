@@ -261,3 +261,18 @@ def test_a_hot_track_has_the_same_implausible_readings(spark, monkeypatch):
         monkeypatch.setattr(tracks, "HOT_FIXES", 100)
         assert rows(implausible(points, heads)) == whole
         assert (("a", -1, -1, -1) in whole) == (shift > 0) and ("b", -1, -1, -1) in whole and ("c", -1, -1, -1) in whole and len(whole) > 40
+
+
+def test_a_hot_track_keeps_its_silences_and_its_way(spark, monkeypatch):
+    plan = [("go", 2400), ("stay", 300), ("silence", 9000), ("stay", 300), ("go", 2400), ("gap", 7200), ("go", 2400), ("stay", 1500), ("go", 5000)]
+    f, middles = walk(np.random.default_rng(8), plan)
+    df = fixes_table(spark, f)
+    figures = lambda: segments(df).orderBy("start_s", "end_s").collect()
+    whole = figures()
+    monkeypatch.setattr(tracks, "HOT_FIXES", 100)
+    for size in (1800, 3600, 5000):
+        monkeypatch.setattr(tracks, "SLAB_S", size)
+        cut = figures()
+        assert [r.kind for r in cut] == [r.kind for r in whole] == ["trip", "stay", "trip", "stay", "trip"]
+        assert max(abs(a[k] - b[k]) for a, b in zip(cut, whole) for k in ("start_s", "end_s")) < 60
+        assert max(abs(a.distance_m - b.distance_m) for a, b in zip(cut, whole)) < 100
