@@ -17,8 +17,10 @@ def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
 
 
 def markdown_table(df: DataFrame, limit: int = 1000) -> str:
-    """A Markdown table of a small result, for reports; limit is a bound of what the driver takes."""
-    rows = df.limit(limit).collect()
+    """A Markdown table of a small result, for reports; more rows than limit, the bound of what the driver takes, are an error."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"a table of more than {limit} rows")
     line = lambda cells: "| " + " | ".join("" if c is None else str(c).replace("|", "\\|") for c in cells) + " |"
     return "\n".join([line(df.columns), line(["---"] * len(df.columns)), *map(line, rows)]) + "\n"
 

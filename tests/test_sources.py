@@ -106,3 +106,9 @@ def test_entry(spark):
     assert set(sql) <= set(queries) and len(queries) > 40
     assert entry.entry(spark).columns[:2] == ["gpx_path", "i"]
     assert profile.VARIANTS[0][0] == "baseline"
+
+
+def test_a_report_is_never_cut(spark):
+    assert sinks.markdown_table(spark.range(3), 3).count("\n") == 5
+    with pytest.raises(ValueError):
+        sinks.markdown_table(spark.range(4), 3)
