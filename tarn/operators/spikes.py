@@ -1,9 +1,11 @@
 """Implausible readings of a source, relative to that source's own behaviour.
 
-Robust autoregression of order one on the readings' steps: the scale is the 95th percentile of the sound readings' steps, and
-is taken anew each time readings were set aside. A residual beyond the limit starts a test of one to four readings: an
-additive outlier, if the old course goes on behind them, or a level shift, if it does not. Stuck runs and physical limits are
-flagged apart.
+A robust autoregression of order one is fitted to the steps between a source's sound readings: the scale is the 95th
+percentile of the steps, and the coefficient the lag-one autocorrelation of the steps clipped at it. A residual beyond the
+limit opens a test of one to four readings: taken out as additive outliers, is what comes behind them still a level shift
+against the course the model foretells? If it is, for every length, the residual is a level shift and no reading is flagged;
+else the readings are outliers if each stands off from the course by the limit. The model is fitted anew each time readings
+were set aside, until none is found. Stuck runs and physical limits are flagged apart.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tarn.functions.geo import finite, haversine_np
-from tarn.operators.tracks import groups, in_track_order, numbers, seconds_of, split_hot
+from tarn.operators.tracks import groups, hot_tracks, in_track_order, numbers, seconds_of, split_hot
 from tarn.session import cut_lineage
 
 KEY = ("trk_idx", "seg_idx", "pt_idx")
@@ -34,7 +36,6 @@ class SpikeParameters:
     stuck_run: int = 20
     stuck_distance_m: float = 200.0
     range_tolerance: float = 60.0
-    rounds: int = 10
 
 
 def stuck_readings(ele: np.ndarray, lat: np.ndarray, lon: np.ndarray, p: SpikeParameters) -> np.ndarray:
@@ -62,45 +63,70 @@ def _placed_ends(lat: np.ndarray, lon: np.ndarray, placed: np.ndarray) -> tuple[
     return sound(placed), sound(placed[::-1])
 
 
+@dataclass(frozen=True)
+class StepModel:
+    """Autoregression of a source's steps: scale is their quantile, phi their coefficient, limit what a residual may reach."""
+
+    scale: float
+    phi: float
+    limit: float
+
+
+def fitted(step: np.ndarray, p: SpikeParameters) -> StepModel:
+    scale = float(np.quantile(np.abs(step), p.step_quantile))
+    clipped = np.clip(step, -scale, scale)
+    return StepModel(scale, coefficient(float(clipped[1:] @ clipped[:-1]), float(clipped[:-1] @ clipped[:-1])), limit_of(scale, p))
+
+
+def coefficient(lagged: float, square: float) -> float:
+    """Of the sums of products of neighbours and of squares; within 0.95, rounded so that the order of summing doesn't matter."""
+    return round(min(0.95, max(-0.95, lagged / square)), 9) if square > 0 else 0.0
+
+
+def limit_of(scale: float, p: SpikeParameters) -> float:
+    return max(p.min_jump, p.step_times * scale)
+
+
 def outliers(t: np.ndarray, v: np.ndarray, p: SpikeParameters) -> np.ndarray:
     """Mask of additive outliers of one to p.longest readings; values finite, t ascending."""
-    n = len(v)
-    flag = np.zeros(n, bool)
-    if n < 3:
-        return flag
-    for _ in range(p.rounds):
-        kept = np.flatnonzero(~flag)
-        w, at = v[kept], t[kept]
-        step = np.abs(np.diff(w))
-        if not len(step):
-            break
-        limit = max(p.min_jump, p.step_times * float(np.quantile(step, p.step_quantile)))
-        new = _additive(at, w, np.flatnonzero(step > limit / 2), limit, p.longest)
+    flag = np.zeros(len(v), bool)
+    while (kept := np.flatnonzero(~flag)).size > 2:
+        step = np.diff(v[kept])
+        new = additive(t[kept], v[kept], step, fitted(step, p), p.longest)
         if not new:
             break
         flag[kept[new]] = True
     return flag
 
 
-def _additive(t: np.ndarray, v: np.ndarray, jumps: np.ndarray, limit: float, longest: int) -> list[int]:
-    """Readings behind jumps that stand off from the course between those before and after, which itself goes on."""
+def additive(t: np.ndarray, v: np.ndarray, step: np.ndarray, model: StepModel, longest: int) -> list[int]:
+    """Readings of one round that are additive outliers; step[i] leads from reading i to the next.
+
+    A step is foretold as phi times the clipped step before it. A residual of over 0.38 limits opens a test: as a jump over
+    half the limit has one, no outlier is passed over.
+    """
     found: list[int] = []
     taken = -1
-    for i in jumps.tolist():
+    usual = np.clip(step, -model.scale, model.scale)
+    residual = np.abs(step - model.phi * np.r_[0.0, usual[:-1]])
+    for i in np.flatnonzero(residual > 0.38 * model.limit).tolist():
         if i < taken:
             continue
         before = v[i]
+        slope, course = usual[i - 1] if i else 0.0, before
         for size in range(1, longest + 1):
             j = i + size + 1
             if j >= len(v):
                 break
+            slope *= model.phi
+            course += slope
             after = v[j]
-            if abs(after - before) > limit:  # a level shift, or still within the spike
+            if min(abs(after - before), abs(after - course - slope * model.phi)) > model.limit:  # a level shift, or still within the spike
                 continue
             span = t[j] - t[i]
             share = (t[i + 1 : j] - t[i]) / span if span > 0 else np.arange(1, size + 1) / (size + 1)
             off = np.abs(v[i + 1 : j] - (before + share * (after - before)))
-            if off.min() > limit:
+            if off.min() > model.limit:
                 found += range(i + 1, j)
                 taken = j
                 break
@@ -189,9 +215,10 @@ def implausible(fixes: DataFrame, summaries: DataFrame, p: SpikeParameters = Spi
     heads = summaries.where("gpx_path is not null").select(
         "gpx_path", *(F.lit(-1).alias(k) for k in KEY), null.alias("lat"), null.alias("lon"), F.col("elevation_range").cast("double").alias("ele"), null.alias("t"), F.lit(True).alias("summary")
     )
-    usual, hot = split_hot(rows, "gpx_path")
-    heads_of_hot = None
-    if hot is not None:
+    found_hot = hot_tracks(fixes, "gpx_path")
+    usual, hot, heads_of_hot = rows, None, None
+    if found_hot is not None:
+        usual, hot = split_hot(rows, "gpx_path", found_hot)
         hot = cut_lineage(hot)
         names = hot.select("gpx_path").distinct()
         heads, heads_of_hot = heads.join(names, "gpx_path", "left_anti"), heads.join(names, "gpx_path", "left_semi")
@@ -216,10 +243,9 @@ def _of_hot(rows: DataFrame, heads: DataFrame, p: SpikeParameters) -> DataFrame:
     sound = cut_lineage(sound)
     stuck = _stuck_runs(sound, p)
     rest = cut_lineage(sound.join(stuck, ["gpx_path", "run"], "left_anti").select("gpx_path", *KEY, "ele", "t"))
-    for _ in range(p.rounds):
+    more = True
+    while more:
         rest, more = _without_outliers(rest, p)
-        if not more:
-            break
     flagged = rows.select("gpx_path", *KEY).join(rest.select("gpx_path", *KEY), ["gpx_path", *KEY], "left_anti")
     width = rest.groupBy("gpx_path").agg((F.max("ele") - F.min("ele")).alias("_w"))
     wrong = heads.where(F.col("ele").isNotNull()).join(width, "gpx_path").where(~F.coalesce(F.abs(F.col("ele") - F.col("_w")) <= p.range_tolerance, F.lit(False)))
@@ -250,28 +276,35 @@ def _stuck_runs(sound: DataFrame, p: SpikeParameters) -> DataFrame:
 def _without_outliers(rest: DataFrame, p: SpikeParameters) -> tuple[DataFrame, bool]:
     """One round of outliers() for each track: (rows without its outliers, whether any was found)."""
     in_time = Window.partitionBy("gpx_path").orderBy("t", *KEY)
-    rows = rest.withColumns({"step": F.abs(F.lead("ele").over(in_time) - F.col("ele")), "n": F.row_number().over(in_time)})
-    counts = rows.where("step is not null").groupBy("gpx_path", "step").count()
+    rows = rest.withColumns({"step": F.lead("ele").over(in_time) - F.col("ele"), "n": F.row_number().over(in_time)})
+    rows = cut_lineage(rows.withColumn("last", F.lag("step").over(in_time)))
+    counts = rows.where("step is not null").select("gpx_path", F.abs("step").alias("step")).groupBy("gpx_path", "step").count()
     upto = Window.partitionBy("gpx_path").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
     ranks = counts.withColumn("upto", F.sum("count").over(upto)).join(counts.groupBy("gpx_path").agg(((F.sum("count") - 1) * p.step_quantile).alias("at")), "gpx_path")
     at = lambda k: F.min(F.when(F.col("upto") > k, F.col("step")))
     values = ranks.groupBy("gpx_path").agg(at(F.floor("at")).alias("lo"), at(F.ceil("at")).alias("hi"), F.first("at").alias("at"))
     quantile = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.floor("at"))
-    limits = values.select("gpx_path", F.greatest(F.lit(p.min_jump), p.step_times * quantile).alias("limit"))
-    rows = rows.join(limits, "gpx_path")
-    # a jump reaches over longest + 1 readings behind it; those of jumps that meet are judged together, in order
+    scales = values.select("gpx_path", quantile.alias("scale"))
+    clip = lambda c: F.greatest(F.least(F.col(c), F.col("scale")), -F.col("scale"))
+    sums = rows.where("step is not null and last is not null").join(scales, "gpx_path").groupBy("gpx_path").agg(F.sum(clip("step") * clip("last")).alias("lagged"), F.sum(clip("last") * clip("last")).alias("square"))
+    phi = F.coalesce(F.when(F.col("square") > 0, F.round(F.greatest(F.lit(-0.95), F.least(F.lit(0.95), F.col("lagged") / F.col("square"))), 9)), F.lit(0.0))
+    models = scales.join(sums, "gpx_path", "left").select("gpx_path", "scale", phi.alias("phi"), F.greatest(F.lit(p.min_jump), p.step_times * F.col("scale")).alias("limit"))
+    rows = rows.join(models, "gpx_path")
+    # a jump reaches over longest + 1 readings behind it and one before; those of jumps that meet are judged together, in order
     reach = p.longest + 1
-    jump = F.when(F.col("step") > F.col("limit") / 2, F.col("n"))
+    residual = F.abs(F.col("step") - F.col("phi") * F.coalesce(clip("last"), F.lit(0.0)))
+    jump = F.when(residual > 0.37 * F.col("limit"), F.col("n"))
     rows = rows.withColumn("_j", jump).withColumn("_last", F.last("_j", ignorenulls=True).over(in_time.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.where(F.col("n") - F.col("_last") <= reach)
+    rows = rows.withColumn("_next", F.lead("_j").over(in_time)).where((F.col("n") - F.col("_last") <= reach) | F.col("_next").isNotNull())
     part = rows.withColumn("_new", F.coalesce((F.col("n") - F.lag("n").over(in_time) > 1).cast("int"), F.lit(0))).withColumn("part", F.sum("_new").over(in_time.rowsBetween(Window.unboundedPreceding, 0)))
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths: list[str] = []
         keys: list[np.ndarray] = []
         for group in groups(batches, ("gpx_path", "part")):
-            t, ele, step, limit, *key = numbers(group, "t", "ele", "step", "limit", *KEY)
-            found = _additive(t, ele, np.flatnonzero(step > limit[0] / 2), float(limit[0]), p.longest)
+            t, ele, step, scale, phi, limit, *key = numbers(group, "t", "ele", "step", "scale", "phi", "limit", *KEY)
+            end = len(t) - 1  # a last step leads out of the part
+            found = additive(t, ele, step[:end], StepModel(float(scale[0]), float(phi[0]), float(limit[0])), p.longest)
             if found:
                 keys.append(np.stack(key, 1)[found])
                 paths += [group["gpx_path"][0].as_py()] * len(found)
@@ -280,7 +313,7 @@ def _without_outliers(rest: DataFrame, p: SpikeParameters) -> tuple[DataFrame, b
                 paths, keys = [], []
         yield _batch(paths, keys)
 
-    spread = in_track_order(part.select("gpx_path", "part", "n", "t", "ele", "step", "limit", *KEY), "gpx_path", "part", order=("n",))
+    spread = in_track_order(part.select("gpx_path", "part", "n", "t", "ele", "step", "scale", "phi", "limit", *KEY), "gpx_path", "part", order=("n",))
     new = cut_lineage(spread.mapInArrow(judged, FOUND))
     if new.isEmpty():
         return rest, False

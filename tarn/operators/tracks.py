@@ -1,8 +1,8 @@
 """Tracks in time order: one shuffle by track, then a stream of whole tracks in each task.
 
-Tracks are handed over one at a time, so a task holds one track and one Arrow batch. Tracks of more than HOT_FIXES rows are
-cut into time slabs first, so that no track is held whole and a hot one is spread over tasks; operators say what they do at
-the edges of slabs.
+Tracks are handed over one at a time, so a task holds one track and one Arrow batch. Tracks of more than HOT_FIXES rows go
+another way, by pieces or blocks that are spread over tasks; it gives the same result, HOT_FIXES decides only where the work
+is done.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 HOT_FIXES = 1_000_000
-SLAB_S = 6 * 3600
-#: Hot tracks that may be listed in the plan; there are at most rows / HOT_FIXES of them, more are found by a join.
+#: Hot tracks, the largest first, that are told from the others by their names in the plan; the rest hold at most a
+#: LISTED-th of all rows each and are told by a join.
 LISTED = 1000
 
 
@@ -25,36 +25,37 @@ def seconds_of(time: Column) -> Column:
     return F.trim(time).try_cast("timestamp").cast("double")
 
 
-def with_slab(df: DataFrame, key: str, second: str, halo_s: float) -> tuple[DataFrame, bool]:
-    """(df with slab and halo, whether any track is cut): slab 0 for ordinary tracks; hot ones are cut, rows near an edge also go to the next slab as halo.
+def hot_tracks(source: DataFrame, key: str) -> DataFrame | None:
+    """(key) of tracks of more than HOT_FIXES rows of source, None if there are none. Reads the key column only."""
+    hot = source.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > HOT_FIXES)
+    return None if hot.isEmpty() else hot
 
-    Silence takes nothing from a halo: it is the last row before an edge and the first behind it, however far they are, and
-    what lies within halo_s of these. Rows of a hot track have a time.
+
+def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary tracks, rows of those in hot, the result of hot_tracks)."""
+    named = [r[0] for r in hot.orderBy(F.desc("count"), key).limit(LISTED + 1).collect()]
+    largest, more = F.coalesce(F.col(key).isin(named[:LISTED]), F.lit(False)), len(named) > LISTED
+    usual, own = df.where(~largest), df.where(largest)
+    if more:
+        rest = hot.where(~F.col(key).isin(named[:LISTED])).select(key)
+        usual, own = usual.join(rest, key, "left_anti"), own.unionByName(usual.join(rest, key, "left_semi"))
+    return usual, own
+
+
+def with_slab(hot: DataFrame, key: str, second: str, slab_s: float, halo_s: float) -> DataFrame:
+    """Rows of hot tracks with own (the slab of slab_s seconds they lie in), slab (where they are looked at) and halo.
+
+    Rows near an edge also go to the next slab that has rows, as halo. Silence takes nothing from a halo: it is the last row
+    before an edge and the first behind it, however far they are, and what lies within halo_s of these.
     """
-    usual, hot = split_hot(df, key)
-    usual = usual.withColumns({"slab": F.lit(0).cast("bigint"), "halo": F.lit(False)})
-    if hot is None:
-        return usual, False
-    hot = hot.withColumn("_own", F.floor(F.col(second) / SLAB_S))
-    order = Window.partitionBy(key).orderBy("_own")
-    slabs = hot.groupBy(key, "_own").agg(F.min(second).alias("_min"), F.max(second).alias("_max"))
-    slabs = slabs.withColumns({"_before": F.lag("_own").over(order), "_after": F.lead("_own").over(order)})
+    hot = hot.withColumn("own", F.floor(F.col(second) / slab_s))
+    order = Window.partitionBy(key).orderBy("own")
+    slabs = hot.groupBy(key, "own").agg(F.min(second).alias("_min"), F.max(second).alias("_max"))
+    slabs = slabs.withColumns({"_before": F.lag("own").over(order), "_after": F.lead("own").over(order)})
     at = F.col(second)
     before, after = F.when(at <= F.col("_min") + halo_s, F.col("_before")), F.when(at >= F.col("_max") - halo_s, F.col("_after"))
-    rows = hot.join(slabs, [key, "_own"]).withColumn("slab", F.explode(F.array_compact(F.array("_own", before, after))))
-    rows = rows.withColumn("halo", F.col("slab") != F.col("_own")).drop("_own", "_min", "_max", "_before", "_after")
-    return usual.unionByName(rows), True
-
-
-def split_hot(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary tracks, rows of hot ones or None if there are none)."""
-    hot = df.groupBy(key).count().where(F.col("count") > HOT_FIXES).select(key)
-    named = [r[0] for r in hot.limit(LISTED + 1).collect()]
-    if not named:
-        return df, None
-    if len(named) > LISTED:
-        return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
-    return df.where(~F.col(key).isin(named)), df.where(F.col(key).isin(named))
+    rows = hot.join(slabs, [key, "own"]).withColumn("slab", F.explode(F.array_compact(F.array("own", before, after))))
+    return rows.withColumn("halo", F.col("slab") != F.col("own")).drop("_min", "_max", "_before", "_after")
 
 
 def in_track_order(df: DataFrame, *keys: str, order: tuple[str, ...]) -> DataFrame:
