@@ -20,6 +20,9 @@ ARROW = r"[-=~－＝]+[>＞]|[<＜][-=~－＝]+"
 MARK = regex.compile(rf"{ARROW}|[\p{{P}}\p{{S}}{LINE_BREAKS}\\]")
 APOSTROPHES = "'‘"
 CLOSERS = frozenset({*BRACKETS.values(), *QUOTES.values(), *QUOTES} - {">", "＞"})
+BRACKET = regex.compile("[" + regex.escape("".join(c for pair in BRACKETS.items() if pair[0] not in "<＜" for c in pair)) + "]")
+BLANKS = regex.compile(r"\s*")
+REST = regex.compile("[ \t　\xa0]*")
 NEXT = {c: regex.compile(rf"\\.|{regex.escape(c)}", regex.DOTALL) for c in QUOTES.values()}
 
 
@@ -36,18 +39,17 @@ def _closing_quote(text: str, start: int, close: str) -> int:
     return -1
 
 
-def _closing_bracket(text: str, start: int) -> int:
-    """Place of the bracket that closes the one at start; -1 if none."""
-    stack = []
-    for i in range(start, len(text)):
-        c = text[i]
-        if c in BRACKETS and (c not in "<＜" or i == start):
-            stack.append(BRACKETS[c])
-        elif stack and c == stack[-1]:
-            stack.pop()
-            if not stack:
-                return i
-    return -1
+def _closing_brackets(text: str) -> dict[int, int]:
+    """Place of each bracket that is closed to that of its closing mark, in one pass."""
+    stack: list[int] = []
+    pairs: dict[int, int] = {}
+    for found in BRACKET.finditer(text):
+        c, i = found[0], found.start()
+        if c in BRACKETS:
+            stack.append(i)
+        elif stack and c == BRACKETS[text[stack[-1]]]:
+            pairs[stack.pop()] = i
+    return pairs
 
 
 def _item(text: str, a: int, b: int, quote: tuple[int, int] | None) -> str:
@@ -73,14 +75,17 @@ def tokenize(text: str | None) -> list[str]:
     if text[:1] == "[" and text[-1:] == "]" and _closing_list(text) == len(text) - 1:
         text = text[1:-1]
     items, start, at, quote = [], 0, 0, None
+    filled, brackets, never = BLANKS.match(text).end(), None, set()
     while found := MARK.search(text, at):
         mark, i = found[0], found.start()
         at = found.end()
         if mark == "\\":
             at += 1
             continue
-        if mark in QUOTES and (mark not in APOSTROPHES or not text[start:i].strip()):
-            end = _closing_quote(text, at, QUOTES[mark])
+        if mark in QUOTES and (mark not in APOSTROPHES or filled >= i):
+            end = -1 if QUOTES[mark] in never else _closing_quote(text, at, QUOTES[mark])
+            if end < 0 and mark != QUOTES[mark]:
+                never.add(QUOTES[mark])  # nor from any later mark on
             if end >= 0 and (mark not in APOSTROPHES or _ends_item(text, end + 1)):
                 if quote is None:
                     quote = (i, end)
@@ -89,30 +94,29 @@ def tokenize(text: str | None) -> list[str]:
             if mark not in APOSTROPHES:
                 continue
         if mark in BRACKETS and mark not in "<＜":
-            end = _closing_bracket(text, i)
-            if end >= 0:
-                at = end + 1
+            brackets = _closing_brackets(text) if brackets is None else brackets
+            at = brackets.get(i, i) + 1
             continue
         if len(mark) == 1 and (mark in INSIDE or mark in CLOSERS):
             continue
         items.append(_item(text, start, i, quote))
-        start, quote = at, None
+        start, quote, filled = at, None, BLANKS.match(text, at).end()
     items.append(_item(text, start, len(text), quote))
     return [x for x in items if x.strip()]
 
 
 def _ends_item(text: str, at: int) -> bool:
     """Whether only white space comes between at and the next separator or the end."""
-    rest = text[at:].lstrip(" \t　\xa0")
-    return not rest or bool((found := MARK.match(rest)) and found[0] not in INSIDE)
+    at = REST.match(text, at).end()
+    return at == len(text) or bool((found := MARK.match(text, at)) and found[0] not in INSIDE)
 
 
 def _closing_list(text: str) -> int:
     """Place of the square bracket that closes the list literal at 0; those in quotes don't count."""
-    depth, at = 0, 0
+    depth, at, last = 0, 0, ""
     while at < len(text):
         c = text[at]
-        if c in "\"'" and (text[:at].rstrip()[-1:] in "[,"):
+        if c in "\"'" and last and last in "[,":
             end = _closing_quote(text, at + 1, c)
             if end >= 0:
                 at = end
@@ -122,6 +126,8 @@ def _closing_list(text: str) -> int:
             depth -= 1
             if not depth:
                 return at
+        if not c.isspace():
+            last = c
         at += 1
     return -1
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -30,12 +31,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and read it from there.
 
-    The folder is the one the cluster names in spark.checkpoint.dir; only a session without
-    one (a test) gets a folder of this machine.
+    The folder is the one the cluster names in spark.checkpoint.dir. A session without one gets a folder of this machine if
+    it runs in this process alone (a test), and is an error else.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if named is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("a cluster must name a shared folder in spark.checkpoint.dir")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tarn-checkpoint-"))
     return df.checkpoint(eager=True)
 
@@ -62,4 +65,5 @@ def spread(scan: DataFrame) -> DataFrame:
 
 def scatter(df: DataFrame) -> DataFrame:
     """Rows of a result of few bytes, which would else be put into few partitions, spread for costly work by row."""
-    return df.repartition(tasks(df.sparkSession))
+    spark = df.sparkSession
+    return df.repartition(max(tasks(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))))
