@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tarn.functions.geo import planar_offset
-from tarn.operators.nearby import in_polygons
+from tarn.operators.nearby import SALT, in_polygons
 
 
 def offsets(points: DataFrame, lat: str, lon: str, metres: float) -> DataFrame:
@@ -40,6 +40,23 @@ def adjacent(regions: DataFrame) -> DataFrame:
     return pairs.groupBy("region_a", "region_b").agg(F.count("*").alias("shared_edges"))
 
 
+def related(regions: DataFrame) -> DataFrame:
+    """(region_a, region_b, relation) of all pairs that touch: shared_side, or point_contact if they share corners only. Other pairs are apart."""
+    e = edges(regions).distinct()
+    corners = e.select("region", F.explode(F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))).alias("c")).distinct()
+    touch = corners.withColumnRenamed("region", "region_a").join(corners.withColumnRenamed("region", "region_b"), "c").where("region_a < region_b").select("region_a", "region_b").distinct()
+    sides = adjacent(regions).select("region_a", "region_b", F.lit("shared_side").alias("relation"))
+    return touch.join(sides, ["region_a", "region_b"], "left").withColumn("relation", F.coalesce("relation", F.lit("point_contact")))
+
+
+def compatibility(rows: DataFrame, region: str, wanted: str, neighbours: DataFrame) -> DataFrame:
+    """rows with compatibility: exact, adjacent (by neighbours of adjacent) or incompatible; missing if either side is null."""
+    pairs = neighbours.select(F.col("region_a").alias(region), F.col("region_b").alias(wanted))
+    both = pairs.unionByName(pairs.select(F.col(wanted).alias(region), F.col(region).alias(wanted))).withColumn("_n", F.lit(True))
+    label = F.when(F.col(region).isNull() | F.col(wanted).isNull(), "missing").when(F.col(region) == F.col(wanted), "exact").when(F.col("_n"), "adjacent").otherwise("incompatible")
+    return rows.join(both, [region, wanted], "left").withColumn("compatibility", label).drop("_n")
+
+
 def boundary_distance(points: DataFrame, regions: DataFrame, key: str, near_m: float) -> DataFrame:
     """(key, region, distance_m) of points within near_m of a region's boundary: grid cells join points and sides.
 
@@ -58,4 +75,6 @@ def boundary_distance(points: DataFrame, regions: DataFrame, key: str, near_m: f
     dx, dy = (F.col("x2") - F.col("x1")) * kx, (F.col("y2") - F.col("y1")) * 111_194.93
     along = F.greatest(F.lit(0.0), F.least(F.lit(1.0), -(ax * dx + ay * dy) / (dx * dx + dy * dy)))
     distance: Column = F.hypot(ax + along * dx, ay + along * dy)
-    return placed.join(sides, ["cx", "cy"]).withColumn("d", distance).where(F.col("d") <= near_m).groupBy(key, "region").agg(F.min("d").alias("distance_m"))
+    spread = F.pmod(F.xxhash64("lat", "lon"), F.lit(SALT))  # a cell may hold a third of all points
+    placed, sides = placed.withColumn("_s", spread), sides.withColumn("_s", F.explode(F.array(*map(F.lit, range(SALT)))))
+    return placed.join(sides, ["cx", "cy", "_s"]).withColumn("d", distance).where(F.col("d") <= near_m).groupBy(key, "region").agg(F.min("d").alias("distance_m"))

@@ -10,13 +10,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tarn.functions.geo import EARTH_M, finite, haversine_m, haversine_np
-from tarn.session import cut_lineage, is_small, scatter
+from tarn.session import cut_lineage, scatter
 
 COVER = "level int, cell bigint, interior boolean"
-#: Rows of a cover that may be broadcast (about 40 bytes each); a larger one is joined by shuffle, with salt.
+#: Rows of a cover, and edges in them, that may be broadcast (about 40 bytes each); a larger one is joined by shuffle, with salt.
 BROADCAST_CELLS = 200_000
 SALT = 16
 
@@ -30,25 +31,6 @@ def _disc_state(lat: float, lon: float, radius: float, south, west, size) -> np.
     return np.where(inside, 2, np.where(near * 0.99 - 1 > radius, 0, 1))
 
 
-def _ring_state(rings: list[np.ndarray], south, west, size) -> np.ndarray:
-    """The same for polygon rings of (lon, lat): cells that no edge touches are inside or outside by their centre."""
-    state = np.empty(len(south), np.int64)
-    touched = np.zeros(len(south), bool)
-    parity = np.zeros(len(south), bool)
-    cx, cy = west + size / 2, south + size / 2
-    for ring in rings:
-        for (x1, y1), (x2, y2) in zip(ring, np.roll(ring, -1, 0)):
-            out = (max(x1, x2) < west) | (min(x1, x2) > west + size) | (max(y1, y2) < south) | (min(y1, y2) > south + size)
-            side = lambda x, y: (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1)  # noqa: B023, E731
-            corners = np.stack([side(west, south), side(west + size, south), side(west, south + size), side(west + size, south + size)])
-            touched |= ~out & (corners.min(0) <= 0) & (corners.max(0) >= 0)
-            if y1 != y2:
-                parity ^= ((y1 > cy) != (y2 > cy)) & (cx < (x2 - x1) * (cy - y1) / (y2 - y1) + x1)
-    state[:] = np.where(parity, 2, 0)
-    state[touched] = 1
-    return state
-
-
 def _cover(south: float, west: float, north: float, east: float, state: Callable, depth: int) -> list[tuple[int, int, bool]]:
     """Cells of a box: from the finest level at which the box spans few cells, boundary cells are split depth times."""
     span = max(north - south, east - west, 1e-7)
@@ -94,22 +76,104 @@ def cover_discs(regions: DataFrame, radius_m: float, depth: int = 4) -> DataFram
     return _covered(rows, f"region {kind}, lat double, lon double", cells)
 
 
-def cover_polygons(regions: DataFrame, depth: int = 6) -> DataFrame:
-    """Cover of polygons (region, rings array<array<struct<x, y>>>), holes by even-odd; null or empty rings give none."""
-    rows = regions.select("region", F.to_json("rings").alias("rings")).where("rings is not null")
+#: Edges in a boundary cell from which it is split further, and the most splits of a polygon's first cells.
+CELL_EDGES, POLYGON_DEPTH = 24, 12
+EDGE = "x1: double, y1: double, x2: double, y2: double"
+POLYGON_COVER = f"{COVER}, centre_in boolean, edges array<struct<{EDGE}>>"
+
+
+def _edges_of(rings: pa.ListScalar) -> np.ndarray:
+    """(x1, y1, x2, y2) of the sides of rings, holes alike."""
+    parts = [np.zeros((0, 4))]
+    for ring in rings.values or ():
+        if ring.is_valid:
+            points = ring.values.drop_null()
+            points = np.stack([points.field(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in ("x", "y")], 1)
+            if len(points) > 2:
+                parts.append(np.hstack([points, np.roll(points, -1, 0)]))
+    edges = np.concatenate(parts)
+    return edges[np.isfinite(edges).all(1)]
+
+
+def _parity_change(edges: np.ndarray, x: float, y: float, to_x: float, to_y: float) -> bool:
+    """Whether the even-odd state of (to_x, to_y) differs from that of (x, y): crossings on the way along x, then along y."""
+    x1, y1, x2, y2 = edges.T
+    with np.errstate(divide="ignore", invalid="ignore"):
+        at = (x2 - x1) * (y - y1) / (y2 - y1) + x1
+        along = ((y1 > y) != (y2 > y)) & ((x < at) != (to_x < at))
+        at = (y2 - y1) * (to_x - x1) / (x2 - x1) + y1
+        up = ((x1 > to_x) != (x2 > to_x)) & ((y < at) != (to_y < at))
+    return bool((along.sum() + up.sum()) % 2)
+
+
+def _touching(edges: np.ndarray, west: float, south: float, size: float) -> np.ndarray:
+    """Edges that touch a cell, or come near it."""
+    margin = size * 1e-9 + 1e-12
+    w, e, s, n = west - margin, west + size + margin, south - margin, south + size + margin
+    x1, y1, x2, y2 = edges.T
+    near = (np.maximum(x1, x2) >= w) & (np.minimum(x1, x2) <= e) & (np.maximum(y1, y2) >= s) & (np.minimum(y1, y2) <= n)
+    edges = edges[near]
+    x1, y1, x2, y2 = edges.T
+    side = np.stack([(x2 - x1) * (y - y1) - (y2 - y1) * (x - x1) for x in (w, e) for y in (s, n)])
+    return edges[(side.min(0) <= 0) & (side.max(0) >= 0)]
+
+
+def _polygon_cells(edges: np.ndarray) -> Iterator[tuple]:
+    """(level, cell, interior, centre_in, edges) of the cells of a polygon; a cell hands only its own edges to its quarters."""
+    low, high = edges[:, :2].min(0), edges[:, :2].max(0)
+    level = max(1, int(np.floor(np.log2(180 / max(*(high - low), 1e-7)))))
+    size = 180 / 2**level
+    first, last = ((low + (180, 90)) // size).astype(int), ((high + (180, 90)) // size).astype(int)
+    outside = low[0] - 1.0, low[1] - 1.0
+    todo = []
+    for ix in range(first[0], last[0] + 1):
+        for iy in range(first[1], last[1] + 1):
+            middle = (ix + 0.5) * size - 180, (iy + 0.5) * size - 90
+            todo.append((level, ix, iy, _parity_change(edges, *outside, *middle), edges))
+    end = level + POLYGON_DEPTH
+    while todo:
+        level, ix, iy, inside, near = todo.pop()
+        size = 180 / 2**level
+        west, south = ix * size - 180, iy * size - 90
+        near = _touching(near, west, south, size)
+        cell = int(ix % 2 ** (level + 1)) << 30 | int(iy)
+        if not len(near):
+            if inside:
+                yield level, cell, True, True, []
+            continue
+        if len(near) <= CELL_EDGES or level == end:
+            yield level, cell, False, inside, [dict(zip(("x1", "y1", "x2", "y2"), map(float, e))) for e in near]
+            continue
+        x, y = west + size / 2, south + size / 2
+        for a in (0, 1):
+            for b in (0, 1):
+                todo.append((level + 1, 2 * ix + a, 2 * iy + b, inside ^ _parity_change(near, x, y, west + (a + 0.5) * size / 2, south + (b + 0.5) * size / 2), near))
+
+
+def cover_polygons(regions: DataFrame) -> DataFrame:
+    """Cover of polygons (region, rings array<array<struct<x, y>>>), holes by even-odd; null or empty rings give none.
+
+    A boundary cell holds what an exact test of a point in it needs: the state of its centre and the few edges that touch it.
+    The polygon itself is not copied. Columns of regions other than these two are not read.
+    """
+    rows = regions.select("region", "rings").where("region is not null and rings is not null")
     kind = dict(rows.dtypes)["region"]
 
-    def cells(row: tuple) -> list:
-        import json
-
-        rings = [np.array([(p["x"], p["y"]) for p in ring]) for ring in json.loads(row[1]) if ring and len(ring) > 2]
-        if not rings:
-            return []
-        points = np.concatenate(rings)
-        (west, south), (east, north) = points.min(0), points.max(0)
-        return _cover(south, west, north, east, lambda s, w, z: _ring_state(rings, s, w, z), depth)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, names = [], batch.column("region")
+            kinds = [names.type, pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.struct([(c, pa.float64()) for c in ("x1", "y1", "x2", "y2")]))]
+            table = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["region", "level", "cell", "interior", "centre_in", "edges"])  # noqa: B023, E731
+            for region, rings in zip(names, batch.column("rings")):
+                edges = _edges_of(rings)
+                for cell in _polygon_cells(edges) if len(edges) else ():
+                    out.append((region.as_py(), *cell))
+                    if len(out) == 5000:
+                        yield table(out)
+                        out = []
+            yield table(out)
 
-    return _covered(rows, f"region {kind}, rings string", cells)
+    return cut_lineage(scatter(rows).mapInArrow(run, f"region {kind}, {POLYGON_COVER}"))
 
 
 def canonical(lat: Column, lon: Column) -> tuple[Column, Column]:
@@ -128,12 +192,13 @@ def cell_of(lat: Column, lon: Column, level: int) -> Column:
 def match_points(points: DataFrame, cover: DataFrame, exact: Column) -> DataFrame:
     """Rows of points (with lat, lon, and other columns than those of the cover) joined to the regions that hold them.
 
-    exact is the test for points in boundary cells, over columns of points and of the cover. Points without finite
+    exact is the test for points in boundary cells, over columns of points and of the cover, and _y and _x, a point's latitude
+    and longitude within 90 and 180 degrees. Points without finite
     coordinates match nothing. One point is one row for each region that holds it, as often as it stands in points; cells
     don't overlap within a region. Columns of points that are named like some of the cover get the prefix p_. The cover is broadcast if its counted rows are few; else both sides are shuffled by
     cell, points salted, the cover copied to each salt, so that a cell with a third of all points is spread.
     """
-    for clash in {"region", "rings", "level", "cell", "interior", "r_lat", "r_lon"} & {*points.columns}:
+    for clash in {*cover.columns} & {*points.columns}:
         points = points.withColumnRenamed(clash, f"p_{clash}")
     levels = sorted(r[0] for r in cover.select("level").distinct().collect())  # at most 60 values
     rows = points.where(finite(F.col("lat")) & finite(F.col("lon")))
@@ -142,14 +207,15 @@ def match_points(points: DataFrame, cover: DataFrame, exact: Column) -> DataFram
     y, x = canonical(F.col("lat").cast("double"), F.col("lon").cast("double"))
     rows = rows.withColumns({"_y": y, "_x": x})
     keys = F.array(*(F.struct(F.lit(level).alias("level"), cell_of(F.col("_y"), F.col("_x"), level).alias("cell")) for level in levels))
-    rows = rows.withColumn("_k", F.explode(keys)).withColumnsRenamed({"lat": "p_lat", "lon": "p_lon"}).withColumns({"_level": F.col("_k.level"), "_cell": F.col("_k.cell")}).drop("_k", "_y", "_x")
+    rows = rows.withColumn("_k", F.explode(keys)).withColumnsRenamed({"lat": "p_lat", "lon": "p_lon"}).withColumns({"_level": F.col("_k.level"), "_cell": F.col("_k.cell")}).drop("_k")
     on = (F.col("_level") == F.col("level")) & (F.col("_cell") == F.col("cell"))
-    if is_small(cover, BROADCAST_CELLS):
+    weight = F.sum(1 + F.size("edges")) if "edges" in cover.columns else F.count("*")
+    if cover.agg(weight).first()[0] <= BROADCAST_CELLS:
         joined = rows.join(F.broadcast(cover), on)
     else:
         rows = rows.withColumn("_salt", F.pmod(F.xxhash64("p_lat", "p_lon"), F.lit(SALT)))
         joined = rows.join(cover.withColumn("_copy", F.explode(F.array(*map(F.lit, range(SALT))))), on & (F.col("_salt") == F.col("_copy"))).drop("_salt", "_copy")
-    return joined.where(F.col("interior") | exact).drop("_level", "_cell", "level", "cell", "interior")
+    return joined.where(F.col("interior") | exact).drop("_level", "_cell", "_y", "_x", "level", "cell", "interior")
 
 
 def within_radius(regions: DataFrame, points: DataFrame, radius_m: float) -> DataFrame:
@@ -162,19 +228,25 @@ def within_radius(regions: DataFrame, points: DataFrame, radius_m: float) -> Dat
     return match_points(points, cover, exact)
 
 
-def in_rings(x: Column, y: Column, rings: Column) -> Column:
-    """Even-odd containment of a point in array<array<struct<x, y>>> rings."""
+def in_cell(x: Column, y: Column, level: Column, cell: Column, centre_in: Column, edges: Column) -> Column:
+    """Even-odd containment of a point of a boundary cell: the centre's state and the crossings on the way to it, along x, then along y."""
+    size = 180 / F.pow(F.lit(2.0), level)
+    column = F.shiftrightunsigned(cell, 30)
+    to_x = (column + 0.5) * size - 180
+    to_y = (cell.bitwiseAND(F.lit((1 << 30) - 1)) + 0.5) * size - 90
 
-    def crosses(ring: Column) -> Column:
-        edge = lambda a, b: ((a["y"] > y) != (b["y"] > y)) & (x < (b["x"] - a["x"]) * (y - a["y"]) / (b["y"] - a["y"]) + a["x"])
-        after = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
-        return F.size(F.filter(F.zip_with(ring, after, lambda a, b: F.struct(edge(a, b).alias("c"))), lambda e: e["c"]))
+    def crossed(e: Column) -> Column:
+        at = (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]
+        along = ((e["y1"] > y) != (e["y2"] > y)) & ((x < at) != (to_x < at))
+        up_at = (e["y2"] - e["y1"]) * (to_x - e["x1"]) / F.nullif(e["x2"] - e["x1"], F.lit(0.0)) + e["y1"]
+        up = ((e["x1"] > to_x) != (e["x2"] > to_x)) & ((y < up_at) != (to_y < up_at))
+        one = lambda c: F.coalesce(c.cast("int"), F.lit(0))
+        return one(along) + one(up)
 
-    return F.aggregate(F.transform(rings, crosses), F.lit(0), lambda s, n: s + n) % 2 == 1
+    return (F.aggregate(edges, centre_in.cast("int"), lambda s, e: s + crossed(e)) % 2) == 1
 
 
 def in_polygons(regions: DataFrame, points: DataFrame) -> DataFrame:
     """Points (lat, lon, ...) joined to the polygons (region, rings) that hold them; borders by the even-odd rule."""
-    cover = cover_polygons(regions)
-    rings = F.from_json("rings", "array<array<struct<x: double, y: double>>>")
-    return match_points(points, cover, in_rings(F.col("p_lon"), F.col("p_lat"), rings)).drop("rings")
+    exact = in_cell(F.col("_x"), F.col("_y"), F.col("level"), F.col("cell"), F.col("centre_in"), F.col("edges"))
+    return match_points(points, cover_polygons(regions), exact).drop("centre_in", "edges")
