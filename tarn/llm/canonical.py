@@ -8,15 +8,17 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tarn.llm.automaton import automaton
 from tarn.llm.spelling import fold, hiragana, latin, romaji
 from tarn.operators.packed import tokenize
-from tarn.session import spread
+from tarn.session import cut_lineage, scatter
 
 #: Endings for kinds of mountains with their readings, words that typists add to a name.
 ENDINGS = {"山": "やま", "森": "もり", "峰": "みね", "岳": "だけ", "塚": "つか", "丸": "まる"}
@@ -41,82 +43,62 @@ def allowed(form: str) -> int:
 
 
 class Trie:
-    """Forms with payloads (entry, most edits); search by Levenshtein automaton."""
+    """Forms with payloads (entry: most edits, whether it is the entry's own form); search by Levenshtein automaton."""
 
     def __init__(self) -> None:
         self.root: dict = {}
-        self.size = 0
 
-    def add(self, form: str, entry: int, edits: int) -> None:
+    def add(self, form: str, entry: int, edits: int, own: bool = False) -> None:
         node = self.root
         for c in form:
             node = node.setdefault(c, {})
-        node.setdefault("", {})[entry] = max(edits, node.get("", {}).get(entry, 0))
-        self.size += 1
+        known = node.setdefault("", {}).get(entry, (0, False))
+        node[""][entry] = max(edits, known[0]), own or known[1]
 
     def search(self, text: str, edits: int) -> dict[int, int]:
         """Entry to distance, of all entries with a form within edits of text (and within the form's own limit)."""
         found: dict[int, int] = {}
-        n, far = len(text), edits + 1
-        stack = [(self.root, [j if j <= edits else far for j in range(n + 1)], None, "", 1)]
+        machine = automaton(edits)
+        step, window = machine.step, machine.window
+        places: dict[str, int] = {}
+        for j, c in enumerate(text):
+            places[c] = places.get(c, 0) | 1 << j
+        stack = [(self.root, machine.start, 0)]
         while stack:
-            node, row, before, last, depth = stack.pop()
-            low, high = max(1, depth - edits), min(n, depth + edits)  # further from the diagonal no distance is within edits
+            node, state, base = stack.pop()
             for c, child in node.items():
                 if not c:
+                    d = machine.distance(state, len(text) - base)
+                    if d is not None:
+                        for entry, (limit, _) in child.items():
+                            if d <= limit and d < found.get(entry, 99):
+                                found[entry] = d
                     continue
-                new = [far] * (n + 1)
-                if depth <= edits:
-                    new[0] = depth
-                least = new[0]
-                for j in range(low, high + 1):
-                    if text[j - 1] == c:
-                        d = row[j - 1]
-                    else:
-                        d = row[j - 1]
-                        if row[j] < d:
-                            d = row[j]
-                        if new[j - 1] < d:
-                            d = new[j - 1]
-                        d += 1
-                    if before is not None and j > 1 and text[j - 1] == last and text[j - 2] == c and before[j - 2] + 1 < d:
-                        d = before[j - 2] + 1
-                    if d <= edits:
-                        new[j] = d
-                        if d < least:
-                            least = d
-                if least > edits:
-                    continue
-                if "" in child and new[n] <= edits:
-                    for entry, limit in child[""].items():
-                        if new[n] <= limit and new[n] < found.get(entry, 99):
-                            found[entry] = new[n]
-                stack.append((child, new, row, c, depth + 1))
+                new, shift = step(state, places.get(c, 0) >> base & window)
+                if new >= 0:
+                    stack.append((child, new, base + shift))
         return found
 
-    def exact(self, text: str) -> dict[int, int]:
-        """The search with no edits: one path."""
+    def exact(self, text: str) -> dict[int, bool]:
+        """Entries with a form that equals text, with whether it is their own: one path."""
         node = self.root
         for c in text:
             if (node := node.get(c)) is None:
                 return {}
-        return {e: 0 for e in node.get("", {})}
+        return {e: own for e, (_, own) in node.get("", {}).items()}
 
-    def within(self, text: str) -> list[tuple[int, int, dict[int, int]]]:
-        """(start, end, entries) of the longest forms with at least one edit allowed (so no short ones) that text contains."""
-        out, i = [], 0
-        while i < len(text):
+    def within(self, text: str) -> list[tuple[int, int, list[int]]]:
+        """(start, end, entries), for each start, of the longest form with at least one edit allowed (so no short one) that text holds there."""
+        out = []
+        for i in range(len(text)):
             node, best = self.root, None
             for j in range(i, len(text)):
                 if (node := node.get(text[j])) is None:
                     break
-                if "" in node and (full := {e: 0 for e, limit in node[""].items() if limit}):
+                if "" in node and (full := [e for e, (limit, _) in node[""].items() if limit]):
                     best = (i, j + 1, full)
             if best:
                 out.append(best)
-                i = best[1]
-            else:
-                i += 1
         return out
 
 
@@ -131,6 +113,7 @@ class NameList:
     def __init__(self, rows: list[tuple]) -> None:
         self.tries = {script: Trie() for script in ("kanji", "kana", "latin")}
         entries: dict[str, int] = {}
+        self.names: list[str] = []
         self.numbers: list[list[tuple[int, str]]] = []
         for number, name, reading, district in sorted(rows, key=lambda r: r[0]):
             if not name or not name.strip():
@@ -138,6 +121,7 @@ class NameList:
             name = fold(name)
             if name not in entries:
                 entries[name] = len(entries)
+                self.names.append(name)
                 self.numbers.append([])
             entry = entries[name]
             self.numbers[entry].append((number, fold(district or "")))
@@ -145,10 +129,10 @@ class NameList:
 
     def _add(self, name: str, reading: str | None, entry: int) -> None:
 
-        def add(form: str, entry: int, edits: int) -> None:
-            self.tries[_script(form)].add(form, entry, edits)
+        def add(form: str, entry: int, edits: int, own: bool = False) -> None:
+            self.tries[_script(form)].add(form, entry, edits, own)
 
-        add(name, entry, allowed(name))
+        add(name, entry, allowed(name), True)
         if name[-1] in ENDINGS and len(name) > 2:
             stem = name[:-1]
             for ending in ENDINGS:
@@ -164,11 +148,12 @@ class NameList:
                 forms |= {stem: 0} | {stem[:-1]: 0 for _ in "x" if stem[-1] in "がの" and len(stem) > 3}
                 forms |= {stem + r: 0 for r in ENDINGS.values() if stem + r != kana}
             for form, edits in forms.items():
-                add(form, entry, min(edits, allowed(form)))
+                add(form, entry, min(edits, allowed(form)), form == kana)
                 latin_form = latin(romaji(form))
                 add(latin_form, entry, min(edits, allowed(latin_form)))
 
-    def cores(self, text: str) -> list[str]:
+    @staticmethod
+    def cores(text: str) -> list[str]:
         """Folded forms of a text without remarks, dates, counts and added words; the fullest first."""
         text = unicodedata.normalize("NFKC", text)
         bare = REMARK.sub("", text)
@@ -195,54 +180,88 @@ class NameList:
         return list(dict.fromkeys(out))
 
     @lru_cache(50_000)  # noqa: B019
-    def find(self, item: str) -> tuple[tuple[int, ...], int]:
-        """(entries, distance) that an item names; no entries if it names none or several as well as each other."""
-        cores = self.cores(item)
+    def candidates(self, item: str) -> tuple[tuple[int, int, int, int, int], ...]:
+        """(rank, distance, start, end, entry) of the entries that an item may name. Lower ranks are better readings of the item.
+
+        A core that equals a form (an entry's own before aliases, the barest core first), then all entries within the distance
+        that the barest core's length allows, then the longest forms that the fullest core contains. All of the first of these
+        three that there are come out.
+        """
         keyed = []
-        for core in cores[::-1]:
+        for core in self.cores(item)[::-1]:
             if KANJI.search(core):
                 keyed.append(fold(core))
             elif re.search("[ぁ-んァ-ヶ]", core):
                 keyed.append(hiragana(core))
             elif re.search("[a-z]", core):
                 keyed.append(latin(core))
-        for key in keyed:
+        for rank, key in enumerate(keyed):
             if found := self.tries[_script(key)].exact(key):
-                return tuple(found), 0
+                return tuple((2 * rank + (not own), 0, 0, 0, e) for e, own in found.items())
         for key in keyed[:1]:
             if (edits := allowed(key)) and (found := self.tries[_script(key)].search(key, edits)):
-                least = min(found.values())
-                best = tuple(e for e, d in found.items() if d == least)
-                if len(best) == 1:
-                    return best, least
+                return tuple((NEAR, d, 0, 0, e) for e, d in found.items())
         for key in keyed[-1:]:
             if found := self.tries[_script(key)].within(key):
-                return tuple(dict.fromkeys(e for _, _, es in found for e in es)), 0
-        return (), 0
+                return tuple((HELD, 0, start, end, e) for start, end, es in found for e in es)
+        return ()
+
+    def described(self, text: str) -> list[list[tuple]]:
+        """Candidates of each item of a text, with (name, [(number, district)]) for the entry: as they may be told from those of other lists."""
+        return [[(*c[:4], self.names[c[4]], self.numbers[c[4]]) for c in self.candidates(item)] for item in tokenize(text)]
 
     def resolve(self, text: str) -> list[tuple[int, int]]:
         """(number, distance) of all entries that a text of several items names."""
-        out: dict[int, int] = {}
-        whole = None
-        for item in tokenize(text):
-            entries, distance = self.find(item)
-            for entry in entries:
-                options = self.numbers[entry]
-                if len(options) > 1:
-                    near = self._meant(options, fold(item))
-                    if not near:
-                        whole = whole or fold(text)
-                        near = self._meant(options, whole)
-                    options = near or options
-                for number, _ in options:
-                    out[number] = min(distance, out.get(number, 99))
-        return sorted(out.items())
+        return decided(text, self.described(text))
 
-    @staticmethod
-    def _meant(options: list[tuple[int, str]], text: str) -> list[tuple[int, str]]:
-        """Entries whose district stands in the folded text, with or without its ending (one of a single character as a remark)."""
-        remarks = REMARK.findall(text)
-        return [o for o in options if o[1] and (o[1] in text or (len(o[1]) > 2 and o[1][:-1] in text) or o[1][:-1] in remarks)]
+
+NEAR, HELD = 1000, 1001
+
+
+def chosen(found: list[tuple]) -> list[tuple]:
+    """Of candidates of an item those it names: all of the best rank, but of near ones the nearest, none if several are.
+
+    Of forms that the item holds, the first and longest counts, and so on behind its end.
+    """
+    best = [c for c in found if c[0] == min(f[0] for f in found)]
+    if best and best[0][0] == NEAR:
+        least = min(c[1] for c in best)
+        best = [c for c in best if c[1] == least]
+        return best if len({c[4] for c in best}) == 1 else []
+    if best and best[0][0] == HELD:
+        kept, end = set(), -1
+        for a, b in sorted({c[2:4] for c in best}, key=lambda span: (span[0], -span[1])):
+            if a >= end:
+                kept.add((a, b))
+                end = b
+        best = [c for c in best if c[2:4] in kept]
+    return best
+
+
+def decided(text: str, items: list[list[tuple]]) -> list[tuple[int, int]]:
+    """(number, distance) of a text, of the described candidates of its items, whichever lists they are from."""
+    out: dict[int, int] = {}
+    whole = None
+    for item, found in zip(tokenize(text), items):
+        options: dict[str, list] = {}
+        for _, distance, _, _, name, numbers in chosen(found):
+            options.setdefault(name, []).extend((*n, distance) for n in numbers)
+        for entries in options.values():
+            if len(entries) > 1:
+                near = _meant(entries, fold(item))
+                if not near:
+                    whole = whole or fold(text)
+                    near = _meant(entries, whole)
+                entries = near or entries
+            for number, _, distance in entries:
+                out[number] = min(distance, out.get(number, 99))
+    return sorted(out.items())
+
+
+def _meant(options: list[tuple], text: str) -> list[tuple]:
+    """Entries whose district stands in the folded text, with or without its ending (one of a single character as a remark)."""
+    remarks = REMARK.findall(text)
+    return [o for o in options if o[1] and (o[1] in text or (len(o[1]) > 2 and o[1][:-1] in text) or o[1][:-1] in remarks)]
 
 
 def blocks_of(names: DataFrame, number: str, name: str, reading: str, district: str) -> Iterator[list[tuple]]:
@@ -258,34 +277,78 @@ def blocks_of(names: DataFrame, number: str, name: str, reading: str, district:
         yield block
 
 
-def resolve_names(df: DataFrame, key: str, text: str, blocks: list[list[tuple]]) -> DataFrame:
+CANDIDATES = "items array<array<struct<rank: int, distance: int, start: int, end: int, name: string, numbers: array<struct<number: int, district: string>>>>>"
+#: What becomes of a text with the described candidates of its items.
+RowsOf = Callable[[str, list[list[tuple]]], list[tuple]]
+
+
+def over_candidates(texts: DataFrame, blocks: Iterable[list[tuple]], rows_of: RowsOf, schema: str) -> DataFrame:
+    """rows_of(text, candidates) of all texts, a column of distinct ones; schema begins with text string.
+
+    A list of one block is searched where rows_of runs. Of more blocks each goes to the executors in a plan of its own, whose
+    result is written before the driver takes the next; candidates of all blocks are put together before anything is chosen,
+    so no choice depends on how the list is cut.
+    """
+    columns = re.findall(r"(?:^|, )(\w+) ", schema)
+
+    def search(block: list[tuple]):
+        def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            names = _name_list(block)
+            for batch in batches:
+                yield pd.DataFrame({"text": batch["text"], "items": [names.described(t) for t in batch["text"]]})
+
+        return found
+
+    def whole(block: list[tuple]):
+        def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            names = _name_list(block)
+            for batch in batches:
+                yield pd.DataFrame([r for t in batch["text"] for r in rows_of(t, names.described(t))], columns=columns)
+
+        return found
+
+    def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        read = lambda c: (*(c[k] for k in ("rank", "distance", "start", "end", "name")), [(n["number"], n["district"]) for n in c["numbers"]])
+        for batch in batches:
+            items = [[[read(c) for part in parts for c in part] for parts in zip(*blocks)] for blocks in batch["all"]]
+            yield pd.DataFrame([r for t, i in zip(batch["text"], items) for r in rows_of(t, i)], columns=columns)
+
+    source = iter(blocks)
+    first, second = next(source, []), next(source, None)
+    if second is None:
+        return texts.mapInPandas(whole(first), schema)
+    every = None
+    for block in chain((first, second), source):
+        part = cut_lineage(texts.mapInPandas(search(block), f"text string, {CANDIDATES}"))
+        every = part if every is None else every.unionByName(part)
+    return every.groupBy("text").agg(F.collect_list("items").alias("all")).mapInPandas(merged, schema)  # one row of each block
+
+
+def resolve_names(df: DataFrame, key: str, text: str, blocks: Iterable[list[tuple]]) -> DataFrame:
     """(key, number, distance): for each row with text one row per entry it names, or number 0 if it names none.
 
     Null and blank texts, and null keys, give no row; re-delivered rows count once; a name that two entries share is told by
     the district in the text and gives all of them if the text has none; an item as close to several names gives none.
-    Texts of any length are read whole. An empty list gives 0 for every text.
+    Texts of any length are read whole, each distinct one once. An empty list gives 0 for every text.
     """
-    rows = spread(df.select(F.col(key).alias("key"), F.col(text).alias("text")).where("key is not null and text is not null"))
-    kind = dict(rows.dtypes)["key"]
+    rows_of = lambda t, items: [(t, n, d) for n, d in decided(t, items) or [(0, 0)]] if t.strip() else []
+    return _by_key(df, key, text, blocks, rows_of, "number int, distance int")
 
-    def run(block: list[tuple]):
-        def resolved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            names = _name_list(block)
-            for batch in batches:
-                out = [(k, n, d) for k, t in zip(batch["key"], batch["text"]) if t.strip() for n, d in (names.resolve(t) or [(0, 0)])]
-                yield pd.DataFrame(out, columns=["key", "number", "distance"])
-
-        return resolved
-
-    found = None
-    for block in blocks or [[]]:
-        part = rows.mapInPandas(run(block), f"key {kind}, number int, distance int")
-        found = part if found is None else found.unionByName(part)
-    found = found.distinct()
-    if len(blocks) > 1:  # 0 only where no block has a name
-        some = found.groupBy("key").agg(F.max("number").alias("_most"))
-        found = found.join(some, "key").where("number > 0 or _most = 0").drop("_most")
-    return found.withColumnRenamed("key", key)
+
+def all_within(df: DataFrame, key: str, text: str, blocks: Iterable[list[tuple]]) -> DataFrame:
+    """(key, item_pos, number, distance): all entries within the distance that an item's length allows, ties too; equal forms are at 0.
+
+    Items count from 1; rows and texts as in resolve_names; texts without such an entry give none.
+    """
+    rows_of = lambda t, items: list({(t, pos, number, c[1]) for pos, found in enumerate(items, 1) for c in found if c[0] <= NEAR for number, _ in c[5]})
+    return _by_key(df, key, text, blocks, rows_of, "item_pos int, number int, distance int")
+
+
+def _by_key(df: DataFrame, key: str, text: str, blocks: Iterable[list[tuple]], rows_of: RowsOf, schema: str) -> DataFrame:
+    rows = df.select(F.col(key).alias("key"), F.col(text).alias("_text")).where("key is not null and _text is not null").distinct()
+    found = over_candidates(scatter(rows.select(F.col("_text").alias("text")).distinct()), blocks, rows_of, f"text string, {schema}")
+    named = rows.join(found, F.col("_text") == F.col("text")).drop("_text", "text")
+    return named.distinct().withColumnRenamed("key", key)
 
 
 _LISTS: dict[int, NameList] = {}

@@ -2,24 +2,24 @@
 
 Records of two sides become a graph whose edges join records that share a rare attribute combination (a blocking key). An
 edge weighs the logarithm of its likelihood ratio, so rare shared names and days weigh most (Fellegi and Sunter with
-frequencies). Meta-blocking keeps an edge only if it is no weaker than the mean of one of its ends. The remaining similarity is
-propagated between neighbouring edges (sum-product messages of one-to-one matching) until it is stable; the result of an edge
-is its probability.
+frequencies). Meta-blocking keeps an edge only if it is no weaker than the mean of one of its ends. Similarity is then
+propagated in two ways until it is stable: edges that share a record take from each other (sum-product messages of one-to-one
+matching), and an edge whose neighbours match gains: neighbours of a record are those of its own side with the same name one
+day before or after. How much a matched neighbour tells is counted in the data. The result of an edge is its probability.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tarn.llm.canonical import _name_list
+from tarn.llm.canonical import NameList, chosen, over_candidates
 from tarn.llm.spelling import fold
 from tarn.operators.packed import tokenize
-from tarn.session import broadcast_if_small, cut_lineage
+from tarn.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -33,36 +33,28 @@ class MatchParameters:
     spread: float = 1.2  # width over which the logarithm of distance and duration of chance pairs is spread
     share: float = 0.93  # both name listed entries, and share one
     prior: float = 0.7  # records that have a partner
-    most_pairs: int = 2_000_000  # of a blocking key before it is split by distance and duration
+    slack_km: float = 0.06  # beside the tolerance: what rounding makes of small values
+    slack_minutes: float = 1.0
     accept: float = 0.5
-    change: float = 1e-3
-    rounds: int = 30
+    change: float = 1e-3  # of a message or of a neighbour's support, below which all is stable
+    at_once: int = 3  # rounds of messages between two looks at their change
+    most_rounds: int = 3000  # beyond which the messages count as not ending, an error
 
 
-def tokens_of(text: Column, blocks: list[list[tuple]]) -> Column:
-    """struct(tokens, named): entries of the list that a text names, as e<number>, and its other items folded; named if any entry."""
+def tokens_of(texts: DataFrame, blocks: Iterable[list[tuple]]) -> DataFrame:
+    """(text, tokens, named) of distinct texts: entries of the list that a text names, as e<number>, and its other items folded; named if any entry."""
 
-    def column(block: list[tuple]) -> Column:
-        @F.pandas_udf("struct<tokens: array<string>, named: boolean>")
-        def tokens(values: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            names = _name_list(block)
-            for batch in values:
-                out = []
-                for text in batch:
-                    found, named = set(), False
-                    for item in tokenize(text) if text else []:
-                        entries, _ = names.find(item)
-                        named = named or bool(entries)
-                        found |= {f"e{min(names.numbers[e])[0]}" for e in entries} or {fold(names.cores(item)[-1])}
-                    out.append((sorted(found), named))
-                yield pd.DataFrame(out, columns=["tokens", "named"])
+    def rows_of(text: str, items: list[list[tuple]]) -> list[tuple]:
+        tokens, named = set(), False
+        for item, found in zip(tokenize(text), items):
+            least: dict[str, int] = {}
+            for *_, name, numbers in chosen(found):
+                least[name] = min(*(n for n, *_ in numbers), least.get(name, math.inf))
+            named = named or bool(least)
+            tokens |= {f"e{n}" for n in least.values()} or {fold(NameList.cores(item)[-1])}
+        return [(text, sorted(tokens), named)]
 
-        return tokens(text)
-
-    parts = [column(b) for b in blocks or [[]]]
-    if len(parts) == 1:
-        return parts[0]
-    return F.struct(F.array_distinct(F.flatten(F.array(*(p["tokens"] for p in parts)))).alias("tokens"), F.greatest(*(p["named"] for p in parts)).alias("named"))
+    return over_candidates(texts, blocks, rows_of, "text string, tokens array<string>, named boolean")
 
 
 FULL_WIDTH = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
@@ -88,68 +80,67 @@ def minutes(text: Column) -> Column:
     return F.when(value > 0, value)
 
 
-def _bins(value: Column, tolerance: float, both: bool) -> Column:
-    """Bins of a logarithm such that values within tolerance share one: one bin of the one side, two of the other; -1 for null."""
-    at = lambda shift: F.floor((F.log(value) + shift) / (2 * tolerance)).cast("long")
-    bins = F.array_distinct(F.array(at(-tolerance), at(tolerance))) if both else F.array(at(0))
-    return F.when(value > 0, bins).otherwise(F.array(F.lit(-10_000_000).cast("long")))
+NO_NAME_LEFT, NO_NAME_RIGHT, NO_DAY = "left without names", "right without names", "day missing"
 
 
-NO_NAME_LEFT, NO_NAME_RIGHT, NO_DAY = "left without names", "right without names", "day missing"
+def _measures(p: MatchParameters, left: bool, least: int) -> Column:
+    """Hashes of bins of distance and duration, one set for each kind of partner: with both, either or none of the two.
 
+    A record and its partner share a hash exactly if they agree, within the tolerance, in all measures that both have; a pair
+    of other kinds than a hash is for never meets in it, so no key holds all records. least: the fewest measures in common.
+    The right side has the bins within reach of its value, the left side the bin of its own.
+    """
 
-def _keys(records: DataFrame, left: bool) -> DataFrame:
+    def bins(value: Column, slack: float) -> Column:
+        reach = 0.0 if left else p.tolerance + slack / value
+        at = lambda v: F.floor(v / (2 * p.tolerance)).cast("long")
+        return F.sequence(at(F.log(value) - reach), at(F.log(value) + reach))
+
+    none = F.array(F.lit(None).cast("long"))
+    has = {c: F.coalesce((F.col(c) > 1e-6) & (F.col(c) < 1e9), F.lit(False)) for c in ("km", "minutes")}
+    own = F.when(has["km"], 1).otherwise(0) + F.when(has["minutes"], 2).otherwise(0)
+    sets = []
+    for other in range(4):
+        k = F.when(has["km"], bins(F.col("km"), p.slack_km)).otherwise(none) if other & 1 else none
+        m = F.when(has["minutes"], bins(F.col("minutes"), p.slack_minutes)).otherwise(none) if other & 2 else none
+        kinds = own * 4 + other if left else own + other * 4
+        found = F.flatten(F.transform(k, lambda x: F.transform(m, lambda y: F.xxhash64(kinds, x, y))))  # noqa: B023
+        sets.append(F.when(F.bit_count(own.bitwiseAND(F.lit(other))) >= least, found).otherwise(F.array().cast("array<bigint>")))
+    return F.flatten(F.array(*sets))
+
+
+def _keys(records: DataFrame, left: bool, p: MatchParameters) -> DataFrame:
     """(key, id): blocking keys of a side. Days of the left side reach one day to either side for shared tokens."""
-    tokens = F.col("tokens")
     near = F.array(*(F.col("day") + k for k in (-1, 0, 1))) if left else F.array("day")
-    dated = F.flatten(F.transform(tokens, lambda t: F.transform(near, lambda d: F.xxhash64(t, d))))
+    dated = F.flatten(F.transform("tokens", lambda t: F.transform(near, lambda d: F.xxhash64(t, d))))
     marks = [(F.lit(NO_NAME_RIGHT), F.lit(True) if left else ~F.col("named")), (F.lit(NO_NAME_LEFT), ~F.col("named") if left else F.lit(True))]
     bare = F.filter(F.array(*(F.when(on, F.xxhash64(mark, F.col("day"))) for mark, on in marks)), lambda k: k.isNotNull())
-    keys = F.when(F.col("day").isNotNull(), F.concat(dated, bare)).otherwise(F.array().cast("array<bigint>"))
-    return records.select("id", F.explode(keys).alias("key"))
+    keys = records.where("day is not null").select("id", F.explode(F.concat(F.coalesce(dated, F.array().cast("array<bigint>")), bare)).alias("k"), _measures(p, left, 0).alias("s"))
+    return keys.select("id", F.explode(F.transform("s", lambda s: F.xxhash64("k", s))).alias("key"))
 
 
-def _undated_keys(records: DataFrame, left: bool, tolerance: float) -> DataFrame:
-    """Keys of token, distance and duration, through which records without a day meet all of the other side."""
-    combos = F.flatten(F.transform("tokens", lambda t: F.flatten(F.transform(_bins(F.col("km"), tolerance, left), lambda k: F.transform(_bins(F.col("minutes"), tolerance, left), lambda m: F.xxhash64(F.lit(NO_DAY), t, k, m))))))
-    return records.where("named and km > 0 and minutes > 0").select("id", F.explode(combos).alias("key"), F.col("day").isNull().alias("undated"))
+def _undated_keys(records: DataFrame, left: bool, p: MatchParameters) -> DataFrame:
+    """Keys of token and measures, through which records without a day meet all of the other side that share a measure and a name.
+
+    Without a day or a measure in common no pair reaches probability one half.
+    """
+    keys = records.where("named").select("id", F.col("day").isNull().alias("undated"), F.explode("tokens").alias("k"), _measures(p, left, 1).alias("s"))
+    return keys.select("id", "undated", F.explode(F.transform("s", lambda s: F.xxhash64(F.lit(NO_DAY), "k", s))).alias("key"))
 
 
 def candidates(left: DataFrame, right: DataFrame, p: MatchParameters) -> DataFrame:
-    """Distinct (id_a, id_b) of records that share a blocking key. Keys of too many pairs are split by distance and duration."""
-    a, b = _keys(left, True), _keys(right, False)
-    counts = a.groupBy("key").count().withColumnRenamed("count", "na").join(b.groupBy("key").count().withColumnRenamed("count", "nb"), "key")
-    hot = cut_lineage(counts.where(F.col("na").cast("double") * F.col("nb") > p.most_pairs).select("key", F.lit(True).alias("hot")))
-    if hot.isEmpty():
-        pairs = a.withColumnRenamed("id", "id_a").join(b.withColumnRenamed("id", "id_b"), "key")
-    else:
-        hot = broadcast_if_small(hot, 10_000)
-
-        def split(keys: DataFrame, records: DataFrame, both: bool) -> DataFrame:
-            bins = records.select("id", _bins(F.col("km"), p.tolerance, both).alias("k"), _bins(F.col("minutes"), p.tolerance, both).alias("m"))
-            wide = F.array(F.lit(-10_000_000).cast("long"))
-            marked = keys.join(hot, "key", "left").join(bins, "id")
-            # a missing value meets all: both sides also stand under the mark for missing
-            ks, ms = F.array_union(F.col("k"), wide), F.array_union(F.col("m"), wide)
-            lack = lambda k, m: (k == -10_000_000) | (m == -10_000_000)
-            full = F.flatten(F.transform(ks, lambda k: F.transform(ms, lambda m: F.struct(F.xxhash64(F.col("key"), k, m).alias("key"), lack(k, m).alias("lacks")))))
-            sub = F.when(F.col("hot"), full).otherwise(F.array(F.struct(F.col("key"), F.lit(False).alias("lacks"))))
-            missing = (F.element_at("k", 1) == -10_000_000) | (F.element_at("m", 1) == -10_000_000)
-            return marked.select("id", missing.alias("missing"), F.explode(sub).alias("s")).select("id", "missing", "s.key", "s.lacks")
-
-        x = split(a, left, True).withColumnsRenamed({"id": "id_a", "missing": "miss_a"})
-        y = split(b, right, False).drop("lacks").withColumnsRenamed({"id": "id_b", "missing": "miss_b"})
-        pairs = x.join(y, "key").where("not lacks or miss_a or miss_b")
-    u, v = _undated_keys(left, True, p.tolerance).withColumnRenamed("id", "id_a"), _undated_keys(right, False, p.tolerance).withColumnRenamed("id", "id_b")
-    late = u.where("undated").drop("undated").join(v.drop("undated"), "key").unionByName(u.drop("undated").join(v.where("undated").drop("undated"), "key"))
+    """Distinct (id_a, id_b) of records that share a blocking key and agree in the measures that both have, at every size of a block."""
+    pairs = _keys(left, True, p).withColumnRenamed("id", "id_a").join(_keys(right, False, p).withColumnRenamed("id", "id_b"), "key")
+    u, v = _undated_keys(left, True, p).withColumnRenamed("id", "id_a"), _undated_keys(right, False, p).withColumnRenamed("id", "id_b")
+    late = u.where("undated").drop("undated").join(v.drop("undated"), "key").unionByName(u.where("not undated").drop("undated").join(v.where("undated").drop("undated"), "key"))
     return pairs.select("id_a", "id_b").unionByName(late.select("id_a", "id_b")).distinct()
 
 
 def weighted(left: DataFrame, right: DataFrame, p: MatchParameters) -> DataFrame:
-    """Edges (id_a, id_b, w): logarithm of the odds that a candidate pair is one entity."""
+    """Edges (id_a, id_b, w, place, day_a, day_b): logarithm of the odds that a candidate pair is one entity, the least token both share."""
     total = right.count()
     if not total:
-        return left.select(F.col("id").alias("id_a"), F.col("id").alias("id_b"), F.lit(0.0).alias("w")).limit(0)
+        return left.select(F.col("id").alias("id_a"), F.col("id").alias("id_b"), F.lit(0.0).alias("w"), F.lit("").alias("place"), F.col("day").alias("day_a"), F.col("day").alias("day_b")).where("false")
     rarity = right.select("id", F.explode("tokens").alias("token"))
     counts = rarity.groupBy("token").agg(F.count("*").alias("n"))
     rare = rarity.join(counts, "token").groupBy("id").agg(F.collect_list(F.struct("token", F.log(F.lit(float(total)) / F.col("n")).alias("rare"))).alias("rare"))
@@ -170,8 +161,9 @@ def weighted(left: DataFrame, right: DataFrame, p: MatchParameters) -> DataFrame
         near = math.log(p.close / chance)
         return F.when((u > 0) & (v > 0), F.when(off <= p.tolerance, near).when(off <= 2 * p.tolerance, math.log((1 - p.close) / 4 / chance)).otherwise(math.log((1 - p.close) / 20))).otherwise(0.0)
 
-    w = name + day + close("km", 0.06) + close("minutes", 1.0) + math.log(p.prior / total)
-    return pairs.select("id_a", "id_b", w.alias("w"))
+    w = name + day + close("km", p.slack_km) + close("minutes", p.slack_minutes) + math.log(p.prior / total)
+    place = F.array_min(F.array_intersect("tokens", F.transform("rare", lambda r: r["token"])))
+    return pairs.select("id_a", "id_b", w.alias("w"), place.alias("place"), "day_a", "day_b")
 
 
 def pruned(edges: DataFrame) -> DataFrame:
@@ -181,30 +173,60 @@ def pruned(edges: DataFrame) -> DataFrame:
     return kept.withColumns({"ma": F.avg("w").over(a), "mb": F.avg("w").over(b)}).where("w >= ma or w >= mb").drop("ma", "mb")
 
 
-def propagated(edges: DataFrame, p: MatchParameters) -> DataFrame:
-    """(id_a, id_b, confidence): marginals of one-to-one matching; only edges with neighbours take part in the rounds."""
-    odds = F.exp(F.least(F.col("w"), F.lit(40.0)))
+def _messages(rest: DataFrame, p: MatchParameters) -> DataFrame:
+    """Edges (with o, xa, xb) after messages of one-to-one matching between edges that share a record, sent until they are stable."""
     a, b = Window.partitionBy("id_a"), Window.partitionBy("id_b")
-    graph = edges.withColumns({"o": odds, "da": F.count("*").over(a), "db": F.count("*").over(b)})
-    graph = cut_lineage(graph.select("id_a", "id_b", "o", (F.col("da") + F.col("db") == 2).alias("lone"), F.col("o").alias("xa"), F.col("o").alias("xb")))
-    lone, rest = graph.where("lone"), graph.where("not lone").drop("lone")
-    for _ in range(p.rounds):
-        out = rest.withColumn("na", F.col("o") / (1 + F.greatest(F.sum("xb").over(a) - F.col("xb"), F.lit(0.0))))
-        out = out.withColumn("nb", F.col("o") / (1 + F.greatest(F.sum("na").over(b) - F.col("na"), F.lit(0.0))))
-        rest = cut_lineage(out)
-        moved = rest.agg(F.max(F.greatest(F.abs(F.log(F.col("na") / F.col("xa"))), F.abs(F.log(F.col("nb") / F.col("xb")))))).first()[0]
-        rest = rest.select("id_a", "id_b", "o", F.col("na").alias("xa"), F.col("nb").alias("xb"))
+    for _ in range(0, p.most_rounds, p.at_once):
+        for _ in range(p.at_once):
+            rest = rest.withColumnsRenamed({"xa": "_a", "xb": "_b"})
+            rest = rest.withColumn("xa", F.col("o") / (1 + F.greatest(F.sum("_b").over(a) - F.col("_b"), F.lit(0.0))))
+            rest = rest.withColumn("xb", F.col("o") / (1 + F.greatest(F.sum("xa").over(b) - F.col("xa"), F.lit(0.0))))
+            rest = rest.withColumn("moved", F.greatest(F.abs(F.log(F.col("xa") / F.col("_a"))), F.abs(F.log(F.col("xb") / F.col("_b"))))).drop("_a", "_b")
+        rest = cut_lineage(rest)
+        moved = rest.agg(F.max("moved")).first()[0]
+        rest = rest.drop("moved")
         if moved is None or moved < p.change:
-            break
-    ratio = F.col("xa") * F.col("xb") / F.col("o")
-    return lone.drop("lone").unionByName(rest).select("id_a", "id_b", (ratio / (1 + ratio)).alias("confidence"))
+            return rest
+    raise RuntimeError(f"the messages still move by {moved} after {p.most_rounds} rounds")
+
+
+def _supported(edges: DataFrame) -> DataFrame:
+    """edges with new: the greatest confidence of a neighbouring edge: same name, and the day of both records one before or one after."""
+    known = edges.where("place is not null and day_a is not null and day_b is not null and confidence > 0.01")
+    groups = known.groupBy("place", "day_a", "day_b").agg(F.max("confidence").alias("c"))
+    shifted = groups.withColumn("_d", F.explode(F.array(F.lit(-1), F.lit(1)))).groupBy("place", (F.col("day_a") + F.col("_d")).alias("day_a"), (F.col("day_b") + F.col("_d")).alias("day_b")).agg(F.max("c").alias("new"))
+    return edges.join(shifted, ["place", "day_a", "day_b"], "left").withColumn("new", F.coalesce("new", F.lit(0.0)))
+
+
+def propagated(edges: DataFrame, p: MatchParameters) -> DataFrame:
+    """(id_a, id_b, confidence) when messages and the support by neighbours are stable. Support only grows, so it ends."""
+    a, b = Window.partitionBy("id_a"), Window.partitionBy("id_b")
+    odds = lambda w: F.exp(F.least(w, F.lit(40.0)))
+    graph = edges.withColumns({"o": odds(F.col("w")), "alone": F.count("*").over(a) + F.count("*").over(b) == 2})
+    graph = cut_lineage(graph.withColumns({"xa": F.col("o"), "xb": F.col("o"), "support": F.lit(0.0)}))
+    worth = None
+    while True:
+        alone, rest = graph.where("alone"), graph.where("not alone")
+        graph = alone.unionByName(_messages(rest, p))
+        ratio = F.col("xa") * F.col("xb") / F.col("o")
+        graph = cut_lineage(_supported(graph.withColumn("confidence", ratio / (1 + ratio))))
+        if worth is None:  # how much more often the neighbours of a match match than those of another edge
+            sure, not_ = F.col("confidence") > 0.9, F.col("confidence") < 0.1
+            n = graph.agg(*(F.count_if(c).alias(k) for k, c in {"a": sure & (F.col("new") > 0.5), "b": sure, "c": not_ & (F.col("new") > 0.5), "d": not_}.items())).first()
+            worth = min(2.0, max(0.0, math.log((n.a + 1) / (n.b + 2) * (n.d + 2) / (n.c + 1))))
+        grown = graph.agg(F.max(F.col("new") - F.col("support"))).first()[0]
+        if not worth or grown is None or grown * worth < p.change:
+            return graph.select("id_a", "id_b", "confidence")
+        support = F.greatest("support", "new")
+        o = odds(F.col("w") + worth * support)
+        graph = graph.withColumns({"xa": F.when(F.col("alone"), o).otherwise(F.col("xa")), "xb": F.when(F.col("alone"), o).otherwise(F.col("xb")), "o": o, "support": support}).drop("confidence", "new")
 
 
 def linked(left: DataFrame, right: DataFrame, p: MatchParameters = MatchParameters()) -> DataFrame:
     """(id_a, id_b, confidence) of pairs of left and right that are one entity, each record in one pair at most.
 
     Both sides: id, tokens array<string>, named boolean, day int, km double, minutes double; id is unique, all else may be
-    null (tokens empty). Records with neither a day nor names, distance and duration have no partner. Of equal confidences
+    null (tokens empty). A record without a day has partners only through a listed name and a distance or duration. Of equal confidences
     the pair of smaller ids is taken; an empty side gives an empty result.
     """
     left, right = cut_lineage(left), cut_lineage(right)
