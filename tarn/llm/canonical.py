@@ -6,6 +6,7 @@ a Levenshtein automaton with transpositions walks it and returns all entries wit
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
@@ -180,12 +181,12 @@ class NameList:
         return list(dict.fromkeys(out))
 
     @lru_cache(50_000)  # noqa: B019
-    def candidates(self, item: str) -> tuple[tuple[int, int, int, int, int], ...]:
+    def candidates(self, item: str, every: bool = False) -> tuple[tuple[int, int, int, int, int], ...]:
         """(rank, distance, start, end, entry) of the entries that an item may name. Lower ranks are better readings of the item.
 
         A core that equals a form (an entry's own before aliases, the barest core first), then all entries within the distance
         that the barest core's length allows, then the longest forms that the fullest core contains. All of the first of these
-        three that there are come out.
+        three that there are come out; with every, those that are equal and those within the distance.
         """
         keyed = []
         for core in self.cores(item)[::-1]:
@@ -195,20 +196,26 @@ class NameList:
                 keyed.append(hiragana(core))
             elif re.search("[a-z]", core):
                 keyed.append(latin(core))
+        equal: tuple = ()
         for rank, key in enumerate(keyed):
             if found := self.tries[_script(key)].exact(key):
-                return tuple((2 * rank + (not own), 0, 0, 0, e) for e, own in found.items())
+                equal = tuple((2 * rank + (not own), 0, 0, 0, e) for e, own in found.items())
+                break
+        if equal and not every:
+            return equal
         for key in keyed[:1]:
             if (edits := allowed(key)) and (found := self.tries[_script(key)].search(key, edits)):
-                return tuple((NEAR, d, 0, 0, e) for e, d in found.items())
+                return (*equal, *((NEAR, d, 0, 0, e) for e, d in found.items()))
+        if every:
+            return equal
         for key in keyed[-1:]:
             if found := self.tries[_script(key)].within(key):
                 return tuple((HELD, 0, start, end, e) for start, end, es in found for e in es)
         return ()
 
-    def described(self, text: str) -> list[list[tuple]]:
+    def described(self, text: str, every: bool = False) -> list[list[tuple]]:
         """Candidates of each item of a text, with (name, [(number, district)]) for the entry: as they may be told from those of other lists."""
-        return [[(*c[:4], self.names[c[4]], self.numbers[c[4]]) for c in self.candidates(item)] for item in tokenize(text)]
+        return [[(*c[:4], self.names[c[4]], self.numbers[c[4]]) for c in self.candidates(item, every)] for item in tokenize(text)]
 
     def resolve(self, text: str) -> list[tuple[int, int]]:
         """(number, distance) of all entries that a text of several items names."""
@@ -277,12 +284,11 @@ def blocks_of(names: DataFrame, number: str, name: str, reading: str, district:
         yield block
 
 
-CANDIDATES = "items array<array<struct<rank: int, distance: int, start: int, end: int, name: string, numbers: array<struct<number: int, district: string>>>>>"
 #: What becomes of a text with the described candidates of its items.
 RowsOf = Callable[[str, list[list[tuple]]], list[tuple]]
 
 
-def over_candidates(texts: DataFrame, blocks: Iterable[list[tuple]], rows_of: RowsOf, schema: str) -> DataFrame:
+def over_candidates(texts: DataFrame, blocks: Iterable[list[tuple]], rows_of: RowsOf, schema: str, every: bool = False) -> DataFrame:
     """rows_of(text, candidates) of all texts, a column of distinct ones; schema begins with text string.
 
     A list of one block is searched where rows_of runs. Of more blocks each goes to the executors in a plan of its own, whose
@@ -295,7 +301,7 @@ def over_candidates(texts: DataFrame, blocks: Iterable[list[tuple]], rows_of: Ro
         def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             names = _name_list(block)
             for batch in batches:
-                yield pd.DataFrame({"text": batch["text"], "items": [names.described(t) for t in batch["text"]]})
+                yield pd.DataFrame({"text": batch["text"], "items": [json.dumps(names.described(t, every)) for t in batch["text"]]})
 
         return found
 
@@ -303,25 +309,25 @@ def over_candidates(texts: DataFrame, blocks: Iterable[list[tuple]], rows_of: Ro
         def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             names = _name_list(block)
             for batch in batches:
-                yield pd.DataFrame([r for t in batch["text"] for r in rows_of(t, names.described(t))], columns=columns)
+                yield pd.DataFrame([r for t in batch["text"] for r in rows_of(t, names.described(t, every))], columns=columns)
 
         return found
 
     def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        read = lambda c: (*(c[k] for k in ("rank", "distance", "start", "end", "name")), [(n["number"], n["district"]) for n in c["numbers"]])
+        read = lambda c: (*c[:5], [tuple(n) for n in c[5]])
         for batch in batches:
-            items = [[[read(c) for part in parts for c in part] for parts in zip(*blocks)] for blocks in batch["all"]]
+            items = [[[read(c) for part in parts for c in part] for parts in zip(*map(json.loads, blocks))] for blocks in batch["all"]]
             yield pd.DataFrame([r for t, i in zip(batch["text"], items) for r in rows_of(t, i)], columns=columns)
 
     source = iter(blocks)
     first, second = next(source, []), next(source, None)
     if second is None:
         return texts.mapInPandas(whole(first), schema)
-    every = None
+    found = None
     for block in chain((first, second), source):
-        part = cut_lineage(texts.mapInPandas(search(block), f"text string, {CANDIDATES}"))
-        every = part if every is None else every.unionByName(part)
-    return every.groupBy("text").agg(F.collect_list("items").alias("all")).mapInPandas(merged, schema)  # one row of each block
+        part = cut_lineage(texts.mapInPandas(search(block), "text string, items string"))
+        found = part if found is None else found.unionByName(part)
+    return found.groupBy("text").agg(F.collect_list("items").alias("all")).mapInPandas(merged, schema)  # one row of each block
 
 
 def resolve_names(df: DataFrame, key: str, text: str, blocks: Iterable[list[tuple]]) -> DataFrame:
@@ -340,13 +346,21 @@ def all_within(df: DataFrame, key: str, text: str, blocks: Iterable[list[tuple]]
 
     Items count from 1; rows and texts as in resolve_names; texts without such an entry give none.
     """
-    rows_of = lambda t, items: list({(t, pos, number, c[1]) for pos, found in enumerate(items, 1) for c in found if c[0] <= NEAR for number, _ in c[5]})
-    return _by_key(df, key, text, blocks, rows_of, "item_pos int, number int, distance int")
+
+    def rows_of(text: str, items: list[list[tuple]]) -> list[tuple]:
+        least: dict[tuple[int, int], int] = {}
+        for pos, found in enumerate(items, 1):
+            for _, distance, *_, numbers in found:
+                for number, _ in numbers:
+                    least[pos, number] = min(distance, least.get((pos, number), distance))
+        return [(text, *at, distance) for at, distance in least.items()]
+
+    return _by_key(df, key, text, blocks, rows_of, "item_pos int, number int, distance int", True)
 
 
-def _by_key(df: DataFrame, key: str, text: str, blocks: Iterable[list[tuple]], rows_of: RowsOf, schema: str) -> DataFrame:
+def _by_key(df: DataFrame, key: str, text: str, blocks: Iterable[list[tuple]], rows_of: RowsOf, schema: str, every: bool = False) -> DataFrame:
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("_text")).where("key is not null and _text is not null").distinct()
-    found = over_candidates(scatter(rows.select(F.col("_text").alias("text")).distinct()), blocks, rows_of, f"text string, {schema}")
+    found = over_candidates(scatter(rows.select(F.col("_text").alias("text")).distinct()), blocks, rows_of, f"text string, {schema}", every)
     named = rows.join(found, F.col("_text") == F.col("text")).drop("_text", "text")
     return named.distinct().withColumnRenamed("key", key)
 

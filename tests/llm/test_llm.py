@@ -8,8 +8,8 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tarn.llm import canonical, leakage, matching, tokenizer
-from tarn.llm.canonical import NameList, Trie, resolve_names
+from tarn.llm import leakage, matching, tokenizer
+from tarn.llm.canonical import NameList, Trie, all_within, resolve_names
 from tarn.llm.fillers import filler, label, other_share, symbols, units
 from tarn.llm.leakage import Patterns, leaks, letters_and_digits
 from tarn.llm.matching import MatchParameters, kilometres, linked, minutes, tokens_of
@@ -66,6 +66,21 @@ def test_resolved_rows(spark):
     assert rows(resolve_names(df, "k", "t", [LIST[:1], LIST[1:]]).select("k", "number")) == want  # in blocks
     assert rows(resolve_names(df, "k", "t", []).select("k", "number")) == [(1, 0), (2, 0), (5, 0)]
     assert resolve_names(df.limit(0), "k", "t", [LIST]).collect() == []
+    near = [(1, 1, 1, 0), (1, 2, 2, 0), (1, 2, 4, 1), (1, 2, 8, 1), (6, 1, 2, 1), (6, 1, 8, 1)]  # a tie, which names neither, is among all that are near
+    tied = df.where("k = 1").unionByName(spark.createDataFrame([(6, "瓶ヶ守", 0)], df.schema))
+    for blocks in ([[*LIST, (8, "瓶ヶ盛", None, None)]], [LIST, [(8, "瓶ヶ盛", None, None)]]):
+        assert rows(all_within(tied, "k", "t", blocks)) == near
+        assert rows(resolve_names(tied, "k", "t", blocks).select("k", "number")) == [(1, 1), (1, 2), (6, 0)]
+
+
+def test_choices_do_not_depend_on_blocks(spark):
+    listed = [(1, "石鎚山", None, "甲"), (2, "石鎚森", None, "甲"), (3, "高森山", None, "乙町"), (4, "高森山", None, "内子町"), (5, "小高森山脈", None, "丙"), (6, "森山", None, None), (7, "高森", None, None)]
+    texts = ["石鎚山", "石鎚森", "石鎚峰", "高森山(内子町)", "高森山", "高盛山", "遠くの小高森山脈へ行く道", "高森", "遠い高森山と石鎚森の話", "富士山"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k long, t string")
+    whole = rows(resolve_names(df, "k", "t", [listed]))
+    assert [r[:2] for r in whole if r[0] < 5] == [(0, 1), (1, 2), (2, 1), (2, 2), (3, 4), (4, 3), (4, 4)]
+    for n in (1, 2, 3):
+        assert rows(resolve_names(df, "k", "t", [listed[i : i + n] for i in range(0, 7, n)])) == whole
 
 
 def side(spark, data):
@@ -95,16 +110,32 @@ def test_matching_of_made_outings(spark):
     assert len({a for a, _ in got}) == len(got) == len({b for _, b in got})
 
 
-def test_hot_keys_are_split_without_loss(spark):
+def test_blocks_hold_all_that_agree(spark):
     left, right, _ = outings(300, 2, many=True)
-    a, b = side(spark, left), side(spark, right)
+    left += [(9000, ["e1"], True, 1, None, None), (9002, ["e1"], True, None, 5.0, None), (9004, ["e2"], True, None, None, None)]
+    right += [(9001, ["e1"], True, 1, None, 77.0), (9003, ["e2"], True, 1, 5.1, None)]
     p = MatchParameters()
-    near = lambda x, y: x is None or y is None or abs(np.log(x / y)) <= p.tolerance
-    all_pairs = {(r.id_a, r.id_b) for r in matching.candidates(a, b, p).collect()}
-    split = {(r.id_a, r.id_b) for r in matching.candidates(a, b, MatchParameters(most_pairs=10)).collect()}
-    l, r = {x[0]: x for x in left}, {x[0]: x for x in right}
-    assert {(x, y) for x, y in all_pairs if near(l[x][4], r[y][4]) and near(l[x][5], r[y][5])} <= split <= all_pairs
-    assert len(split) < len(all_pairs)
+    got = [(r.id_a, r.id_b) for r in matching.candidates(side(spark, left), side(spark, right), p).collect()]
+
+    def agree(x, y, slack, reach):
+        return x is None or y is None or abs(np.log(x / y)) <= p.tolerance * reach + slack / max(x, y) * reach
+
+    def met(x, y, reach):
+        day = x[3] is not None and y[3] is not None and (abs(x[3] - y[3]) <= 1 if set(x[1]) & set(y[1]) else x[3] == y[3] and not (x[2] and y[2]))
+        late = (x[3] is None or y[3] is None) and x[2] and y[2] and set(x[1]) & set(y[1]) and any(x[k] and y[k] for k in (4, 5))
+        return (day or late) and agree(x[4], y[4], p.slack_km, reach) and agree(x[5], y[5], p.slack_minutes, reach)
+
+    want = {(x[0], y[0]) for x in left for y in right if met(x, y, 1)}
+    assert want <= set(got) <= {(x[0], y[0]) for x in left for y in right if met(x, y, 4)} and len(got) == len(set(got))
+
+
+def test_a_matched_neighbour_raises(spark):
+    edges = [(1, 11, 0.2, "e1", 5, 5), (1, 12, 0.2, "e1", 5, 5), (2, 12, -3.0, "e1", 5, 5), (3, 13, 9.0, "e1", 6, 6), (4, 14, -1.0, "e2", 5, 5), (5, 15, -1.0, "e1", 5, 7)]
+    edges += [(100 + i, 200 + i, 6.0, f"x{i // 2}", i % 2, i % 2) for i in range(40)] + [(300 + i, 400 + i, -5.0, "far", 100 + 3 * i, 0) for i in range(40)]
+    df = spark.createDataFrame(edges, "id_a long, id_b long, w double, place string, day_a int, day_b int")
+    with_, without = ({(r.id_a, r.id_b): r.confidence for r in matching.propagated(d, MatchParameters()).collect()} for d in (df, df.withColumn("place", F.lit(None).cast("string"))))
+    assert with_.keys() == without.keys() and with_[1, 11] > without[1, 11] + 0.05  # 3 and 13 match the day after
+    assert with_[4, 14] == pytest.approx(without[4, 14]) and with_[5, 15] == pytest.approx(without[5, 15])
 
 
 def test_matching_of_odd_rows(spark):
@@ -118,8 +149,9 @@ def test_written_measures(spark):
     df = spark.createDataFrame([("8.9 km", "5時間10分"), ("８.３㎞", "03:32"), ("8955 m", "141 min"), (None, None), ("?", "-")], "d string, t string")
     got = [tuple(r) for r in df.select(kilometres(F.col("d")), minutes(F.col("t"))).collect()]
     assert got == [(8.9, 310.0), (8.3, 212.0), (8.955, 141.0), (None, None), (None, None)]
-    tokens = df.select(tokens_of(F.lit("石鎚山・散歩"), [LIST]).alias("t")).first().t
-    assert set(tokens.tokens) == {"e1", "散歩"} and tokens.named
+    texts = spark.createDataFrame([("石鎚山・散歩",), ("赤石山",), ("散歩",)], "text string")
+    for blocks in ([LIST], [LIST[:5], LIST[5:]]):
+        assert {r.text: (set(r.tokens), r.named) for r in tokens_of(texts, blocks).collect()} == {"石鎚山・散歩": ({"e1", "散歩"}, True), "赤石山": ({"e5"}, True), "散歩": ({"散歩"}, False)}
 
 
 def test_ids_against_the_library(spark):
