@@ -8,6 +8,7 @@ looks up only the pairs that changed. Words that are done leave the array.
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -15,6 +16,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
 from tarn.session import spread
@@ -144,13 +146,15 @@ def encoded(df: DataFrame, key: str, text: str, vocabulary: str = DEFAULT_VOCABU
     """(key, ids array<int>) of every row, without special tokens.
 
     Null and empty texts have an empty list, never null; blank ones the ids of their blanks. The text of a special token is
-    ordinary text. Rows stay as often as they stand in df; null keys too. The vocabulary file must be readable by executors.
+    ordinary text. Rows stay as often as they stand in df; null keys too. The vocabulary file is sent to the executors.
     """
+    df.sparkSession.sparkContext.addFile(vocabulary)
+    name = os.path.basename(vocabulary)
     rows = spread(df.select(F.col(key).alias("key"), F.col(text).alias("text")))
     kind = dict(rows.dtypes)["key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = merges(vocabulary)
+        model = merges(SparkFiles.get(name))
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)

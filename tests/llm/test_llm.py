@@ -1,5 +1,6 @@
 """Operators of the problems tagged llm on small cases and against brute force."""
 
+import itertools
 import random
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tarn.llm import leakage, matching, tokenizer
 from tarn.llm.canonical import NameList, Trie, all_within, resolve_names
-from tarn.llm.fillers import filler, label, other_share, symbols, units
+from tarn.llm.fillers import STATES, SYMBOLS, Model, filler, label, learned, other_share, posteriors, symbols, units
 from tarn.llm.leakage import Patterns, leaks, letters_and_digits
 from tarn.llm.matching import MatchParameters, kilometres, linked, minutes, tokens_of
 from tarn.llm.spelling import fold, latin, romaji
@@ -193,6 +194,11 @@ def test_search_against_all_windows(seed):
     assert Patterns(items, size).search(texts) == want
 
 
+def test_repeating_texts_are_quick():
+    found = Patterns([(i, "a" * 500) for i in range(50)]).search(["a" * 4000] * 3 + ["b"])  # each hit is one of all places of all items
+    assert [len(f) for f in found] == [50, 50, 50, 0]
+
+
 def test_leaks(spark, monkeypatch):
     passage = "".join(chr(0x4E00 + i * 7 % 800) for i in range(80))
     broken = "\n> ".join(passage[i : i + 9] for i in range(0, 80, 9)).replace(passage[20], passage[20] + "​…")
@@ -208,6 +214,28 @@ def test_leaks(spark, monkeypatch):
 
 
 PROSE = "送電線の鉄塔を過ぎると急に展望が開けるので、ゆっくり歩く。山頂で温かいお茶を食べて21分休む。\n"
+GOODS = ["登山靴", "セール", "通販", "格安", "送料無料", "寝袋", "クーポン", "最安値"], ["outlet", "coupon", "wholesale", "discount", "cheap", "backpack", "shipping"]
+
+
+@pytest.fixture(scope="session")
+def model():
+    """Learned from made pages: diaries in two languages, and fillers of several kinds."""
+    rng = random.Random(5)
+    name = lambda: "".join(rng.choice("甲乙丙丁戊藍凪楓柱紅鴨狸") for _ in range(2)) + rng.choice("山森岳")
+    pages = []
+    for i in range(160):
+        diary = "".join(f"{name()}の尾根を{rng.randrange(90)}分歩いて、{rng.choice(['風が強い', '沢音が近い', '花が見頃だ', '霧が晴れた'])}。" for _ in range(6))
+        pages += [diary, diary.replace("。", "。\n") + "鳥類\nヒガラ、アオバト、メジロ、イカル、トビ", "We left the car park early and reached the ridge. The wind was cold near the top. " * 2, f"コース: {name()} 6:28 → {name()} 9:10"]
+        goods = GOODS[i % 2]
+        pick = lambda n: [rng.choice(goods) for _ in range(n)]  # noqa: B023, E731
+        pages.append(["\n".join(f"https://shop{rng.randrange(99)}.example/p/{rng.randrange(999)}" for _ in range(9)), " | ".join(pick(25)), "\n".join(" ".join(pick(4)) + " " + name() for _ in range(12)), " ".join("#" + x for x in pick(18)), " / ".join(f"{name()} {goods[i % 7]}" for _ in range(14))][i % 5])
+    return learned(pages)
+
+
+def test_what_is_learned(model):
+    assert {"セール", "通販", "outlet", "coupon"} <= model.sold and not model.sold & {"ヒガラ", "メジロ", "ridge", "尾根"}
+    assert np.allclose(np.exp(model.emission).sum(1), 1) and np.allclose(np.exp(model.change).sum(1), 1)
+    assert np.exp(model.emission)[0, SYMBOLS.index("S")] > 0.5
 
 
 @pytest.mark.parametrize(
@@ -216,17 +244,37 @@ PROSE = "送電線の鉄塔を過ぎると急に展望が開けるので、ゆ
         (PROSE * 3, False), ("", False), (" \n", False), ("登山靴 | セール | 通販 | 登山靴 | 格安 | セール | 登山靴 | 通販 | 格安 | 登山靴", True), ("\n".join(f"https://shop{i}.example/p/{i}" for i in range(9)), True),
         (PROSE + "参考:\n- https://a.example/p/1\n- https://b.example/p/2", False), ("■鳥類\nヒガラ、アオバト、シジュウカラ、メジロ、イカル、トビ、カケス、ウグイス、キビタキ\n" + PROSE, False), (PROSE + "#鳥 #秋", False),
         ("#セール #登山靴 #甲山 #通販 " * 12, True), ("今すぐ通販、甲山も通販通販、とにかく通販。通販なら通販専門の通販、乙山の通販も通販。" * 3, True), ("For review think review, X review and review. " * 5, True),
-        ("\n".join(f"{a}山日帰り" for a in "甲乙丙丁戊己庚辛"), True), ("【コース】甲山 6:28 → 乙山 14:53 → 丙森 8:54\n" + PROSE, False), ("cheaptrekkingpolescoupon" * 30, True), ("あ" * 30_000, False), (PROSE * 3 + "セール、セール、セール、セール", False),
+        ("\n".join(f"{a}山格安" for a in "甲乙丙丁戊己庚辛"), True), ("【コース】甲山 6:28 → 乙山 14:53 → 丙森 8:54\n" + PROSE, False), ("cheaptrekkingpolescoupon" * 30, True), ("あ" * 30_000, False), (PROSE * 3 + "セール、セール、セール、セール", False),
+        ("\n".join(["Walking down the river road", "The morning light is calling me", "Oh sing with me my mountain love", "Oh sing with me tonight", "Oh sing with me my mountain love"] * 3), False),
+        ("\n".join(["夕焼けの空を見上げて", "帰り道を歩いてゆく", "ああ ふるさとの山よ", "ああ ふるさとの川よ"] * 3), False),
+        ("\n".join(f"{a}: a small bird of the forest with a long tail and a loud song" for a in "wren tit finch thrush robin owl dipper crow jay lark".split()), False),
+        ("今すぐｾｰﾙ、甲山もｾｰﾙｾｰﾙ、とにかくｾｰﾙ。" * 4, True), ("> how far in steps of\n> 12 was the stone road\n>  from the bridge post\n> s and the fence of the\n> old sign" + "\n" + PROSE, False),
     ],
 )
-def test_fillers(text, is_filler):
-    assert (other_share(text) > 0.5) is is_filler
+def test_fillers(text, is_filler, model):
+    assert (other_share(text, model) > 0.5) is is_filler
 
 
-def test_labels():
-    assert label([]) == [] and label(list("SSSUUUUSSS")) == ["prose"] * 3 + ["links"] * 4 + ["prose"] * 3
+def test_labels(model):
+    assert label("") == [] and label("SSSUUUUSSS") == ["prose"] * 3 + ["links"] * 4 + ["prose"] * 3
     parts = units("a" * 5000)
-    assert "".join(parts) == "a" * 5000 and len(symbols(parts)) == len(parts)
+    assert "".join(parts) == "a" * 5000 and len(symbols(parts, model.sold)) == len(parts)
+    best = max(itertools.product(range(4), repeat=4), key=lambda p: Model().start[p[0]] + sum(Model().change[a, b] for a, b in zip(p, p[1:])) + sum(Model().emission[s, SYMBOLS.index(c)] for s, c in zip(p, "SKTO")))
+    assert label("SKTO") == [STATES[s] for s in best]
+
+
+def test_expected_counts_against_all_paths():
+    m, signs = Model(), "SKTR"
+    chance = {p: np.exp(m.start[p[0]] + sum(m.change[a, b] for a, b in zip(p, p[1:])) + sum(m.emission[s, SYMBOLS.index(c)] for s, c in zip(p, signs))) for p in itertools.product(range(4), repeat=4)}
+    total = sum(chance.values())
+    start, moves, counts, states = posteriors([signs, "S", signs], m)
+    want = np.zeros((4, 4))
+    for p, c in chance.items():
+        for a, b in zip(p, p[1:]):
+            want[a, b] += c / total
+    one = posteriors(["S"], m)
+    assert np.allclose(moves, 2 * want) and np.allclose(states[0].sum(0) * 2 + one[3][0].sum(0), counts.sum(1))
+    assert np.allclose(states[2][2], [sum(c for p, c in chance.items() if p[2] == s) / total for s in range(4)])
 
 
 def test_filler_rows(spark):
