@@ -106,3 +106,68 @@ def marked(text: Column) -> Column:
 def content_id(prefix: str, *parts: Column) -> Column:
     """prefix: and the first 16 hexadecimal digits of the SHA-256 of the parts."""
     return F.concat(F.lit(prefix + ":"), F.substring(F.sha2(F.concat_ws("\x1f", *parts), 256), 1, 16))
+
+
+def is_alias(names: Column) -> Column:
+    """Whether an array holds exactly two distinct names and one is within the other; null is false."""
+    own = F.array_distinct(F.filter(names, lambda n: n.isNotNull()))
+    a, b = F.get(own, F.lit(0)), F.get(own, F.lit(1))
+    return F.coalesce((F.size(own) == 2) & (F.contains(a, b) | F.contains(b, a)), F.lit(False))
+
+
+def title_list(best: Column, titles: Column) -> Column:
+    """The best title, then the others once each, in order; null and empty ones are left out."""
+    every = F.concat(F.array(best), F.coalesce(titles, F.array().cast("array<string>")))
+    return F.array_distinct(F.filter(every, lambda t: t.isNotNull() & (t != "")))
+
+
+def name_score(name: Column, track: Column, best: Column, titles: Column) -> Column:
+    """The best of: 1 if track holds name, the token similarity of the best title, that of any title; nothing known is 0."""
+    like = lambda t: jaccard(F.array_distinct(tokens(name)), F.array_distinct(tokens(t)))
+    held = F.when(F.coalesce(F.contains(track, name) & (name != ""), F.lit(False)), 1.0).otherwise(0.0)
+    return F.greatest(held, F.coalesce(like(best), F.lit(0.0)), F.coalesce(F.array_max(F.transform(titles, like)), F.lit(0.0)))
+
+
+def seconds_into_day(local: Column, date: Column) -> Column:
+    """Whole seconds from the midnight of a date to a zone-less local time of the same zone; negative before it; null if either can't be read."""
+    day = F.unix_date(date.try_cast("date")).cast("bigint") * 86_400
+    return (F.floor(local.cast("timestamp_ntz").cast("timestamp").cast("double")).cast("bigint") - day).cast("bigint")
+
+
+def time_forms(utc: Column) -> Column:
+    """struct(minute, utc, jst) of an instant, the session in UTC: yyyy-MM-dd HH:mm, with Z, and in Japan with +0900."""
+    full = "yyyy-MM-dd'T'HH:mm:ss"
+    japan = utc + F.expr("INTERVAL 9 HOURS")
+    return F.struct(F.date_format(utc, "yyyy-MM-dd HH:mm").alias("minute"), F.concat(F.date_format(utc, full), F.lit("Z")).alias("utc"), F.concat(F.date_format(japan, full), F.lit("+0900")).alias("jst"))
+
+
+def lat_lon(text: Column) -> Column:
+    """struct(lat, lon) of 'lat, lon' or 'Nlat Elon' in degrees; null for other text and for what is out of range."""
+    pattern = r"^\s*[Nn]?\s*(-?[0-9]+(?:\.[0-9]+)?)\s*[,\s]\s*[Ee]?\s*(-?[0-9]+(?:\.[0-9]+)?)\s*$"
+    part = lambda i: F.regexp_extract(text, pattern, i).try_cast("double")
+    return F.when(part(1).between(-90, 90) & part(2).between(-180, 180), F.struct(part(1).alias("lat"), part(2).alias("lon")))
+
+
+def place_parts(text: Column) -> Column:
+    """struct(municipality, island) of a place: it is an island if it ends with the sign for one."""
+    plain = F.nullif(F.trim(text), F.lit(""))
+    return F.struct(F.when(~plain.endswith("島"), plain).alias("municipality"), F.when(plain.endswith("島"), plain).alias("island"))
+
+
+def plain_markup(text: Column, prefix: str = "") -> Column:
+    """Text behind a prefix (all, if it doesn't begin so), without backticks, trimmed, and escaped for HTML."""
+    rest = F.when(F.startswith(text, F.lit(prefix)), F.substring(text, len(prefix) + 1, 2_000_000_000)).otherwise(text)
+    out = F.trim(F.replace(rest, F.lit("`"), F.lit("")))
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return out
+
+
+def one_of(value: Column, default: str, *allowed: str) -> Column:
+    """Whether a value, null as the default, is among those allowed."""
+    return F.coalesce(value, F.lit(default)).isin(*allowed)
+
+
+def flags(conditions: dict[str, Column]) -> Column:
+    """Names of the conditions that hold, in order; null does not hold."""
+    return F.filter(F.array(*(F.when(c, F.lit(n)) for n, c in conditions.items())), lambda f: f.isNotNull())

@@ -24,8 +24,8 @@ def link_by_date_and_title(tracks: DataFrame, activities: DataFrame) -> DataFram
     plausible = t.join(a, (F.col("t_date") == F.col("a_date")) & (F.col("t_title") == F.col("a_title"))).select("track", "activity")
     open_ = tracks.join(plausible.select("track").distinct(), "track", "left_anti")
     same_day = open_.join(activities, F.col("t_date") == F.col("a_date")).select("track", "activity", F.lit("date match, title mismatch").alias("notes"))
-    near = (F.col("t_title") == F.col("a_title")) & (F.abs(F.datediff(F.col("t_date").try_cast("date"), F.col("a_date").try_cast("date"))) == 1)
-    off = open_.where("t_title <> ''").join(a, near).select("track", "activity", F.lit("title match, date off by 1 day").alias("notes"))
+    beside = a.withColumn("_day", F.explode(F.transform(F.array(F.lit(-1), F.lit(1)), lambda k: F.date_add(F.col("a_date").try_cast("date"), k))))
+    off = open_.where("t_title <> ''").join(beside, (F.col("t_title") == F.col("a_title")) & (F.col("t_date").try_cast("date") == F.col("_day"))).select("track", "activity", F.lit("title match, date off by 1 day").alias("notes"))
     review = same_day.unionByName(off).withColumn("match_status", F.lit("needs_review"))
     count = F.count("*").over(Window.partitionBy("track"))
     sure = plausible.withColumns({"match_status": F.when(count == 1, "single_high_confidence_candidate").otherwise("multiple_candidates"), "notes": F.lit(None).cast("string")})

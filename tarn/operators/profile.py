@@ -1,17 +1,21 @@
 """Elevation profiles of tracks: figures, smoothing, peaks with prominence, merging of near peaks, parameter sweeps.
 
-Smoothing and maxima are window functions, shuffled once by track; prominence and merging are folds over one array per track
-that has a peak, so a track must fit a row (a few thousand fixes; a million are about 16 MB).
+Peaks are found in one pass over tracks in order (see tracks): a moving mean, maxima, prominence by a stack of falling heights,
+and merging by grid cells, all linear in a track's points. A task holds the arrays of one track at a time (24 bytes a point).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tarn.functions.geo import haversine_m
+from tarn.functions.geo import haversine_m, haversine_np
+from tarn.operators.tracks import groups, numbers
 from tarn.session import tasks
 
 
@@ -39,62 +43,140 @@ def smoothed(points: DataFrame, track: str, value: str, window: int) -> DataFram
     return points.withColumn("s", F.avg(value).over(Window.partitionBy(track).orderBy("i").rowsBetween(-half, half)))
 
 
-def with_maxima(points: DataFrame, track: str, radius: int) -> DataFrame:
-    """All points, with peak: strict maxima of s within min(radius, n // 3) to both sides, and each track's first highest point.
+def moving_mean(v: np.ndarray, window: int) -> np.ndarray:
+    """Centred mean over window // 2 values to both sides, cut off at the ends; summed from left to right."""
+    half = window // 2
+    padded, total = np.r_[np.zeros(half), v, np.zeros(half)], np.zeros(len(v))
+    for k in range(2 * half + 1):
+        total = total + padded[k : k + len(v)]
+    i = np.arange(len(v))
+    return total / (np.minimum(i + half, len(v) - 1) - np.maximum(i - half, 0) + 1)
+
 
-    Plateaus are no maxima; the highest point is added unless a maximum lies within the radius. Tracks of fewer than three
-    points have none.
+def maxima(s: np.ndarray, radius: int) -> np.ndarray:
+    """Places of strict maxima of s within min(radius, n // 3) to both sides, and of the first highest value.
+
+    Plateaus are no maxima; the highest place is added unless a maximum lies within the radius. Fewer than three values have none.
     """
-    per = Window.partitionBy(track)
-    along = per.orderBy("i")
-    r = F.least(F.lit(radius), F.floor(F.col("n") / 3)).cast("int")
-    rows = points.where("n >= 3").withColumn("r", r)
-    beside = lambda shift: F.greatest(F.lit(float("-inf")), *(F.when(F.col("r") >= j, shift("s", j).over(along)) for j in range(1, radius + 1)))
-    left, right = beside(F.lag), beside(F.lead)
-    inner = (F.col("i") >= F.col("r")) & (F.col("i") < F.col("n") - F.col("r"))
-    rows = rows.withColumn("_max", F.coalesce(inner & (F.col("s") > left) & (F.col("s") > right), F.lit(False)))
-    rows = rows.withColumn("_top", F.min_by("i", F.struct(-F.col("s"), F.col("i"))).over(per))
-    near = F.max(F.when(F.col("_max") & (F.abs(F.col("i") - F.col("_top")) < F.col("r")), 1).otherwise(0)).over(per)
-    return rows.withColumn("_near", near).withColumn("peak", F.expr("_max or (i = _top and _near = 0)")).drop("_max", "_top", "_near", "r")
-
-
-def peaks_with_prominence(points: DataFrame, track: str) -> DataFrame:
-    """Peaks of with_maxima with prominence: s less the higher of the lowest s to either side, up to a strictly higher point.
-
-    The end of a track is a wall. One array per track holds all s and what belongs to peaks, so nothing is computed twice.
+    n = len(s)
+    if n < 3:
+        return np.zeros(0, np.int64)
+    r = min(radius, n // 3)
+    beside = np.full(n, -np.inf)
+    for j in range(1, r + 1):
+        beside[j:] = np.maximum(beside[j:], s[:-j])
+        beside[:-j] = np.maximum(beside[:-j], s[j:])
+    found = np.flatnonzero(s > beside)
+    found = found[(found >= r) & (found < n - r)]
+    top = int(np.argmax(s))
+    return found if len(found) and np.abs(found - top).min() < r else np.sort(np.r_[found, top])
+
+
+def lowest_before(s: list[float]) -> list[float]:
+    """For each place the lowest value from it back to the last strictly higher one, itself included, that one not; the start is a wall."""
+    stack: list[tuple[float, float]] = []
+    out = []
+    for v in s:
+        low = v
+        while stack and stack[-1][0] <= v:
+            low = min(low, stack.pop()[1])
+        stack.append((v, low))
+        out.append(low)
+    return out
+
+
+def prominence(s: np.ndarray, peaks: np.ndarray) -> np.ndarray:
+    """Of each peak its height above the higher of the lowest values to either side, up to a strictly higher place."""
+    left, right = np.array(lowest_before(s.tolist())), np.array(lowest_before(s[::-1].tolist()))[::-1]
+    return s[peaks] - np.maximum(left[peaks], right[peaks])
+
+
+def kept_peaks(value: np.ndarray, i: np.ndarray, lat: np.ndarray, lon: np.ndarray, distance_m: float) -> np.ndarray:
+    """Places of peaks that stay by greedy suppression: from the highest (ties by i) a peak goes if one that stays is nearer than distance_m.
+
+    Those that stay are looked up in cells no narrower than the distance. Null and non-finite places are near nothing.
     """
-    rest = [c for c in points.columns if c not in (track, "i", "s", "peak")]
-    entry = F.struct("i", "s", F.when(F.col("peak"), F.struct(F.lit(True).alias("_"), *rest)).alias("p"))
-    tracks = points.groupBy(track).agg(F.array_sort(F.collect_list(entry)).alias("_all"), F.max("peak").alias("_any")).where("_any")
-    peaks = tracks.select(track, F.transform("_all", lambda x: x["s"]).alias("_s"), F.explode(F.filter("_all", lambda x: x["p"].isNotNull())).alias("_k"))
-    peaks = peaks.select(track, "_s", "_k.i", "_k.s", *(F.col("_k.p")[c].alias(c) for c in rest))
-    higher = lambda values: F.transform(values, lambda v, k: F.when(v > F.col("s"), k))
-    before, after = F.slice("_s", F.lit(1), F.col("i")), F.slice("_s", F.col("i") + 2, F.greatest(F.size("_s") - F.col("i") - 1, F.lit(0)))
-    joined = peaks.withColumns({"_b": before, "_a": after})
-    wall = F.coalesce(F.array_max(higher(F.col("_b"))), F.lit(-1))
-    left = F.array_min(F.slice("_b", wall + 2, F.greatest(F.size("_b") - wall - 1, F.lit(0))))
-    right = F.array_min(F.slice("_a", F.lit(1), F.coalesce(F.array_min(higher(F.col("_a"))), F.size("_a"))))
-    low = F.greatest(F.least(F.col("s"), left), F.least(F.col("s"), right))  # least passes over the null of an empty side
-    return joined.withColumn("prominence", F.col("s") - low).drop("_s", "_b", "_a")
-
-
-
-def merged_peaks(peaks: DataFrame, keys: list[str], value: str, distance_m: Column | float) -> DataFrame:
-    """Greedy suppression per keys: by value from the highest (ties by i), a peak goes if one that stays is nearer than distance_m."""
-    distance = distance_m if isinstance(distance_m, Column) else F.lit(float(distance_m))
-    rest = [c for c in peaks.columns if c not in keys]
-    rows = peaks.withColumn("_d", distance).groupBy(*keys, "_d").agg(F.array_sort(F.collect_list(F.struct((-F.col(value)).alias("_v"), F.col("i").alias("_i"), F.struct(*rest).alias("p")))).alias("_all"))
-    empty = F.slice("_all", 1, 0)
-    near = lambda kept, p: F.exists(kept, lambda k: haversine_m(k["p"]["lat"], k["p"]["lon"], p["p"]["lat"], p["p"]["lon"]) < F.col("_d"))
-    kept = F.aggregate("_all", empty, lambda kept, p: F.when(near(kept, p), kept).otherwise(F.concat(kept, F.array(p))))
-    return rows.select(*keys, F.explode(kept).alias("k")).select(*keys, "k.p.*")
-
-
-def detect_peaks(points: DataFrame, track: str, order: list[str], value: str, window: int = 5, radius: int = 10, prominence: float = 30, merge_m: float = 100) -> DataFrame:
-    """Peaks of tracks: smoothing, maxima, prominence and merging in turn. points: track, order columns, value, lat, lon."""
-    rows = smoothed(valid_points(points, track, order, value), track, value, window)
-    peaks = peaks_with_prominence(with_maxima(rows, track, radius), track).where(F.col("prominence") >= prominence)
-    return merged_peaks(peaks, [track], value, merge_m)
+    placed = np.isfinite(lat) & np.isfinite(lon)
+    step = max(distance_m, 1.0) / 111_000.0
+    wide = step / max(0.01, float(np.cos(np.radians(min(89.0, np.abs(lat[placed]).max(initial=0.0) + step)))))
+    cells: dict[tuple[int, int], list[int]] = {}
+    out = []
+    for k in np.lexsort((i, -value)).tolist():
+        if placed[k]:
+            y, x = int(lat[k] // step), int(lon[k] // wide)
+            near = [m for a in (-1, 0, 1) for b in (-1, 0, 1) for m in cells.get((y + a, x + b), ())]
+            if near and (haversine_np(lat[near], lon[near], lat[k], lon[k]) < distance_m).any():
+                continue
+            cells.setdefault((y, x), []).append(k)
+        out.append(k)
+    return np.sort(np.array(out, np.int64))
+
+
+def _by_track(rows: DataFrame, keys: list[str], order: list[str], peaks_of: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """peaks_of(rows of one track, in order) of all tracks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for group in groups(batches, tuple(keys)):
+            found = peaks_of(group)
+            if len(found):
+                held.append(found)
+                size += len(found)
+            if size > 20_000:
+                yield from pa.concat_tables(held).combine_chunks().to_batches()
+                held, size = [], 0
+        if held:
+            yield from pa.concat_tables(held).combine_chunks().to_batches()
+
+    spark = rows.sparkSession
+    placed = rows.repartition(max(tasks(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
+    return placed.sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+
+
+def raw_peaks(points: DataFrame, track: str, order: list[str], value: str, window: int, radius: int) -> DataFrame:
+    """Peaks with i (place among the points with a value), s (smoothed value), prominence and the other columns of points."""
+    return _peaks(points, track, order, value, window, radius, None, None)
+
+
+def detect_peaks(points: DataFrame, track: str, order: list[str], value: str, window: int = 5, radius: int = 10, least: float = 30, merge_m: float = 100) -> DataFrame:
+    """Peaks of tracks: smoothing, maxima, prominence and merging in turn. points: track, order columns, value, lat, lon.
+
+    Columns as in raw_peaks. Points without a value (null or NaN) are passed over; null tracks too; an empty table gives none.
+    """
+    return _peaks(points, track, order, value, window, radius, least, merge_m)
+
+
+def _peaks(points: DataFrame, track: str, order: list[str], value: str, window: int, radius: int, least: float | None, merge_m: float | None) -> DataFrame:
+    rest = [c for c in points.columns if c not in (track, "i", "s", "prominence")]
+    kinds = dict(points.dtypes)
+
+    def peaks_of(group: pa.Table) -> pa.Table:
+        (v,) = numbers(group, value)
+        s = moving_mean(v, window)
+        at = maxima(s, radius)
+        high = prominence(s, at) if len(at) else np.zeros(0)
+        if least is not None:
+            at, high = at[high >= least], high[high >= least]
+        if merge_m is not None and len(at):
+            kept = kept_peaks(v[at], at, *(c[at] for c in numbers(group, "lat", "lon")), merge_m)
+            at, high = at[kept], high[kept]
+        own = group.take(pa.array(at)).select([track, *rest])
+        return own.append_column("i", pa.array(at.astype(np.int32))).append_column("s", pa.array(s[at])).append_column("prominence", pa.array(high))
+
+    known = points.where(F.col(track).isNotNull() & F.col(value).isNotNull() & ~F.isnan(value)).select(track, *rest)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in (track, *rest)) + ", i int, s double, prominence double"
+    return _by_track(known, [track], order, peaks_of, schema)
+
+
+def merged_peaks(peaks: DataFrame, keys: list[str], value: str, distance_m: float) -> DataFrame:
+    """Greedy suppression of near peaks per keys (see kept_peaks), of peaks with i, lat, lon. Null keys are passed over."""
+
+    def kept(group: pa.Table) -> pa.Table:
+        v, i, lat, lon = numbers(group, value, "i", "lat", "lon")
+        return group.take(pa.array(kept_peaks(v, i, lat, lon, distance_m)))
+
+    rows = peaks.where(reduce(and_, (F.col(k).isNotNull() for k in keys)))
+    return _by_track(rows, keys, ["i"], kept, ", ".join(f"`{c}` {t}" for c, t in rows.dtypes))
 
 
 #: The usual parameters and four variations of them.
@@ -102,23 +184,26 @@ VARIANTS = (("baseline", 5, 10, 30.0, 100.0), ("lower_prominence", 5, 10, 20.0,
 
 
 def sweep(points: DataFrame, track: str, order: list[str], value: str, variants=VARIANTS) -> DataFrame:
-    """Per variant: tracks, peaks, tracks with none, one and several, median and maximum per track. Points are ranked once per window and radius."""
-    valid = valid_points(points, track, order, value)
-    tracks = points.select(track).distinct()
-    parts = []
-    for window, radius in dict.fromkeys((v[1], v[2]) for v in variants):
-        rows = smoothed(valid, track, value, window)
-        peaks = peaks_with_prominence(with_maxima(rows, track, radius), track)
-        own = [v for v in variants if v[1:3] == (window, radius)]
-        each = F.array(*(F.struct(F.lit(v[0]).alias("variant_id"), F.lit(v[3]).alias("p"), F.lit(v[4]).alias("d")) for v in own))
-        tried = peaks.withColumn("_v", F.explode(each)).where(F.col("prominence") >= F.col("_v.p")).select(track, "i", value, "lat", "lon", "_v.variant_id", F.col("_v.d").alias("d"))
-        counts = merged_peaks(tried, [track, "variant_id"], value, F.col("d")).groupBy("variant_id", track).agg(F.count("*").alias("c"))
-        grid = tracks.withColumn("variant_id", F.explode(F.array(*(F.lit(v[0]) for v in own))))
-        parts.append(grid.join(counts, [track, "variant_id"], "left").withColumn("c", F.coalesce("c", F.lit(0))))
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
-    return every.groupBy("variant_id").agg(
+    """Per variant: tracks, peaks, tracks with none, one and several, median and maximum per track. All variants in one pass over each track."""
+
+    def counts(group: pa.Table) -> pa.Table:
+        every, lat, lon = numbers(group, value, "lat", "lon")
+        known = ~np.isnan(every)
+        v, lat, lon = every[known], lat[known], lon[known]
+        smooth = {w: moving_mean(v, w) for w in {x[1] for x in variants}}
+        raw = {}
+        for w, r in {x[1:3] for x in variants}:
+            at = maxima(smooth[w], r)
+            raw[w, r] = at, prominence(smooth[w], at) if len(at) else np.zeros(0)
+        found = []
+        for _, w, r, least, near in variants:
+            at, high = raw[w, r]
+            at = at[high >= least]
+            found.append(len(kept_peaks(v[at], at, lat[at], lon[at], near)))
+        return pa.table({"variant_id": pa.array([x[0] for x in variants], pa.string()), "c": pa.array(found, pa.int64())})
+
+    per = _by_track(points.where(F.col(track).isNotNull()).select(track, *order, "lat", "lon", F.col(value).cast("double").alias(value)), [track], order, counts, "variant_id string, c bigint")
+    return per.groupBy("variant_id").agg(
         F.count("*").alias("gpx_files_scanned"), F.sum("c").alias("total_candidates"), F.count_if(F.col("c") == 0).alias("files_with_zero_candidates"), F.count_if(F.col("c") == 1).alias("files_with_one_candidate"),
         F.count_if(F.col("c") > 1).alias("files_with_multiple_candidates"), F.median("c").alias("median_candidates_per_file"), F.max("c").alias("max_candidates_per_file"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -31,3 +33,10 @@ def newest_content(df: DataFrame, content: str, name: str) -> DataFrame:
     """One row per content (SHA-256): names without a copy number in brackets first, then by name."""
     rank = F.struct(F.col(name).rlike(r" \(\d+\)").alias("copy"), F.col(name).alias("name"))
     return df.groupBy(F.sha2(content, 256).alias("sha256")).agg(F.min_by(F.struct(*df.columns), rank).alias("_r"), F.count("*").alias("copies")).select("_r.*", "sha256", "copies")
+
+
+def counts_match(actual: dict[str, DataFrame], stated: DataFrame) -> DataFrame:
+    """(name, stated, actual, passed) of tables against stated (name, stated) counts, as of a manifest; no statement or no table is null and not passed."""
+    parts = [df.agg(F.count("*").alias("actual")).select(F.lit(n).alias("name"), "actual") for n, df in actual.items()]
+    both = reduce(DataFrame.unionByName, parts).join(stated, "name", "full")
+    return both.select("name", "stated", "actual", F.coalesce(F.col("stated") == F.col("actual"), F.lit(False)).alias("passed"))

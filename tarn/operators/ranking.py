@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tarn.session import cut_lineage
+
 
 def ranked_links(links: DataFrame, left: str, right: str, score: str) -> DataFrame:
     """With rank_left and rank_right (score descending, ties by the other id), gap to the next and from the top, mutual tops.
@@ -25,12 +27,23 @@ def top_links(links: DataFrame, left: str, right: str, score: str, k: int) -> Da
 
 
 def filled_sequence(df: DataFrame, number: str, order: str) -> DataFrame:
-    """number with blanks filled from its maximum on, in order; filled says which. The blanks are ranked, the rest is not."""
-    top = df.agg(F.coalesce(F.max(number), F.lit(0)).alias("_top"))
+    """number with blanks filled from its maximum on, in order; filled says which.
+
+    Blanks are put in order by ranges, numbered in each range and shifted by the counts of the ranges before, so no task has all.
+    """
+    top = df.agg(F.max(number)).first()[0] or 0
     known = df.where(F.col(number).isNotNull()).withColumn("filled", F.lit(False))
-    blank = df.where(F.col(number).isNull()).join(F.broadcast(top), how="cross")  # one row
-    given = (F.col("_top") + F.row_number().over(Window.orderBy(order))).cast(dict(df.dtypes)[number])
-    return known.unionByName(blank.withColumn(number, given).drop("_top").withColumn("filled", F.lit(True)))
+    blank = cut_lineage(df.where(F.col(number).isNull()).repartitionByRange(order).withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = blank.groupBy("_range").count().select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_shift"))  # a row for each range
+    placed = F.row_number().over(Window.partitionBy("_range").orderBy(order))
+    filled = blank.join(F.broadcast(shifts), "_range").withColumn(number, (F.lit(top) + F.col("_shift") + placed).cast(dict(df.dtypes)[number]))
+    return known.unionByName(filled.drop("_range", "_shift").withColumn("filled", F.lit(True)))
+
+
+def in_review(links: DataFrame, left: str, gap: float, k: int = 3) -> DataFrame:
+    """Rows of ranked_links that are a top, or among the first k and no more than gap below it."""
+    return links.where((F.col("rank_left") == 1) | ((F.col("rank_left") <= k) & (F.col("gap_top") <= gap)))
 
 
 def carried_heading(lines: DataFrame, doc: str, line_no: str, heading: str) -> DataFrame:

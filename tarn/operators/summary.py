@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -58,6 +56,3 @@ def spread_of(df: DataFrame, key: str, lat: str, lon: str) -> DataFrame:
     dy, dx = (high(lat) - low(lat)) * 111_320.0, (high(lon) - low(lon)) * 111_320.0 * F.cos(F.radians(F.avg(lat)))
     return df.groupBy(key).agg(F.count(lat).alias("points"), F.round(F.hypot(dx, dy), 1).alias("extent_m"))
 
-
-def union_all(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarn.functions.geo import finite, haversine_m
-from tarn.functions.text import BLANK, content_id, is_traverse, jaccard, name_form, squeezed, title_form, title_parts, tokens, written_date
-from tarn.operators import areas, linkage, profile, quality, ranking, summary
-from tarn.operators.nearby import in_polygons, within_radius
+from tarn.functions.geo import finite
+from tarn.functions.text import BLANK, content_id, is_traverse, jaccard, squeezed, title_parts, tokens, written_date
+from tarn.operators import linkage, profile, quality, ranking, summary
 from tarn.session import table
 
 POINT = ["trk_idx", "seg_idx", "pt_idx"]
@@ -46,18 +45,13 @@ def profile_smoothed(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("gpx_path", "i", F.round("s", 4).alias("smoothed_ele"))
 
 
-def _raw_peaks(spark: SparkSession, folder: str) -> DataFrame:
-    rows = profile.smoothed(profile.valid_points(_points(spark, folder), "gpx_path", POINT, "ele"), "gpx_path", "ele", 5)
-    return profile.peaks_with_prominence(profile.with_maxima(rows, "gpx_path", 10), "gpx_path")
-
-
 def peaks_raw(spark: SparkSession, folder: str) -> DataFrame:
-    peaks = _raw_peaks(spark, folder)
-    return peaks.select("gpx_path", F.col("i").cast("int").alias("i"), F.round("s", 4).alias("smoothed_ele"), F.round("prominence", 4).alias("prominence"))
+    peaks = profile.raw_peaks(_points(spark, folder), "gpx_path", POINT, "ele", 5, 10)
+    return peaks.select("gpx_path", "i", F.round("s", 4).alias("smoothed_ele"), F.round("prominence", 4).alias("prominence"))
 
 
 def peaks_detect(spark: SparkSession, folder: str) -> DataFrame:
-    peaks = profile.merged_peaks(_raw_peaks(spark, folder).where("prominence >= 30"), ["gpx_path"], "ele", 100.0)
+    peaks = profile.detect_peaks(_points(spark, folder), "gpx_path", POINT, "ele")
     return peaks.select("gpx_path", "i", "lat", "lon", "ele", "time", F.round("s", 6).alias("smoothed_ele"), F.round("prominence", 6).alias("prominence"), content_id("peak", F.col("gpx_path"), F.col("i")).alias("peak_id"))
 
 
@@ -105,7 +99,7 @@ def link_dates_both_ways(spark: SparkSession, folder: str) -> DataFrame:
     links = table(spark, folder, "gpx_yamap_activity_link_candidates").select("link_id", "gpx_filename_timestamp").where("gpx_filename_timestamp is not null").distinct()
     written = F.try_to_timestamp(F.regexp_extract("gpx_filename_timestamp", r"^yamap_(\d{4}-\d{2}-\d{2}_\d{2}_\d{2})\.gpx", 1), F.lit("yyyy-MM-dd_HH_mm"))
     dates = linkage.dates_both_ways(written)
-    return links.where(written.isNotNull()).select("link_id", F.explode(dates).alias("activity_date"), (F.size(dates) > 1).alias("timezone_sensitive"))
+    return links.where(written.isNotNull()).select("link_id", F.explode(dates.cast("array<string>")).alias("activity_date"), (F.size(dates) > 1).alias("timezone_sensitive"))
 
 
 def names_in_track_names(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,11 +108,6 @@ def names_in_track_names(spark: SparkSession, folder: str) -> DataFrame:
     return linkage.names_in_texts(names, texts).select(F.col("number").alias("mountain_no"), F.col("id").alias("gpx_path"))
 
 
-def text_forms(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "summit_candidate_detection_baseline_summary").select("gpx_path", "track_name").distinct()
-    return rows.select("gpx_path", title_form(F.col("track_name")).alias("title_form"), name_form(F.col("track_name")).alias("name_form"))
-
-
 def text_parts(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "summit_candidate_detection_baseline_summary").select("gpx_path", "track_name").distinct()
     return rows.select("gpx_path", title_parts(F.col("track_name")).alias("parts"), F.size(tokens(F.col("track_name"))).alias("tokens"), is_traverse(F.col("track_name")).alias("traverse"))
@@ -171,11 +160,6 @@ def summary_json_keys(spark: SparkSession, folder: str) -> DataFrame:
     return summary.json_keys(table(spark, folder, "events"), "props")
 
 
-def summary_extent(spark: SparkSession, folder: str) -> DataFrame:
-    found = within_radius(_mountains(spark, folder).select(F.col("mountain_no").alias("region"), F.col("m_lat").alias("lat"), F.col("m_lon").alias("lon")), _candidates(spark, folder), 1000.0)
-    return summary.spread_of(found, "region", "p_lat", "p_lon").withColumn("conflict", F.col("extent_m") > 250)
-
-
 def coverage_semi_anti(spark: SparkSession, folder: str) -> DataFrame:
     tracks = table(spark, folder, "summit_candidate_detection_baseline_summary").select("gpx_path").distinct()
     linked = table(spark, folder, "gpx_yamap_activity_link_candidates").where("gpx_path is not null").select("gpx_path").distinct()
@@ -207,53 +191,6 @@ def fill_numbers(spark: SparkSession, folder: str) -> DataFrame:
     return ranking.filled_sequence(rows, "csv_no", "source_row_no")
 
 
-# Places
-
-
-def place_nearest(spark: SparkSession, folder: str) -> DataFrame:
-    places = _mountains(spark, folder).select(F.col("mountain_no").alias("region"), F.col("m_lat").alias("lat"), F.col("m_lon").alias("lon"))
-    near = within_radius(places, _candidates(spark, folder).select("summit_candidate_id", "lat", "lon"), 1000.0)
-    d = haversine_m(F.col("r_lat"), F.col("r_lon"), F.col("p_lat"), F.col("p_lon"))
-    return near.withColumn("d", d).groupBy("summit_candidate_id").agg(F.min_by("region", F.struct("d", "region")).alias("nearest"), F.round(F.min("d"), 3).alias("distance_m"), F.count("*").alias("near"))
-
-
-def place_nearest_trackpoint(spark: SparkSession, folder: str) -> DataFrame:
-    points = _points(spark, folder).where("lat is not null and lon is not null").select("gpx_path", *POINT, "lat", "lon")
-    anchors = _candidates(spark, folder).where("lat is not null and lon is not null").select("summit_candidate_id", F.col("source_gpx_path").alias("gpx_path"), F.col("lat").alias("a_lat"), F.col("lon").alias("a_lon"))
-    pairs = points.join(anchors, "gpx_path").withColumn("d", haversine_m(F.col("a_lat"), F.col("a_lon"), F.col("lat"), F.col("lon")))
-    return pairs.groupBy("summit_candidate_id").agg(F.round(F.min("d"), 3).alias("distance_m")).where("distance_m <= 300")
-
-
-#: Regions of the lookups: squares of a quarter degree, ring by ring from a rule.
-SQUARE = 0.25
-
-
-def squares(spark: SparkSession) -> DataFrame:
-    ids = spark.range(8 * 6).select((132 + F.col("id") % 8 * SQUARE).alias("x"), (32.5 + F.floor(F.col("id") / 8) * SQUARE).alias("y"))
-    corner = lambda dx, dy: F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"))
-    ring = F.array(corner(0.0, 0.0), corner(SQUARE, 0.0), corner(SQUARE, SQUARE), corner(0.0, SQUARE))
-    return ids.select(F.format_string("%.2f/%.2f", F.col("y").cast("double"), F.col("x").cast("double")).alias("region"), F.array(ring).alias("rings"))
-
-
-def place_in_polygons(spark: SparkSession, folder: str) -> DataFrame:
-    points = _candidates(spark, folder).select("summit_candidate_id", "lat", "lon")
-    return in_polygons(squares(spark), points).select("summit_candidate_id", "region")
-
-
-def place_adjacent(spark: SparkSession, folder: str) -> DataFrame:
-    return areas.adjacent(squares(spark))
-
-
-def place_stability(spark: SparkSession, folder: str) -> DataFrame:
-    points = _candidates(spark, folder).where("lat is not null and lon is not null").select("summit_candidate_id", "lat", "lon")
-    return areas.stability(points, squares(spark), "summit_candidate_id")
-
-
-def place_boundary(spark: SparkSession, folder: str) -> DataFrame:
-    points = _candidates(spark, folder).where(finite(F.col("lat")) & finite(F.col("lon"))).select("summit_candidate_id", "lat", "lon")
-    return areas.boundary_distance(points, squares(spark), "summit_candidate_id", 500.0).withColumn("distance_m", F.round("distance_m", 2))
-
-
 # Checks
 
 
@@ -273,8 +210,8 @@ def check_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     profile_tracks, profile_smoothed, peaks_raw, peaks_detect, peaks_sensitivity, peaks_near_anchors, corpus_statistics, link_date_title, link_status_tally, link_title_similarity, link_dates_both_ways, names_in_track_names,
-    text_forms, text_parts, text_sections, text_copies, summary_stacked, summary_reason_codes, summary_shared, summary_metrics, summary_examples, summary_json_keys, summary_extent, coverage_semi_anti, rank_links, rank_top3,
-    rank_overview, fill_numbers, place_nearest, place_nearest_trackpoint, place_in_polygons, place_adjacent, place_stability, place_boundary, check_rules, check_contiguous, check_duplicates,
+    text_parts, text_sections, text_copies, summary_stacked, summary_reason_codes, summary_shared, summary_metrics, summary_examples, summary_json_keys, coverage_semi_anti, rank_links, rank_top3,
+    rank_overview, fill_numbers, check_rules, check_contiguous, check_duplicates,
 )}
 
 _P = "SELECT DISTINCT gpx_path, trk_idx, seg_idx, pt_idx, lat, lon, ele, time FROM trkpt"
@@ -282,7 +219,6 @@ _V = f"SELECT *, row_number() OVER (PARTITION BY gpx_path ORDER BY trk_idx, seg_
 _S = f"SELECT *, avg(ele) OVER (PARTITION BY gpx_path ORDER BY i ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS s FROM ({_V})"
 _A = "SELECT DISTINCT ON (assignment_id) * FROM proposed_summit_assignments ORDER BY assignment_id, loaded_at DESC"
 _C = "SELECT DISTINCT summit_candidate_id, source_gpx_path, lat, lon, ele_m, track_name FROM summit_candidates"
-_D = "2 * 6371000.0 * asin(least(1.0, sqrt(pow(sin(radians({b}.{y} - {a}.{v}) / 2), 2) + cos(radians({a}.{v})) * cos(radians({b}.{y})) * pow(sin(radians({b}.{x} - {a}.{u}) / 2), 2))))"
 _SQ = lambda c: f"regexp_replace({c}, '{SQL_BLANK}', '', 'g')"
 _SIDES = f"""t AS (SELECT gpx_path AS track, min(substr(gpx_first_time_jst, 1, 10)) AS t_date, min({_SQ('gpx_track_name')}) AS t_title FROM gpx_yamap_activity_link_candidates WHERE gpx_path IS NOT NULL GROUP BY 1),
     a AS (SELECT candidate_yamap_activity_id AS activity, min(CASE WHEN regexp_matches(d, '[0-9]{{4}}[-年][0-9]{{2}}[-月][0-9]{{2}}') THEN regexp_extract(d, '([0-9]{{4}})[-年]([0-9]{{2}})[-月]([0-9]{{2}})', 1) || '-' ||
@@ -300,19 +236,41 @@ _LINKS = f"""SELECT mountain_no, proposed_summit_candidate_id, max(confidence) A
 _RANKED = f"""SELECT *, row_number() OVER l AS rank_left, round(confidence - lead(confidence) OVER l, 6) AS gap_next, round(first(confidence) OVER l - confidence, 6) AS gap_top, row_number() OVER r AS rank_right FROM ({_LINKS})
     WINDOW l AS (PARTITION BY mountain_no ORDER BY confidence DESC, proposed_summit_candidate_id), r AS (PARTITION BY proposed_summit_candidate_id ORDER BY confidence DESC, mountain_no)"""
 
-ORACLES = {
-    "profile_tracks": f"""SELECT gpx_path, count(*) AS trackpoint_count, count(e) AS valid_elevation_point_count, arg_min(time, k) FILTER (WHERE time IS NOT NULL) AS first_time, arg_max(time, k) FILTER (WHERE time IS NOT NULL) AS last_time,
-        round(max(e), 2) AS max_elevation, round(min(e), 2) AS min_elevation, round(max(e) - min(e), 2) AS elevation_range, count(e) < count(*) AS has_missing_elevation
-        FROM (SELECT *, CASE WHEN NOT isnan(ele) THEN ele END AS e, trk_idx * 1000000000 + seg_idx * 10000000 + pt_idx AS k FROM ({_P})) GROUP BY 1""",
-    "profile_smoothed": f"SELECT gpx_path, CAST(i AS INT) AS i, round(s, 4) AS smoothed_ele FROM ({_S})",
-    "peaks_raw": f"""WITH s AS MATERIALIZED ({_S}), r AS (SELECT *, least(10, n // 3) AS r FROM s WHERE n >= 3),
+_HAV = lambda a, b: f"2 * 6371000.0 * asin(least(1.0, sqrt(pow(sin(radians({b}.lat - {a}.lat) / 2), 2) + cos(radians({a}.lat)) * cos(radians({b}.lat)) * pow(sin(radians({b}.lon - {a}.lon) / 2), 2))))"
+_RAW = f"""s AS MATERIALIZED ({_S}), r AS (SELECT *, least(10, n // 3) AS r FROM s WHERE n >= 3),
         m AS (SELECT p.gpx_path, p.i, p.s, p.r, p.i >= p.r AND p.i < p.n - p.r AND min(CASE WHEN q.s < p.s THEN 1 ELSE 0 END) = 1 AS is_max FROM r p JOIN s q ON q.gpx_path = p.gpx_path AND q.i <> p.i AND abs(q.i - p.i) <= p.r GROUP BY p.gpx_path, p.i, p.s, p.r, p.n),
         t AS (SELECT gpx_path, min(i) AS top FROM (SELECT gpx_path, i FROM s QUALIFY rank() OVER (PARTITION BY gpx_path ORDER BY s DESC) = 1) GROUP BY 1),
         near AS (SELECT DISTINCT m.gpx_path FROM m JOIN t USING (gpx_path) WHERE is_max AND abs(i - top) < r),
         c AS (SELECT m.* FROM m JOIN t USING (gpx_path) WHERE is_max OR (i = top AND gpx_path NOT IN (SELECT gpx_path FROM near))),
-        w AS (SELECT c.gpx_path, c.i, c.s, coalesce(max(CASE WHEN h.i < c.i THEN h.i END), -1) AS lo, coalesce(min(CASE WHEN h.i > c.i THEN h.i END), 1000000000) AS hi FROM c LEFT JOIN s h ON h.gpx_path = c.gpx_path AND h.s > c.s GROUP BY c.gpx_path, c.i, c.s)
-        SELECT w.gpx_path, CAST(w.i AS INT) AS i, round(w.s, 4) AS smoothed_ele, round(w.s - greatest(min(CASE WHEN q.i <= w.i THEN q.s END), min(CASE WHEN q.i >= w.i THEN q.s END)), 4) AS prominence
-        FROM w JOIN s q ON q.gpx_path = w.gpx_path AND q.i > w.lo AND q.i < w.hi GROUP BY w.gpx_path, w.i, w.s""",
+        w AS (SELECT c.gpx_path, c.i, c.s, coalesce(max(CASE WHEN h.i < c.i THEN h.i END), -1) AS lo, coalesce(min(CASE WHEN h.i > c.i THEN h.i END), 1000000000) AS hi FROM c LEFT JOIN s h ON h.gpx_path = c.gpx_path AND h.s > c.s GROUP BY c.gpx_path, c.i, c.s),
+        raw AS MATERIALIZED (SELECT x.*, o.lat, o.lon, o.ele, o.time FROM (SELECT w.gpx_path, w.i, w.s, w.s - greatest(min(CASE WHEN q.i <= w.i THEN q.s END), min(CASE WHEN q.i >= w.i THEN q.s END)) AS prominence
+            FROM w JOIN s q ON q.gpx_path = w.gpx_path AND q.i > w.lo AND q.i < w.hi GROUP BY w.gpx_path, w.i, w.s) x JOIN s o ON o.gpx_path = x.gpx_path AND o.i = x.i)"""
+#: Greedy suppression: peaks by height, each kept if none kept is near.
+_RANKED_PEAKS = """v AS (SELECT * FROM {variants} v(variant_id, least_, near_m)), k AS MATERIALIZED (SELECT v.variant_id, v.near_m, raw.*, row_number() OVER (PARTITION BY v.variant_id, gpx_path ORDER BY ele DESC, i) AS n FROM raw, v WHERE prominence >= v.least_),
+        g(variant_id, gpx_path, n, kept) AS (SELECT variant_id, gpx_path, n, [{{'i': i, 'lat': lat, 'lon': lon}}] FROM k WHERE n = 1 UNION ALL
+            SELECT k.variant_id, k.gpx_path, k.n, CASE WHEN len(list_filter(g.kept, lambda o: """ + _HAV("o", "k") + """ < k.near_m)) > 0 THEN g.kept ELSE list_append(g.kept, {{'i': k.i, 'lat': k.lat, 'lon': k.lon}}) END FROM g JOIN k ON k.variant_id = g.variant_id AND k.gpx_path = g.gpx_path AND k.n = g.n + 1),
+        last_ AS (SELECT variant_id, gpx_path, arg_max(kept, n) AS kept FROM g GROUP BY 1, 2)"""
+
+ORACLES = {
+    "profile_tracks": f"""SELECT gpx_path, count(*) AS trackpoint_count, count(e) AS valid_elevation_point_count, arg_min(time, k) FILTER (WHERE time IS NOT NULL) AS first_time, arg_max(time, k) FILTER (WHERE time IS NOT NULL) AS last_time,
+        round(max(e), 2) AS max_elevation, round(min(e), 2) + 0.0 AS min_elevation, round(max(e) - min(e), 2) AS elevation_range, count(e) < count(*) AS has_missing_elevation
+        FROM (SELECT *, CASE WHEN NOT isnan(ele) THEN ele END AS e, trk_idx * 1000000000 + seg_idx * 10000000 + pt_idx AS k FROM ({_P})) GROUP BY 1""",
+    "profile_smoothed": f"SELECT gpx_path, CAST(i AS INT) AS i, round(s, 4) AS smoothed_ele FROM ({_S})",
+    "peaks_raw": f"WITH {_RAW} SELECT gpx_path, CAST(i AS INT) AS i, round(s, 4) AS smoothed_ele, round(prominence, 4) AS prominence FROM raw",
+    "peaks_detect": f"""WITH RECURSIVE {_RAW}, {_RANKED_PEAKS.format(variants="(VALUES ('baseline', 30.0, 100.0))")}
+        SELECT gpx_path, CAST(k.i AS INT) AS i, r.lat, r.lon, r.ele, r.time, round(r.s, 6) AS smoothed_ele, round(r.prominence, 6) AS prominence, 'peak:' || substr(sha256(gpx_path || chr(31) || CAST(k.i AS VARCHAR)), 1, 16) AS peak_id
+        FROM (SELECT gpx_path, unnest(kept) AS k FROM last_) JOIN raw r USING (gpx_path) WHERE r.i = k.i""",
+    "peaks_sensitivity": f"""WITH RECURSIVE {_RAW}, {_RANKED_PEAKS.format(variants="(VALUES ('baseline', 30.0, 100.0), ('lower_prominence', 20.0, 100.0), ('higher_prominence', 50.0, 100.0), ('smaller_merge', 30.0, 50.0), ('larger_merge', 30.0, 200.0))")},
+        per AS (SELECT v.variant_id, t.gpx_path, coalesce(len(l.kept), 0) AS c FROM (SELECT DISTINCT gpx_path FROM trkpt) t CROSS JOIN v LEFT JOIN last_ l ON l.gpx_path = t.gpx_path AND l.variant_id = v.variant_id)
+        SELECT variant_id, count(*) AS gpx_files_scanned, CAST(sum(c) AS BIGINT) AS total_candidates, count(*) FILTER (WHERE c = 0) AS files_with_zero_candidates, count(*) FILTER (WHERE c = 1) AS files_with_one_candidate, count(*) FILTER (WHERE c > 1) AS files_with_multiple_candidates,
+        median(c) AS median_candidates_per_file, max(c) AS max_candidates_per_file FROM per GROUP BY 1""",
+    "peaks_near_anchors": f"""WITH p AS (SELECT DISTINCT gpx_path, trk_idx, seg_idx, pt_idx, lat, lon, ele FROM trkpt WHERE isfinite(lat) AND isfinite(lon) AND isfinite(ele)), a AS (SELECT DISTINCT summit_candidate_id AS anchor, source_gpx_path AS gpx_path, lat, lon FROM summit_candidates WHERE lat IS NOT NULL AND lon IS NOT NULL),
+        b AS (SELECT * FROM (SELECT a.anchor, p.*, {_HAV('a', 'p')} AS d FROM a JOIN p USING (gpx_path)) QUALIFY row_number() OVER (PARTITION BY anchor, gpx_path ORDER BY d, trk_idx, seg_idx, pt_idx) = 1),
+        n AS (SELECT b.anchor, b.gpx_path, b.trk_idx, b.seg_idx, b.pt_idx, b.d, b.ele AS own, q.ele FROM b JOIN p q ON q.gpx_path = b.gpx_path AND q.trk_idx = b.trk_idx AND q.seg_idx = b.seg_idx AND abs(q.pt_idx - b.pt_idx) <= 10 WHERE b.d <= 300 AND {_HAV('q', 'b')} <= 100)
+        SELECT anchor, gpx_path, trk_idx, seg_idx, pt_idx, round(d, 4) AS distance_m, count(*) AS points, round(max(ele) - min(ele), 4) AS local_range, round(CASE WHEN max(ele) > min(ele) THEN least(greatest(1 - (max(ele) - own) / (max(ele) - min(ele)), 0.0), 1.0) ELSE 1.0 END, 4) AS peak_like
+        FROM n GROUP BY anchor, gpx_path, trk_idx, seg_idx, pt_idx, d, own""",
+    "link_dates_both_ways": """SELECT link_id, CAST(unnest(list_distinct([CAST(w AS DATE), CAST(w + INTERVAL 9 HOUR AS DATE)])) AS VARCHAR) AS activity_date, CAST(w AS DATE) <> CAST(w + INTERVAL 9 HOUR AS DATE) AS timezone_sensitive
+        FROM (SELECT DISTINCT link_id, gpx_filename_timestamp, try_strptime(regexp_extract(gpx_filename_timestamp, '^yamap_([0-9]{4}-[0-9]{2}-[0-9]{2}_[0-9]{2}_[0-9]{2})\\.gpx', 1), '%Y-%m-%d_%H_%M') AS w FROM gpx_yamap_activity_link_candidates) WHERE w IS NOT NULL""",
     "corpus_statistics": f"SELECT count(*) AS tracks, CAST(sum(n) AS BIGINT) AS points, min(n) AS least, max(n) AS most, median(n) AS median, round(avg(n), 4) AS mean FROM (SELECT count(*) AS n FROM ({_P}) GROUP BY gpx_path)",
     "link_date_title": f"WITH {_SIDES} SELECT * FROM linked",
     "link_status_tally": f"WITH {_SIDES} SELECT match_status, count(DISTINCT track) AS tracks FROM linked GROUP BY 1",
@@ -344,13 +302,6 @@ ORACLES = {
     "rank_top3": f"SELECT mountain_no, assignment_id, confidence, CAST(r AS INT) AS rank FROM (SELECT mountain_no, assignment_id, confidence, row_number() OVER (PARTITION BY mountain_no ORDER BY confidence DESC NULLS LAST, assignment_id) AS r FROM ({_A}) WHERE mountain_no IS NOT NULL) WHERE r <= 3",
     "rank_overview": f"SELECT proposed_summit_candidate_id, count(*) AS mountains, count(*) FILTER (WHERE rank_left = 1) AS tops, max(confidence) AS best, round(max(confidence) - min(confidence), 6) AS spread FROM ({_RANKED}) GROUP BY 1",
     "fill_numbers": """SELECT mountain_no, CAST(coalesce(csv_no, (SELECT max(csv_no) FROM ehime_mountain_source_rows) + row_number() OVER (PARTITION BY csv_no IS NULL ORDER BY source_row_no)) AS INT) AS csv_no, source_row_no, csv_no IS NULL AS filled FROM ehime_mountain_source_rows""",
-    "place_nearest": f"""SELECT summit_candidate_id, arg_min(mountain_no, d) AS nearest, round(min(d), 3) AS distance_m, count(*) AS near FROM (SELECT c.summit_candidate_id, m.mountain_no, {_D.format(a='c', v='lat', u='lon', b='m', y='m_lat', x='m_lon')} AS d
-        FROM ({_C}) c JOIN (SELECT mountain_no, coordinates.lat AS m_lat, coordinates.lon AS m_lon FROM ehime_mountain_source_rows) m ON c.lat IS NOT NULL AND c.lon IS NOT NULL AND m_lat IS NOT NULL) WHERE d <= 1000 GROUP BY 1""",
-    "place_nearest_trackpoint": f"""SELECT summit_candidate_id, round(min({_D.format(a='c', v='lat', u='lon', b='p', y='lat', x='lon')}), 3) AS distance_m FROM ({_C}) c JOIN ({_P}) p ON p.gpx_path = c.source_gpx_path WHERE c.lat IS NOT NULL AND c.lon IS NOT NULL AND p.lat IS NOT NULL AND p.lon IS NOT NULL
-        GROUP BY 1 HAVING round(min({_D.format(a='c', v='lat', u='lon', b='p', y='lat', x='lon')}), 3) <= 300""",
-    "place_in_polygons": f"SELECT summit_candidate_id, printf('%.2f/%.2f', floor(lat / 0.25) * 0.25, floor(lon / 0.25) * 0.25) AS region FROM ({_C}) WHERE lat >= 32.5 AND lat < 34 AND lon >= 132 AND lon < 134",
-    "place_adjacent": """WITH s AS (SELECT 132 + i % 8 * 0.25 AS x, 32.5 + i // 8 * 0.25 AS y FROM range(48) t(i)), r AS (SELECT printf('%.2f/%.2f', CAST(y AS DOUBLE), CAST(x AS DOUBLE)) AS region, * FROM s)
-        SELECT a.region AS region_a, b.region AS region_b, CAST(1 AS BIGINT) AS shared_edges FROM r a JOIN r b ON a.region < b.region AND abs(a.x - b.x) + abs(a.y - b.y) = 0.25""",
     "check_rules": f"""WITH c AS ({_C}) SELECT *, bad = 0 AS passed FROM (SELECT 'id present' AS "check", count(*) FILTER (WHERE NOT coalesce(starts_with(summit_candidate_id, 'summit-candidate:'), false)) AS bad FROM c UNION ALL
         SELECT 'latitude in range', count(*) FILTER (WHERE NOT coalesce(lat BETWEEN 32.0 AND 34.5, false)) FROM c UNION ALL SELECT 'longitude in range', count(*) FILTER (WHERE NOT coalesce(lon BETWEEN 132.0 AND 133.8, false)) FROM c UNION ALL
         SELECT 'elevation present', count(*) FILTER (WHERE ele_m IS NULL) FROM c)""",

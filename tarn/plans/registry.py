@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from tarn.plans import problems, reference
+from tarn.plans import evidence, places, problems, reference
 
 
 def queries() -> dict:
-    return {**problems.QUERIES, **reference.QUERIES}
+    return {**problems.QUERIES, **reference.QUERIES, **places.QUERIES, **evidence.QUERIES}
 
 
 def oracles() -> dict[str, str]:
-    return {**problems.ORACLES, **reference.ORACLES}
+    return {**problems.ORACLES, **reference.ORACLES, **places.ORACLES, **evidence.ORACLES}

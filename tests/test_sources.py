@@ -112,3 +112,87 @@ def test_a_report_is_never_cut(spark):
     assert sinks.markdown_table(spark.range(3), 3).count("\n") == 5
     with pytest.raises(ValueError):
         sinks.markdown_table(spark.range(4), 3)
+
+
+def test_archive_with_a_name_twice_is_refused(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        archive.writestr("x/one.gpx", "1")
+        archive.writestr("y/one.gpx", "2")
+    with pytest.raises(ValueError, match="one.gpx"):
+        tabular.checked_archive(tabular.read_archive(spark, f"{tmp_path}/*.zip"))
+
+
+def test_workbook(spark, tmp_path):
+    space = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    with zipfile.ZipFile(tmp_path / "b.xlsx", "w") as book:
+        book.writestr("xl/workbook.xml", f'<workbook {space} xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="甲" sheetId="1" r:id="rId1"/><sheet name="空" sheetId="2" r:id="rId2"/></sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Target="worksheets/sheet1.xml"/><Relationship Id="rId2" Target="/xl/worksheets/sheet2.xml"/></Relationships>')
+        book.writestr("xl/sharedStrings.xml", f"<sst {space}><si><t>名前</t></si><si><r><t>石</t></r><r><t>鎚山</t></r></si></sst>")
+        book.writestr("xl/worksheets/sheet1.xml", f'<worksheet {space}><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c><c r="C1"><v>2.5</v></c></row><row r="3"><c r="B3" t="s"><v>1</v></c><c r="AA3" t="b"><v>1</v></c><c r="AB3" t="inlineStr"><is><t>x</t></is></c></row></sheetData></worksheet>')
+        book.writestr("xl/worksheets/sheet2.xml", f"<worksheet {space}><sheetData/></worksheet>")
+    got = [(r.sheet, r.row_no, r.cells) for r in tabular.read_workbook(spark, f"{tmp_path}/*.xlsx").collect()]
+    assert got == [("甲", 1, ["名前", "", "2.5"]), ("甲", 3, ["", "石鎚山", *[""] * 24, "true", "x"])]
+
+
+def test_documents_line_by_line(spark, tmp_path):
+    text = "# top\n- **Key**: a\n- key two: b: c\n## next\n- Key：d\n- Key: e\n| x | y\\|z |\n|---|:-:|\n| 1 |  |\nno - bullet: here"
+    lines = spark.createDataFrame([("d", i, line) for i, line in enumerate(text.split("\n"))], "doc string, n int, line string")
+    got = sorted((r.section, r.key, r.value) for r in tabular.bullets(lines, "doc", "n", "line").collect())
+    assert got == [("next", "Key", "e"), ("top", "Key", "a"), ("top", "key two", "b: c")]
+    assert [(r.n, r.cells) for r in tabular.table_rows(lines, "doc", "n", "line").orderBy("n").collect()] == [(6, ["x", "y|z"]), (8, ["1", ""])]
+
+
+def test_small_readers(spark, tmp_path):
+    (tmp_path / "m.json").write_text('{"summary": {"total_records": 7}}')
+    (tmp_path / "n.json").write_text("{}")
+    assert sorted((r.path[-6:], r.total_records) for r in tabular.stated_total(spark, f"{tmp_path}/*.json").collect()) == [("m.json", 7), ("n.json", None)]
+    rows = spark.createDataFrame([({"state": "愛媛県", "road": "r"},), ({"province": "", "prefecture": "高知県"},), (None,)], "address map<string, string>")
+    assert [(r.prefecture, r.local) for r in tabular.geocoded(rows).collect()] == [("愛媛県", "r"), ("高知県", None), (None, None)]
+    shape = '{"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1]]]}'
+    (tmp_path / "g.geojson").write_text('{"features": [{"properties": {"n": "a", "p": "x"}, "geometry": %s}, {"properties": {"n": "b", "p": "y"}, "geometry": %s}]}' % (shape, shape))
+    assert [r.region for r in tabular.read_polygons(spark, f"{tmp_path}/g.geojson", "n", ("p", "y")).collect()] == ["b"]
+
+
+def test_broken_tracks_keep_a_row(spark, folder):
+    (folder / "gpx/bad.gpx").write_text("<gpx><trk></gpx>")
+    files = tracks.read_tracks(spark, f"{folder}/gpx/*.gpx")
+    got = {r.gpx_path[-7:]: (r.points, r.error, r.notes) for r in tracks.header(files, tracks.trackpoints(files)).collect()}
+    assert got["_36.gpx"] == (3, False, None) and got["bad.gpx"][:2] == (0, True) and got["bad.gpx"][2].startswith("Parse error: ")
+
+
+def test_files_are_written_whole_and_once(spark, tmp_path):
+    df = spark.createDataFrame([("a/b", "1"), ("a_b", "2"), ("甲", None)], "n string, c string")
+    out = f"{tmp_path}/out"
+    got = {r.name: (r.file, r.bytes) for r in sinks.write_files(df, out, "n", "c", ".txt").collect()}
+    assert len({f for f, _ in got.values()}) == 3 and {n: (tmp_path / "out" / f).read_text() for n, (f, _) in got.items()} == {"a/b": "1", "a_b": "2", "甲": ""}
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["out"]
+    with pytest.raises(FileExistsError):
+        sinks.write_files(df, out, "n", "c", ".txt")
+    with pytest.raises(ValueError):
+        sinks.write_files(df.unionByName(df), f"{tmp_path}/again", "n", "c", ".txt")
+
+
+def test_tracks_of_a_year(spark, folder):
+    point = [(p, 0, 0, i, 33.0 + i, 132.0, None, None) for p in ("a", "b", "c") for i in range(2)]
+    points = spark.createDataFrame(point, "gpx_path string, trk_idx int, seg_idx int, pt_idx int, lat double, lon double, ele double, time string")
+    names = spark.createDataFrame([("a", "A & B")], "gpx_path string, name string")
+    years = spark.createDataFrame([("a", 2020), ("b", 2020), ("c", 2021)], "gpx_path string, year int")
+    out = sinks.yearly_tracks(points, names, years, 1)
+    assert sorted(r.name for r in out.collect()) == ["2020-000", "2020-001", "2021-000"]
+    sinks.write_files(sinks.yearly_tracks(points, names, years), f"{folder}/years", "name", "content", ".gpx")
+    again = tracks.read_tracks(spark, f"{folder}/years/*.gpx")
+    assert tracks.trackpoints(again).count() == 6 and sorted(r.name for r in again.collect()) == ["", "A & B"]
+
+
+def test_graphs_and_waypoints(spark, folder):
+    from xml.etree import ElementTree
+
+    edges = spark.createDataFrame([("a", 'b "x" <1>', "l & m"), ("a", "c", None), ("a", "c", None), (None, "c", "")], "source string, target string, label string")
+    lines = {kind: [r.line for r in sinks.graph_lines(edges, kind).orderBy("place").collect()] for kind in ("dot", "graphml")}
+    assert lines["dot"][0] == "digraph lineage {" and lines["dot"][-1] == "}" and '"a" -> "c" [label=""];' in lines["dot"] and len(lines["dot"]) == 7
+    graph = ElementTree.fromstring("".join(lines["graphml"]))
+    assert sorted(e.get("target") for e in graph.iter("{http://graphml.graphdrawing.org/xmlns}edge")) == ['b "x" <1>', "c"]
+    marks = spark.createDataFrame([("g", "A<", 33.0, 132.0, None), ("g", "B", 34.0, 132.0, 5.0), ("g", "no", None, 1.0, 1.0)], "g string, name string, lat double, lon double, ele double")
+    sinks.write_files(sinks.waypoint_file(marks, "g"), f"{folder}/marks", "g", "content", ".gpx")
+    found = tracks.waypoints(tracks.read_tracks(spark, f"{folder}/marks/*.gpx")).orderBy("candidate_index").collect()
+    assert [(r.candidate_id, r.lat, r.ele) for r in found] == [("A<", 33.0, None), ("B", 34.0, 5.0)]
