@@ -12,6 +12,7 @@ from tarn.llm.leakage import leaks
 from tarn.llm.matching import kilometres, linked, minutes, tokens_of
 from tarn.llm.tokenizer import encoded
 from tarn.operators.timestamps import normalised
+from tarn.plans.evidence import nfkc_sql
 from tarn.session import cut_lineage, scatter, table
 
 
@@ -76,4 +77,8 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_pairs, p3_found, p3_near, p8_ids, p9_found, p10_found, p10_shares)}
-ORACLES: dict[str, str] = {}
+_LETTERS = lambda c: f"regexp_replace(lower({nfkc_sql(c)}), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
+_WINDOWS = lambda key, name: f"SELECT DISTINCT {key}, substr(t, i, 50) AS w FROM (SELECT {key}, t, unnest(range(1, length(t) - 48)) AS i FROM (SELECT {key}, {_LETTERS('text')} AS t FROM {name} WHERE text IS NOT NULL))"
+ORACLES: dict[str, str] = {
+    "p9_found": f"SELECT DISTINCT doc_id, item_id FROM ({_WINDOWS('doc_id', 'documents')}) d JOIN ({_WINDOWS('item_id', 'heldout_items')}) h USING (w)",
+}
