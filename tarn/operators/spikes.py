@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tarn.functions.geo import finite, haversine_np
-from tarn.operators.tracks import groups, hot_tracks, in_track_order, numbers, seconds_of, split_hot
+from tarn.operators.tracks import groups, hot_tracks, in_track_order, numbers, over_blocks, seconds_of, split_hot
 from tarn.session import cut_lineage
 
 KEY = ("trk_idx", "seg_idx", "pt_idx")
@@ -205,7 +205,7 @@ def implausible(fixes: DataFrame, summaries: DataFrame, p: SpikeParameters = Spi
     Null readings are none, NaN and infinite ones are flagged; rows without a time take their place in document order;
     re-delivered rows count once; rows with a null key are passed over; a summary of a track without sound readings, or
     without a figure, is not flagged. Either table may be empty. A hot track (see tracks) is judged by the same rules, as a
-    whole, but by distributed steps instead of in one task's memory.
+    whole, but by distributed steps over its blocks instead of in one task.
     """
     keys = [F.coalesce(F.col(k), F.lit(0)).cast("int").alias(k) for k in KEY]
     rows = fixes.where("gpx_path is not null and trk_idx is not null and seg_idx is not null and pt_idx is not null").select(
@@ -227,22 +227,28 @@ def implausible(fixes: DataFrame, summaries: DataFrame, p: SpikeParameters = Spi
     return found if hot is None else found.unionByName(_of_hot(hot, heads_of_hot, p))
 
 
+#: Points of a segment in a block of document order, and blocks of time order of a track.
+DOCUMENT_BLOCK, TIME_BLOCKS = 50_000, 256
+
+
 def _of_hot(rows: DataFrame, heads: DataFrame, p: SpikeParameters) -> DataFrame:
-    """As _flags, of tracks too long for one task's memory; windows over a track spill, only what lies round jumps goes to Python."""
-    document = Window.partitionBy("gpx_path").orderBy(*KEY)
+    """As _flags, of tracks too long for one task: block by block (see over_blocks), only what lies round jumps goes to Python."""
     rows = rows.drop("summary").dropDuplicates(["gpx_path", *KEY]).withColumn("t", F.when(~F.isnan("t"), F.col("t")))
     first = rows.where("t is not null").groupBy("gpx_path").agg(F.min_by("t", F.struct(*KEY)).alias("_first"))
-    rows = rows.withColumns({"_last": F.last("t", ignorenulls=True).over(document.rowsBetween(Window.unboundedPreceding, 0)), "_n": F.row_number().over(document)})
-    rows = rows.join(first, "gpx_path", "left").withColumn("t", F.coalesce("_last", "_first", F.col("_n").cast("double"))).where("ele is not null")
+    rows = rows.withColumn("block", F.struct("trk_idx", "seg_idx", F.floor(F.col("pt_idx") / DOCUMENT_BLOCK).alias("part")))
+    rows = over_blocks(rows, "gpx_path", "block", KEY, last={"_known": "t"}, total={"_n": F.lit(1)})
+    rows = rows.join(first, "gpx_path", "left").withColumn("t", F.coalesce("_known", "_first", F.col("_n").cast("double"))).where("ele is not null")
     wild = ~finite(F.col("ele")) | (F.col("ele") < p.low) | (F.col("ele") > p.high)
     rows = cut_lineage(rows.select("gpx_path", *KEY, "lat", "lon", "ele", "t", wild.alias("wild")))
-    in_time = Window.partitionBy("gpx_path").orderBy("t", *KEY)
-    sound = rows.where("not wild").drop("wild")
-    new = F.coalesce((F.col("ele") != F.lag("ele").over(in_time)).cast("int"), F.lit(0))
-    sound = sound.withColumn("_new", new).withColumn("run", F.sum("_new").over(in_time.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
-    sound = cut_lineage(sound)
+    shares = [k / TIME_BLOCKS for k in range(1, TIME_BLOCKS)]
+    cuts = rows.groupBy("gpx_path").agg(F.array_distinct(F.percentile_approx("t", shares, 10 * TIME_BLOCKS)).alias("_cuts"))
+    sound = rows.where("not wild").drop("wild").join(F.broadcast(cuts), "gpx_path").withColumn("block", F.size(F.filter("_cuts", lambda c: c <= F.col("t")))).drop("_cuts")  # a row for each hot track
+    in_time = ("t", *KEY)
+    sound = over_blocks(sound, "gpx_path", "block", in_time, lag={"_before": "ele"}, total={"_n": F.lit(1)})
+    sound = sound.withColumn("_start", F.when(F.col("_before").isNull() | (F.col("ele") != F.col("_before")), F.col("_n")))
+    sound = cut_lineage(over_blocks(sound, "gpx_path", "block", in_time, last={"run": "_start"}).drop("_before", "_n", "_start"))
     stuck = _stuck_runs(sound, p)
-    rest = cut_lineage(sound.join(stuck, ["gpx_path", "run"], "left_anti").select("gpx_path", *KEY, "ele", "t"))
+    rest = cut_lineage(sound.join(stuck, ["gpx_path", "run"], "left_anti").select("gpx_path", *KEY, "ele", "t", "block"))
     more = True
     while more:
         rest, more = _without_outliers(rest, p)
@@ -256,13 +262,13 @@ def _stuck_runs(sound: DataFrame, p: SpikeParameters) -> DataFrame:
     """(gpx_path, run) of stuck runs: of the long ones the five placed fixes at either end are enough."""
     long = sound.groupBy("gpx_path", "run").count().where(F.col("count") >= p.stuck_run).drop("count")
     placed = finite(F.col("lat")) & finite(F.col("lon")) & (F.col("lat") != 0) & (F.col("lon") != 0)
-    ends = sound.join(long, ["gpx_path", "run"]).where(placed)
-    run = Window.partitionBy("gpx_path", "run")
-    ends = ends.withColumns({"_a": F.row_number().over(run.orderBy("t", *KEY)), "_n": F.count("*").over(run)})
-    ends = ends.where((F.col("_a") <= 5) | (F.col("_a") > F.col("_n") - 5))
+    own = sound.join(long, ["gpx_path", "run"]).where(placed)
+    at, run = ("t", *KEY), Window.partitionBy("gpx_path", "run")
+    ends = [own.withColumn("_a", F.row_number().over(run.orderBy(*(way(c) for c in at)))).where("_a <= 5").drop("_a") for way in (F.asc, F.desc)]  # limited before the shuffle
+    ends = ends[0].unionByName(ends[1]).distinct()
 
     def far(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("_a")
+        group = group.sort_values([*at])
         lat, lon = group["lat"].to_numpy(), group["lon"].to_numpy()
         apart = 0.0
         if len(group) > 1:
@@ -270,33 +276,24 @@ def _stuck_runs(sound: DataFrame, p: SpikeParameters) -> DataFrame:
             apart = haversine_np(lat[a], lon[a], lat[b], lon[b])
         return group[["gpx_path", "run"]].head(1 if apart > p.stuck_distance_m else 0)
 
-    return ends.select("gpx_path", "run", "lat", "lon", "_a").groupBy("gpx_path", "run").applyInPandas(far, "gpx_path string, run bigint")
+    return ends.select("gpx_path", "run", "lat", "lon", *at).groupBy("gpx_path", "run").applyInPandas(far, "gpx_path string, run bigint")
 
 
 def _without_outliers(rest: DataFrame, p: SpikeParameters) -> tuple[DataFrame, bool]:
     """One round of outliers() for each track: (rows without its outliers, whether any was found)."""
-    in_time = Window.partitionBy("gpx_path").orderBy("t", *KEY)
-    rows = rest.withColumns({"step": F.lead("ele").over(in_time) - F.col("ele"), "n": F.row_number().over(in_time)})
-    rows = cut_lineage(rows.withColumn("last", F.lag("step").over(in_time)))
-    counts = rows.where("step is not null").select("gpx_path", F.abs("step").alias("step")).groupBy("gpx_path", "step").count()
-    upto = Window.partitionBy("gpx_path").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    ranks = counts.withColumn("upto", F.sum("count").over(upto)).join(counts.groupBy("gpx_path").agg(((F.sum("count") - 1) * p.step_quantile).alias("at")), "gpx_path")
-    at = lambda k: F.min(F.when(F.col("upto") > k, F.col("step")))
-    values = ranks.groupBy("gpx_path").agg(at(F.floor("at")).alias("lo"), at(F.ceil("at")).alias("hi"), F.first("at").alias("at"))
-    quantile = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.floor("at"))
-    scales = values.select("gpx_path", quantile.alias("scale"))
+    at = ("t", *KEY)
+    rows = over_blocks(rest, "gpx_path", "block", at, lag={"_before": "ele"}, lead={"_after": "ele"}, total={"n": F.lit(1)})
+    rows = cut_lineage(rows.withColumns({"step": F.col("_after") - F.col("ele"), "last": F.col("ele") - F.col("_before")}).drop("_before", "_after"))
+    models = _models(rows, p)
     clip = lambda c: F.greatest(F.least(F.col(c), F.col("scale")), -F.col("scale"))
-    sums = rows.where("step is not null and last is not null").join(scales, "gpx_path").groupBy("gpx_path").agg(F.sum(clip("step") * clip("last")).alias("lagged"), F.sum(clip("last") * clip("last")).alias("square"))
-    phi = F.coalesce(F.when(F.col("square") > 0, F.round(F.greatest(F.lit(-0.95), F.least(F.lit(0.95), F.col("lagged") / F.col("square"))), 9)), F.lit(0.0))
-    models = scales.join(sums, "gpx_path", "left").select("gpx_path", "scale", phi.alias("phi"), F.greatest(F.lit(p.min_jump), p.step_times * F.col("scale")).alias("limit"))
-    rows = rows.join(models, "gpx_path")
+    rows = rows.join(F.broadcast(models), "gpx_path")  # a row for each hot track
     # a jump reaches over longest + 1 readings behind it and one before; those of jumps that meet are judged together, in order
-    reach = p.longest + 1
     residual = F.abs(F.col("step") - F.col("phi") * F.coalesce(clip("last"), F.lit(0.0)))
-    jump = F.when(residual > 0.37 * F.col("limit"), F.col("n"))
-    rows = rows.withColumn("_j", jump).withColumn("_last", F.last("_j", ignorenulls=True).over(in_time.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.withColumn("_next", F.lead("_j").over(in_time)).where((F.col("n") - F.col("_last") <= reach) | F.col("_next").isNotNull())
-    part = rows.withColumn("_new", F.coalesce((F.col("n") - F.lag("n").over(in_time) > 1).cast("int"), F.lit(0))).withColumn("part", F.sum("_new").over(in_time.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("_j", F.when(residual > 0.37 * F.col("limit"), F.col("n")))
+    rows = over_blocks(rows, "gpx_path", "block", at, lead={"_next": "_j"}, last={"_jump": "_j"})
+    near = F.coalesce(F.col("n") - F.col("_jump") <= p.longest + 1, F.lit(False)) | F.col("_next").isNotNull()
+    rows = over_blocks(rows.withColumn("_near", near), "gpx_path", "block", at, lag={"_was": "_near"})
+    rows = over_blocks(rows.withColumn("_start", F.when(F.col("_near") & ~F.coalesce("_was", F.lit(False)), F.col("n"))), "gpx_path", "block", at, last={"part": "_start"})
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths: list[str] = []
@@ -313,8 +310,23 @@ def _without_outliers(rest: DataFrame, p: SpikeParameters) -> tuple[DataFrame, b
                 paths, keys = [], []
         yield _batch(paths, keys)
 
-    spread = in_track_order(part.select("gpx_path", "part", "n", "t", "ele", "step", "scale", "phi", "limit", *KEY), "gpx_path", "part", order=("n",))
+    spread = in_track_order(rows.where("_near").select("gpx_path", "part", "n", "t", "ele", "step", "scale", "phi", "limit", *KEY), "gpx_path", "part", order=("n",))
     new = cut_lineage(spread.mapInArrow(judged, FOUND))
     if new.isEmpty():
         return rest, False
     return cut_lineage(rest.join(new, ["gpx_path", *KEY], "left_anti")), True
+
+
+def _models(rows: DataFrame, p: SpikeParameters) -> DataFrame:
+    """(gpx_path, scale, phi, limit) of tracks: fitted(), with the quantile found among counted steps, in blocks of their size."""
+    steps = rows.where("step is not null").groupBy("gpx_path", F.abs("step").alias("size")).count()
+    steps = steps.withColumn("block", F.least(F.floor(F.col("size") * 20), F.lit(20_000)))
+    ranks = over_blocks(steps, "gpx_path", "block", ("size",), total={"upto": F.col("count")})
+    ranks = ranks.join(F.broadcast(steps.groupBy("gpx_path").agg(((F.sum("count") - 1) * p.step_quantile).alias("at"))), "gpx_path")
+    at = lambda k: F.min(F.when(F.col("upto") > k, F.col("size")))
+    values = ranks.groupBy("gpx_path").agg(at(F.floor("at")).alias("lo"), at(F.ceil("at")).alias("hi"), F.first("at").alias("at"))
+    scales = values.select("gpx_path", (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.floor("at"))).alias("scale"))
+    clip = lambda c: F.greatest(F.least(F.col(c), F.col("scale")), -F.col("scale"))
+    sums = rows.where("step is not null and last is not null").join(F.broadcast(scales), "gpx_path").groupBy("gpx_path").agg(F.sum(clip("step") * clip("last")).alias("lagged"), F.sum(clip("last") * clip("last")).alias("square"))
+    phi = F.coalesce(F.when(F.col("square") > 0, F.round(F.greatest(F.lit(-0.95), F.least(F.lit(0.95), F.col("lagged") / F.col("square"))), 9)), F.lit(0.0))
+    return scales.join(sums, "gpx_path", "left").select("gpx_path", "scale", phi.alias("phi"), F.greatest(F.lit(p.min_jump), p.step_times * F.col("scale")).alias("limit"))

@@ -90,3 +90,30 @@ def groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator
 def numbers(table: pa.Table, *names: str) -> list[np.ndarray]:
     """Columns as float arrays, null as NaN."""
     return [table[name].cast(pa.float64()).to_numpy(zero_copy_only=False) for name in names]
+
+
+def over_blocks(rows: DataFrame, track: str, block: str, order: tuple[str, ...], lag: dict[str, str] = {}, lead: dict[str, str] = {}, last: dict[str, str] = {}, total: dict[str, Column] = {}) -> DataFrame:  # noqa: B006
+    """Window functions over whole tracks, computed block by block: rows with the columns named by the keys, of the columns or values given.
+
+    block numbers the blocks of a track in order; order has no ties within one. lag and lead are of the row before and after,
+    last is the last value that is not null up to each row, total the sum up to each row. What crosses the edges of blocks goes
+    through a table of one row per block, so no task sorts a whole track.
+    """
+    at = F.struct(*order)
+    values = {f"_t{i}": v for i, v in enumerate(total.values())}
+    rows = rows.withColumns(values)
+    edge = {f"_lag{i}": F.max_by(c, at) for i, c in enumerate(lag.values())} | {f"_lead{i}": F.min_by(c, at) for i, c in enumerate(lead.values())}
+    edge |= {f"_last{i}": F.max_by(c, F.when(F.col(c).isNotNull(), at)) for i, c in enumerate(last.values())} | {f"_sum{i}": F.sum(c) for i, c in enumerate(values)}
+    along = Window.partitionBy(track).orderBy(block)
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    edges = rows.groupBy(track, block).agg(F.count("*").alias("_rows"), *(v.alias(k) for k, v in edge.items()))
+    kinds = {"_lag": lambda c: F.lag(c).over(along), "_lead": lambda c: F.lead(c).over(along), "_last": lambda c: F.last(c, ignorenulls=True).over(before), "_sum": lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))}
+    edges = edges.withColumns({c: kinds[c.rstrip("0123456789")](c) for c in edge})
+    own = Window.partitionBy(track, block).orderBy(*order)
+    upto = own.rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.join(edges, [track, block]).withColumn("_row", F.row_number().over(own))
+    found = {k: F.when(F.col("_row") == 1, F.col(f"_lag{i}")).otherwise(F.lag(c).over(own)) for i, (k, c) in enumerate(lag.items())}
+    found |= {k: F.when(F.col("_row") == F.col("_rows"), F.col(f"_lead{i}")).otherwise(F.lead(c).over(own)) for i, (k, c) in enumerate(lead.items())}
+    found |= {k: F.coalesce(F.last(c, ignorenulls=True).over(upto), F.col(f"_last{i}")) for i, (k, c) in enumerate(last.items())}
+    found |= {k: F.col(f"_sum{i}") + F.sum(f"_t{i}").over(upto) for i, k in enumerate(total)}
+    return out.withColumns(found).drop("_row", "_rows", *edge, *values)

@@ -19,7 +19,7 @@ TOKYO = "Asia/Tokyo"
 
 
 def rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(v is not None, v) for v in r])
 
 
 @pytest.mark.parametrize(
@@ -252,6 +252,16 @@ def test_a_hot_track_has_the_same_implausible_readings(spark, monkeypatch):
         assert (("a", -1, -1, -1) in whole) == (shift > 0) and ("b", -1, -1, -1) in whole and ("c", -1, -1, -1) in whole and len(whole) > 40
 
 
+def test_windows_over_blocks(spark):
+    rng = np.random.default_rng(7)
+    data = pd.DataFrame({"k": rng.choice(["a", "b"], 200), "n": range(200), "v": rng.choice([1.0, 2.0, 3.0, None], 200), "block": np.arange(200) // 7})
+    df = spark.createDataFrame(data).withColumn("v", F.when(~F.isnan("v"), F.col("v")))
+    got = tracks.over_blocks(df, "k", "block", ("n",), lag={"a": "v"}, lead={"b": "v"}, last={"c": "v"}, total={"d": F.lit(1), "e": F.col("n")})
+    along = "OVER (PARTITION BY k ORDER BY n"
+    want = df.selectExpr("*", f"lag(v) {along}) a", f"lead(v) {along}) b", f"last(v, true) {along} ROWS UNBOUNDED PRECEDING) c", f"count(*) {along} ROWS UNBOUNDED PRECEDING) d", f"sum(n) {along} ROWS UNBOUNDED PRECEDING) e")
+    assert rows(got.select(want.columns)) == rows(want) and len(rows(want)) == 200
+
+
 def even(table):
     return [tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in table]
 
