@@ -250,3 +250,25 @@ def in_polygons(regions: DataFrame, points: DataFrame) -> DataFrame:
     """Points (lat, lon, ...) joined to the polygons (region, rings) that hold them; borders by the even-odd rule."""
     exact = in_cell(F.col("_x"), F.col("_y"), F.col("level"), F.col("cell"), F.col("centre_in"), F.col("edges"))
     return match_points(points, cover_polygons(regions), exact).drop("centre_in", "edges")
+
+
+def pairs_within(points: DataFrame, anchors: DataFrame, group: str, max_m: float) -> DataFrame:
+    """Points (group, lat, lon, ...) with the anchors (group, a_lat, a_lon, ...) of their own group within max_m of them, and distance_m.
+
+    An equi-join on group and grid cell: cells lie in bands of latitude and are no narrower than max_m, and an anchor stands in
+    its own and those round it. So a group with many of both is not compared pair by pair. Null and non-finite places and null
+    groups match nothing; coordinates out of range do not either. Other columns must have different names.
+    """
+    size = max_m * 1.01 / 111_194.0
+    on_earth = lambda y, x: finite(F.col(y)) & finite(F.col(x)) & F.col(y).between(-90, 90) & F.col(x).between(-180, 180)
+    band = lambda v: F.floor(v / size)
+    cy = F.col("_cy")
+    width = F.least(size / F.greatest(F.cos(F.radians(F.least(F.greatest(F.abs(cy * size), F.abs((cy + 1) * size)), F.lit(90.0)))), F.lit(1e-9)), F.lit(360.0))
+    around = F.floor(F.lit(360.0) / width)  # the last cell before 180 degrees east is the widest
+    cell = lambda x: F.least(F.floor((x + 180) / width), around - 1).cast("bigint")
+    own = points.where(on_earth("lat", "lon")).withColumn("_cy", band(F.col("lat"))).withColumn("_cx", F.pmod(cell(F.col("lon")), F.greatest(around, F.lit(1)).cast("bigint")))
+    near = anchors.where(on_earth("a_lat", "a_lon")).withColumn("_cy", F.explode(F.sequence(band(F.col("a_lat")) - 1, band(F.col("a_lat")) + 1)))
+    beside = F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: F.pmod(cell(F.col("a_lon")) + k, F.greatest(around, F.lit(1)).cast("bigint"))))
+    near = near.withColumn("_cx", F.explode(beside))
+    d = haversine_m(F.col("a_lat"), F.col("a_lon"), F.col("lat"), F.col("lon"))
+    return own.join(near, [group, "_cy", "_cx"]).drop("_cy", "_cx").withColumn("distance_m", d).where(F.col("distance_m") <= max_m)

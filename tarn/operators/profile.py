@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tarn.functions.geo import haversine_m, haversine_np
+from tarn.operators.nearby import pairs_within
 from tarn.operators.tracks import groups, numbers
 from tarn.session import tasks
 
@@ -229,10 +230,12 @@ def around_nearest(points: DataFrame, anchors: DataFrame, track: str, max_m: flo
     """
     part = [c for c in ("trk_idx", "seg_idx") if c in points.columns]
     at = [*part, "pt_idx"]
-    pairs = points.join(anchors, track).withColumn("d", haversine_m(F.col("a_lat"), F.col("a_lon"), F.col("lat"), F.col("lon")))
-    best = pairs.groupBy("anchor", track).agg(F.min_by(F.struct(*at, "lat", "lon", "ele", "d"), F.struct("d", *at)).alias("b")).where(F.col("b.d") <= max_m)
+    pairs = pairs_within(points, anchors, track, max_m).withColumnRenamed("distance_m", "d")
+    best = pairs.groupBy("anchor", track).agg(F.min_by(F.struct(*at, "lat", "lon", "ele", "d"), F.struct("d", *at)).alias("b"))
     same = reduce(and_, (F.col(f"q.{c}") == F.col(f"b.{c}") for c in part))
-    near = points.alias("q").join(best.alias("k"), track).where(same & (F.abs(F.col("q.pt_idx") - F.col("b.pt_idx")) <= steps))
+    part_of = lambda c: F.floor(F.col(c) / (2 * steps + 1))  # noqa: E731 - neighbours by index lie in the same stretch or the next
+    best = best.withColumn("_s", F.explode(F.sequence(part_of("b.pt_idx") - 1, part_of("b.pt_idx") + 1)))
+    near = points.withColumn("_s", part_of("pt_idx")).alias("q").join(best.alias("k"), [track, "_s"]).where(same & (F.abs(F.col("q.pt_idx") - F.col("b.pt_idx")) <= steps))
     near = near.where(haversine_m(F.col("q.lat"), F.col("q.lon"), F.col("b.lat"), F.col("b.lon")) <= reach_m)
     local = near.groupBy("anchor", track, "b").agg(F.count("*").alias("points"), F.max("q.ele").alias("high"), F.min("q.ele").alias("low"))
     like = F.when(F.col("high") > F.col("low"), 1 - (F.col("high") - F.col("b.ele")) / (F.col("high") - F.col("low"))).otherwise(1.0)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tarn.functions.geo import finite, haversine_m
 from tarn.operators import areas, evidence, linkage, profile, summary
-from tarn.operators.nearby import in_polygons, within_radius
+from tarn.operators.nearby import in_polygons, pairs_within, within_radius
 from tarn.session import table
 
 POINT = ["trk_idx", "seg_idx", "pt_idx"]
@@ -67,8 +67,8 @@ def place_nearest(spark: SparkSession, folder: str) -> DataFrame:
 def place_nearest_trackpoint(spark: SparkSession, folder: str) -> DataFrame:
     points = profile.once(table(spark, folder, "trkpt").select("gpx_path", *POINT, "lat", "lon"), "gpx_path", *POINT).where("lat is not null and lon is not null")
     anchors = _candidates(spark, folder).where("lat is not null and lon is not null").select("summit_candidate_id", F.col("source_gpx_path").alias("gpx_path"), F.col("lat").alias("a_lat"), F.col("lon").alias("a_lon"))
-    pairs = points.join(anchors, "gpx_path").withColumn("d", haversine_m(F.col("a_lat"), F.col("a_lon"), F.col("lat"), F.col("lon")))
-    return pairs.groupBy("summit_candidate_id").agg(F.round(F.min("d"), 3).alias("distance_m")).where("distance_m <= 300")
+    pairs = pairs_within(points.select("gpx_path", "lat", "lon"), anchors, "gpx_path", 300.0)
+    return pairs.groupBy("summit_candidate_id").agg(F.round(F.min("distance_m"), 3).alias("distance_m"))
 
 
 def place_in_polygons(spark: SparkSession, folder: str) -> DataFrame:
@@ -176,7 +176,7 @@ ORACLES = {
     "place_nearest": f"""SELECT summit_candidate_id, first(region ORDER BY d, region) AS nearest, min(d) AS distance_m, count(*) AS near, string_agg(CAST(region AS VARCHAR), ';' ORDER BY d, region) AS by_distance
         FROM (SELECT * REPLACE (round(d, 3) AS d) FROM ({_NEAR(1000)})) GROUP BY 1""",
     "place_nearest_trackpoint": f"""SELECT summit_candidate_id, round(min({_D('c', 'p')}), 3) AS distance_m FROM (SELECT DISTINCT summit_candidate_id, source_gpx_path, lat, lon FROM summit_candidates) c
-        JOIN (SELECT DISTINCT gpx_path, lat, lon FROM trkpt) p ON p.gpx_path = c.source_gpx_path WHERE c.lat IS NOT NULL AND c.lon IS NOT NULL AND p.lat IS NOT NULL AND p.lon IS NOT NULL GROUP BY 1 HAVING round(min({_D('c', 'p')}), 3) <= 300""",
+        JOIN (SELECT DISTINCT gpx_path, lat, lon FROM trkpt) p ON p.gpx_path = c.source_gpx_path WHERE c.lat IS NOT NULL AND c.lon IS NOT NULL AND p.lat IS NOT NULL AND p.lon IS NOT NULL GROUP BY 1 HAVING min({_D('c', 'p')}) <= 300""",
     "place_in_polygons": f"WITH {_RINGS} {_IN(f'({_F})', 'summit_candidate_id')}",
     "place_adjacent": f"WITH {_RINGS}, {_SIDES} {_ADJ}",
     "place_relations": f"""WITH {_RINGS}, {_SIDES}, adj AS ({_ADJ}), r AS (SELECT DISTINCT region FROM e), c AS (SELECT DISTINCT region, x1, y1 FROM e), touch AS (SELECT DISTINCT a.region AS region_a, b.region AS region_b FROM c a JOIN c b ON a.x1 = b.x1 AND a.y1 = b.y1 AND a.region < b.region)

@@ -1,5 +1,7 @@
 """Operators of the general problems on small cases and against brute force."""
 
+import time
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tarn.functions.geo import haversine_np
 from tarn.functions.zones import database_version, local_to_utc
-from tarn.operators.nearby import in_polygons, within_radius
+from tarn.operators.nearby import in_polygons, pairs_within, within_radius
 from tarn.operators.packed import explode_packed, tokenize
 from tarn.operators.spikes import SpikeParameters, implausible, judge
 from tarn.operators.stays import StayParameters, segments, stays_of
@@ -130,6 +132,50 @@ def test_within_radius_by_shuffle_and_of_nothing(spark, monkeypatch):
     assert within_radius(a, b.limit(0), 300.0).collect() == []
 
 
+def test_pairs_in_groups_against_brute_force(spark):
+    rng = np.random.default_rng(6)
+    spots = [(0.0, 0.0), (33.0, 132.0), (60.0, 179.9999), (-75.0, -179.9999), (89.99, 10.0)]
+    scatter = lambda n: [(rng.choice(["a", "b"]), float(min(90, y + rng.uniform(-0.004, 0.004))), float((x + 180 + rng.uniform(-0.004, 0.004) / max(0.01, np.cos(np.radians(y)))) % 360 - 180)) for y, x in spots for _ in range(n)]
+    points, anchors = scatter(60), scatter(12)
+    want = sorted((i, j) for i, (g, y, x) in enumerate(points) for j, (h, v, u) in enumerate(anchors) if g == h and haversine_np(y, x, v, u) <= 300)
+    df = spark.createDataFrame([(i, str(g), y, x) for i, (g, y, x) in enumerate(points)] + [(999, "a", None, 1.0), (998, None, 0.0, 0.0)], "id int, g string, lat double, lon double")
+    at = spark.createDataFrame([(j, str(g), y, x) for j, (g, y, x) in enumerate(anchors)] + [(99, "a", float("nan"), 1.0), (98, None, 0.0, 0.0)], "anchor int, g string, a_lat double, a_lon double")
+    assert rows(pairs_within(df, at, "g", 300.0).select("id", "anchor")) == want and len(want) > 100
+
+
+def test_polygons_of_many_sides_against_brute_force(spark):
+    rng = np.random.default_rng(0)
+
+    def star(x, y, r, n):
+        turn = np.sort(rng.uniform(0, 2 * np.pi, n))
+        far = r * (0.4 + 0.6 * rng.random(n))
+        return [(float(x + a), float(y + b)) for a, b in zip(far * np.cos(turn), far * np.sin(turn))]
+
+    regions = [("a", [star(10, 10, 5, 1500), star(10, 10, 1.5, 200)]), ("b", [star(12, 11, 3, 50)]), ("square", [[(9.0, 9.0), (11.0, 9.0), (11.0, 11.0), (9.0, 11.0)]])]
+    p = pd.DataFrame({"id": range(1500), "lat": rng.uniform(4, 16, 1500), "lon": rng.uniform(4, 16, 1500)})
+    p.loc[:200, "lat"], p.loc[100:300, "lon"] = np.round(p.lat[:201] * 4) / 4, np.round(p.lon[100:301] * 4) / 4  # on the lines of cells
+    want = []
+    for name, rings in regions:
+        inside = np.zeros(len(p), bool)
+        for ring in rings:
+            for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+                if y1 != y2:
+                    inside ^= ((y1 > p.lat.values) != (y2 > p.lat.values)) & (p.lon.values < (x2 - x1) * (p.lat.values - y1) / (y2 - y1) + x1)
+        want += [(name, int(i)) for i in p.id[inside]]
+    found = in_polygons(spark.createDataFrame(regions, "region string, rings array<array<struct<x: double, y: double>>>"), spark.createDataFrame(p))
+    assert rows(found.select("region", "id")) == sorted(want)
+
+
+@pytest.mark.parametrize("mark", ["(", "\"a'", "“", "['a", "x' y", "a'b"])
+def test_tokenizer_is_linear_in_marks(mark):
+    def took(n):
+        start = time.perf_counter()
+        tokenize(mark * n)
+        return time.perf_counter() - start
+
+    assert min(took(16_000) for _ in range(3)) < 40 * min(took(2_000) for _ in range(3))
+
+
 def test_polygons_with_a_hole(spark):
     rings = [[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)], [(1.0, 1.0), (3.0, 1.0), (3.0, 3.0), (1.0, 3.0)]]
     regions = spark.createDataFrame([("a", rings), ("none", None), ("empty", [])], "region string, rings array<array<struct<x: double, y: double>>>")
