@@ -13,7 +13,7 @@ from tarn.functions.geo import finite, haversine_m, haversine_np
 from tarn.operators.linkage import last_wins, names_in_texts
 from tarn.operators.nearby import within_radius
 from tarn.operators.tracks import groups, in_track_order, numbers
-from tarn.session import cut_lineage
+from tarn.session import broadcast_if_small, cut_lineage
 
 
 def within_band(regions: DataFrame, points: DataFrame, value: str, width: float) -> DataFrame:
@@ -21,7 +21,7 @@ def within_band(regions: DataFrame, points: DataFrame, value: str, width: float)
     band = lambda c: F.floor(F.col(c) / width)
     a = regions.where(finite(F.col(value))).select("region", F.col(value).alias("_a")).withColumn("_band", F.explode(F.sequence(band("_a") - 1, band("_a") + 1)))
     b = points.where(finite(F.col(value))).select("id", F.col(value).alias("_b")).withColumn("_band", band("_b"))
-    return b.join(a, "_band").where(F.abs(F.col("_a") - F.col("_b")) <= width).select("region", "id")
+    return b.join(broadcast_if_small(a, 300_000), "_band").where(F.abs(F.col("_a") - F.col("_b")) <= width).select("region", "id")
 
 
 def evidence_links(regions: DataFrame, points: DataFrame, height_m: float, radius_m: float) -> DataFrame:

@@ -58,3 +58,15 @@ def names_in_texts(names: DataFrame, texts: DataFrame, longest: int = 40) -> Dat
     pieces = F.array_distinct(F.flatten(F.array(*map(of_length, lengths))))
     keyed = long.withColumn("_piece", F.explode(pieces))
     return keyed.join(named, F.col("_piece") == F.col("_k")).where(names_match(F.col("name"), F.col("text"))).select("number", "id").distinct()
+
+
+def indexed(rows: DataFrame, key: str, order: list[str], *columns: str) -> DataFrame:
+    """(key, n, rows): per key its rows (structs of columns) in order. A key's rows must fit a row."""
+    entry = F.struct(F.struct(*order).alias("_o"), F.struct(*columns).alias("r"))
+    own = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_all"))
+    return own.select(key, F.size("_all").alias("n"), F.transform("_all", lambda e: e["r"]).alias("rows"))
+
+
+def looked_up(rows: DataFrame, known: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows joined to the one row that known has of their key, rows whose key is null or not known). Together they are all rows."""
+    return rows.join(known, key), rows.join(known.select(key), key, "left_anti")

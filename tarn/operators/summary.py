@@ -56,3 +56,9 @@ def spread_of(df: DataFrame, key: str, lat: str, lon: str) -> DataFrame:
     dy, dx = (high(lat) - low(lat)) * 111_320.0, (high(lon) - low(lon)) * 111_320.0 * F.cos(F.radians(F.avg(lat)))
     return df.groupBy(key).agg(F.count(lat).alias("points"), F.round(F.hypot(dx, dy), 1).alias("extent_m"))
 
+
+def pass_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """(rule, passed, pct) of rows for which each rule holds, in one pass; null does not hold, no rows are 0 per cent."""
+    row = df.agg(F.count("*").alias("_n"), *(F.count_if(rule).alias(name) for name, rule in rules.items()))
+    each = F.explode(F.array(*(F.struct(F.lit(n).alias("rule"), F.col(n).alias("passed")) for n in rules)))
+    return row.select("_n", each.alias("r")).select("r.*", F.round(F.col("r.passed") * 100.0 / F.greatest("_n", F.lit(1)), 2).alias("pct"))

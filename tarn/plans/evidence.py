@@ -7,9 +7,9 @@ import unicodedata
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarn.functions.text import flags, is_alias, lat_lon, name_form, name_score, one_of, place_parts, plain_markup, seconds_into_day, squeezed, time_forms, title_form, title_list, written_date
-from tarn.operators import evidence, linkage, profile, quality, ranking
+from tarn.operators import evidence, linkage, profile, quality, ranking, summary
 from tarn.plans.places import _A, _C, _D, _candidates, _mountains
-from tarn.plans.reference import _RANKED, _SIDES, _SQ, _TOK, _sides, rank_links
+from tarn.plans.reference import _RANKED, _SIDES, _SQ, _TOK, _sides, names_sql, rank_links
 from tarn.session import table
 
 
@@ -116,8 +116,27 @@ def summary_compared(spark: SparkSession, folder: str) -> DataFrame:
     return evidence.compared(rows, rows.where("confidence >= 0.5"), "review_category")
 
 
+def link_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Candidates of each track in the order of their numbers."""
+    rows = profile.once(table(spark, folder, "summit_candidates").select("summit_candidate_id", "candidate_index_in_gpx", F.col("source_gpx_path").alias("gpx_path")), "summit_candidate_id")
+    own = linkage.indexed(rows, "gpx_path", ["candidate_index_in_gpx", "summit_candidate_id"], "summit_candidate_id")
+    return own.select("gpx_path", "n", F.concat_ws(";", F.transform("rows", lambda r: r["summit_candidate_id"])).alias("candidates"))
+
+
+def link_missing(spark: SparkSession, folder: str) -> DataFrame:
+    """Assignments whose candidate is known, with its height, and those whose is not."""
+    rows = _assignments(spark, folder).select("assignment_id", F.col("proposed_summit_candidate_id").alias("summit_candidate_id"))
+    found, missing = linkage.looked_up(rows, _candidates(spark, folder).select("summit_candidate_id", "ele_m"), "summit_candidate_id")
+    return found.withColumn("known", F.lit(True)).unionByName(missing.withColumns({"ele_m": F.lit(None).cast("double"), "known": F.lit(False)}))
+
+
+def summary_passes(spark: SparkSession, folder: str) -> DataFrame:
+    near, like = F.col("distance_csv_to_proposed_m"), F.abs("elevation_diff_csv_to_proposed_m")
+    return summary.pass_counts(_assignments(spark, folder), {"within 300 m": near <= 300, "within 50 m of height": like <= 50, "both": (near <= 300) & (like <= 50), "no review": ~F.col("needs_human_review")})
+
+
 QUERIES = {f.__name__: f for f in (
-    link_direct_first, link_evidence, link_lookups, text_titles, text_times, text_coordinates, text_markup, text_forms, rows_flagged, rows_categories, rank_review, check_counts, check_split, summary_compared,
+    link_direct_first, link_evidence, link_lookups, text_titles, text_times, text_coordinates, text_markup, text_forms, rows_flagged, rows_categories, rank_review, check_counts, check_split, summary_compared, link_index, link_missing, summary_passes,
 )}
 
 
@@ -146,7 +165,7 @@ _LIKE = lambda t: f"CASE WHEN len(list_distinct({_TOK('mountain_name')} || {_TOK
 ORACLES = {
     "link_direct_first": f"""WITH d AS (SELECT gpx_path AS track, min(candidate_yamap_activity_id) AS activity FROM {_L} WHERE gpx_path IS NOT NULL AND match_status = 'direct_id_match' GROUP BY 1 HAVING min(candidate_yamap_activity_id) IS NOT NULL),
         {_SIDES.replace("WHERE gpx_path IS NOT NULL", "WHERE gpx_path IS NOT NULL AND gpx_path NOT IN (SELECT track FROM d)")} SELECT track, activity, match_status, notes FROM linked UNION ALL SELECT track, activity, 'direct_id_match', NULL FROM d""",
-    "link_evidence": f"""SELECT * FROM (SELECT region, id, coalesce(name <> '' AND text <> '' AND contains(text, name) AND length(name) > 2, false) AS by_name, coalesce(abs(m.elevation_m - c.ele_m) <= 10, false) AS by_height,
+    "link_evidence": f"""SELECT * FROM (SELECT region, id, coalesce(name <> '' AND text <> '' AND {names_sql('name', 'text')}, false) AS by_name, coalesce(abs(m.elevation_m - c.ele_m) <= 10, false) AS by_height,
         coalesce(abs(c.lat - m.lat) < 0.01 AND {_D('m', 'c')} <= 300, false) AS by_place FROM ({_LINK_M}) m, ({_LINK_C}) c) WHERE by_name OR by_height OR by_place""",
     "link_lookups": f"""SELECT a.assignment_id, a.mountain_no, a.proposed_summit_candidate_id AS summit_candidate_id, a.source_gpx_path AS gpx_path, m.mountain_name AS listed_name, m.elevation_m, c.ele_m, t.trackpoint_count, l.links FROM ({_A}) a LEFT JOIN ehime_mountain_source_rows m USING (mountain_no)
         LEFT JOIN ({_C}) c ON c.summit_candidate_id = a.proposed_summit_candidate_id LEFT JOIN (SELECT DISTINCT gpx_path, trackpoint_count FROM summit_candidate_detection_baseline_summary) t ON t.gpx_path = a.source_gpx_path
@@ -166,6 +185,10 @@ ORACLES = {
     "rows_flagged": """SELECT DISTINCT gpx_path, array_to_string(m, '|') AS flags FROM (SELECT gpx_path, list_filter([CASE WHEN candidate_count_default = 0 THEN 'no candidates' END, CASE WHEN candidate_count_default >= 5 THEN 'many candidates' END, CASE WHEN trackpoint_count < 100 THEN 'few points' END,
         CASE WHEN elevation_range < 50 THEN 'flat' END, CASE WHEN has_missing_elevation THEN 'missing elevation' END], lambda x: x IS NOT NULL) AS m FROM summit_candidate_detection_baseline_summary) WHERE len(m) > 0""",
     "rows_categories": f"SELECT assignment_id, review_category FROM ({_A}) WHERE coalesce(review_category, 'none') IN ('none', 'full_review')",
+    "link_index": """SELECT gpx_path, CAST(count(*) AS INT) AS n, string_agg(id, ';' ORDER BY k, id) AS candidates FROM (SELECT DISTINCT summit_candidate_id AS id, candidate_index_in_gpx AS k, source_gpx_path AS gpx_path FROM summit_candidates) WHERE gpx_path IS NOT NULL GROUP BY 1""",
+    "link_missing": f"SELECT assignment_id, proposed_summit_candidate_id AS summit_candidate_id, c.ele_m, c.summit_candidate_id IS NOT NULL AS known FROM ({_A}) a LEFT JOIN ({_C}) c ON c.summit_candidate_id = a.proposed_summit_candidate_id",
+    "summary_passes": f"""WITH a AS ({_A}), p AS (SELECT 'within 300 m' AS rule, count(*) FILTER (WHERE distance_csv_to_proposed_m <= 300) AS passed FROM a UNION ALL SELECT 'within 50 m of height', count(*) FILTER (WHERE abs(elevation_diff_csv_to_proposed_m) <= 50) FROM a
+        UNION ALL SELECT 'both', count(*) FILTER (WHERE distance_csv_to_proposed_m <= 300 AND abs(elevation_diff_csv_to_proposed_m) <= 50) FROM a UNION ALL SELECT 'no review', count(*) FILTER (WHERE NOT needs_human_review) FROM a) SELECT *, round(passed * 100.0 / (SELECT count(*) FROM a), 2) AS pct FROM p""",
     "rank_review": f"SELECT mountain_no, proposed_summit_candidate_id, CAST(rank_left AS INT) AS rank_left FROM ({_RANKED}) WHERE rank_left = 1 OR (rank_left <= 3 AND gap_top <= 0.05)",
     "check_counts": """WITH f AS (SELECT DISTINCT gpx_path, trk_idx, seg_idx, pt_idx FROM trkpt), h AS (SELECT DISTINCT gpx_path, trackpoint_count FROM summit_candidate_detection_baseline_summary)
         SELECT *, stated = actual AS passed FROM (SELECT 'fixes' AS name, (SELECT CAST(sum(trackpoint_count) AS BIGINT) FROM h) AS stated, (SELECT count(*) FROM f) AS actual UNION ALL SELECT 'tracks', (SELECT count(DISTINCT gpx_path) FROM h), (SELECT count(DISTINCT gpx_path) FROM f))""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarn.functions.geo import finite
-from tarn.functions.text import BLANK, content_id, is_traverse, jaccard, squeezed, title_parts, tokens, written_date
+from tarn.functions.text import BLANK, NAME_ENDINGS, content_id, is_traverse, jaccard, squeezed, title_parts, tokens, written_date
 from tarn.operators import linkage, profile, quality, ranking, summary
 from tarn.session import table
 
@@ -232,6 +232,14 @@ _SIDES = f"""t AS (SELECT gpx_path AS track, min(substr(gpx_first_time_jst, 1, 1
       SELECT track, activity, 'needs_review', notes FROM review UNION ALL
       SELECT track, NULL, 'no_candidate', NULL FROM t WHERE track NOT IN (SELECT track FROM sure) AND track NOT IN (SELECT track FROM review))"""
 _TOK = lambda c: f"list_distinct(list_filter(regexp_split_to_array({c}, '[・/／,，、 \\t\\r\\n\\f\\x0B\\x{{00A0}}\\x{{3000}}\\-－〜~()（）+＋_]+'), lambda x: trim(x) <> ''))"
+
+
+def names_sql(name: str, text: str) -> str:
+    """names_match in SQL."""
+    near = ", ".join([name, *(f"{name} || '{e}'" for e in NAME_ENDINGS), *(f"'{e}' || {name}" for e in NAME_ENDINGS)])
+    return f"(contains({text}, {name}) AND (length({name}) > 2 OR list_has_any({_TOK(text)}, [{near}])))"
+
+
 _LINKS = f"""SELECT mountain_no, proposed_summit_candidate_id, max(confidence) AS confidence FROM ({_A}) WHERE proposed_summit_candidate_id <> '' AND confidence IS NOT NULL AND mountain_no IS NOT NULL GROUP BY 1, 2"""
 _RANKED = f"""SELECT *, row_number() OVER l AS rank_left, round(confidence - lead(confidence) OVER l, 6) AS gap_next, round(first(confidence) OVER l - confidence, 6) AS gap_top, row_number() OVER r AS rank_right FROM ({_LINKS})
     WINDOW l AS (PARTITION BY mountain_no ORDER BY confidence DESC, proposed_summit_candidate_id), r AS (PARTITION BY proposed_summit_candidate_id ORDER BY confidence DESC, mountain_no)"""
@@ -278,7 +286,7 @@ ORACLES = {
         round(CASE WHEN len(a) + len(b) > 0 THEN len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b))) ELSE 0 END, 6) AS score FROM (SELECT link_id, {_TOK('gpx_track_name')} AS a, {_TOK('yamap_title')} AS b
         FROM (SELECT DISTINCT link_id, gpx_track_name, yamap_title FROM gpx_yamap_activity_link_candidates WHERE gpx_track_name IS NOT NULL AND yamap_title IS NOT NULL))""",
     "names_in_track_names": f"""SELECT DISTINCT mountain_no, gpx_path FROM (SELECT mountain_no, {_SQ('mountain_name')} AS name FROM ehime_mountain_source_rows) JOIN (SELECT DISTINCT gpx_path, {_SQ('track_name')} AS text
-        FROM summit_candidate_detection_baseline_summary WHERE track_name IS NOT NULL) ON contains(text, name) AND length(name) > 2""",
+        FROM summit_candidate_detection_baseline_summary WHERE track_name IS NOT NULL) ON {names_sql('name', 'text')} AND name <> ''""",
     "text_parts": f"""SELECT gpx_path, CAST(CASE WHEN coalesce(track_name, '') = '' THEN 0 ELSE len(list_filter(regexp_split_to_array(track_name, '[・/／〜～→,、]'), lambda x: {_SQ('x')} <> '')) END AS INT) AS parts,
         CAST(len(list_filter(regexp_split_to_array(coalesce(track_name, ''), '[・/／,，、 \\t\\r\\n\\f\\x0B\\x{{00A0}}\\x{{3000}}\\-－〜~()（）+＋_]+'), lambda x: trim(x) <> '')) AS INT) AS tokens,
         coalesce(regexp_matches(track_name, '[・/／+＋]'), false) AS traverse FROM (SELECT DISTINCT gpx_path, track_name FROM summit_candidate_detection_baseline_summary)""",
