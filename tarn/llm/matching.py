@@ -83,56 +83,65 @@ def minutes(text: Column) -> Column:
 NO_NAME_LEFT, NO_NAME_RIGHT, NO_DAY = "left without names", "right without names", "day missing"
 
 
-def _measures(p: MatchParameters, left: bool, least: int) -> Column:
-    """Hashes of bins of distance and duration, one set for each kind of partner: with both, either or none of the two.
+def _measured(records: DataFrame, left: bool, p: MatchParameters) -> DataFrame:
+    """records with bins of distance and duration (null where missing) and own, what they have: 1 distance, 2 duration.
 
-    A record and its partner share a hash exactly if they agree, within the tolerance, in all measures that both have; a pair
-    of other kinds than a hash is for never meets in it, so no key holds all records. least: the fewest measures in common.
-    The right side has the bins within reach of its value, the left side the bin of its own.
+    The right side has the bins within reach of its value, the left side the bin of its own, so they share one if they agree.
     """
 
-    def bins(value: Column, slack: float) -> Column:
-        reach = 0.0 if left else p.tolerance + slack / value
+    def bins(c: str, slack: float) -> Column:
+        value = F.col(c)
         at = lambda v: F.floor(v / (2 * p.tolerance)).cast("long")
-        return F.sequence(at(F.log(value) - reach), at(F.log(value) + reach))
+        reach = 0.0 if left else p.tolerance + slack / value
+        found = F.sequence(at(F.log(value) - reach), at(F.log(value) + reach))
+        return F.when((value > 1e-6) & (value < 1e9), found)
+
+    binned = records.select("*", bins("km", p.slack_km).alias("_k"), bins("minutes", p.slack_minutes).alias("_m"))
+    return binned.withColumn("own", F.when(F.col("_k").isNull(), 0).otherwise(1) + F.when(F.col("_m").isNull(), 0).otherwise(2))
 
+
+def _agreeing(left: bool, least: int) -> Column:
+    """Hashes of bins, one set for each kind of partner: with both measures, either or none.
+
+    A record and its partner share a hash exactly if they agree in all measures that both have; a pair of other kinds than a
+    hash is for never meets in it, so no key holds all records. least: the fewest measures in common.
+    """
     none = F.array(F.lit(None).cast("long"))
-    has = {c: F.coalesce((F.col(c) > 1e-6) & (F.col(c) < 1e9), F.lit(False)) for c in ("km", "minutes")}
-    own = F.when(has["km"], 1).otherwise(0) + F.when(has["minutes"], 2).otherwise(0)
+    own = F.col("own")
     sets = []
     for other in range(4):
-        k = F.when(has["km"], bins(F.col("km"), p.slack_km)).otherwise(none) if other & 1 else none
-        m = F.when(has["minutes"], bins(F.col("minutes"), p.slack_minutes)).otherwise(none) if other & 2 else none
+        k, m = (F.coalesce(F.col(c), none) if other & bit else none for c, bit in (("_k", 1), ("_m", 2)))
         kinds = own * 4 + other if left else own + other * 4
         found = F.flatten(F.transform(k, lambda x: F.transform(m, lambda y: F.xxhash64(kinds, x, y))))  # noqa: B023
-        sets.append(F.when(F.bit_count(own.bitwiseAND(F.lit(other))) >= least, found).otherwise(F.array().cast("array<bigint>")))
+        sets.append(F.when(F.bit_count(own.bitwiseAND(F.lit(other))) >= least, found).otherwise(F.array().cast("array<bigint>")) if least else found)
     return F.flatten(F.array(*sets))
 
 
-def _keys(records: DataFrame, left: bool, p: MatchParameters) -> DataFrame:
+def _keys(records: DataFrame, left: bool) -> DataFrame:
     """(key, id): blocking keys of a side. Days of the left side reach one day to either side for shared tokens."""
     near = F.array(*(F.col("day") + k for k in (-1, 0, 1))) if left else F.array("day")
     dated = F.flatten(F.transform("tokens", lambda t: F.transform(near, lambda d: F.xxhash64(t, d))))
     marks = [(F.lit(NO_NAME_RIGHT), F.lit(True) if left else ~F.col("named")), (F.lit(NO_NAME_LEFT), ~F.col("named") if left else F.lit(True))]
     bare = F.filter(F.array(*(F.when(on, F.xxhash64(mark, F.col("day"))) for mark, on in marks)), lambda k: k.isNotNull())
-    keys = records.where("day is not null").select("id", F.explode(F.concat(F.coalesce(dated, F.array().cast("array<bigint>")), bare)).alias("k"), _measures(p, left, 0).alias("s"))
+    keys = records.where("day is not null").select("id", F.explode(F.concat(F.coalesce(dated, F.array().cast("array<bigint>")), bare)).alias("k"), _agreeing(left, 0).alias("s"))
     return keys.select("id", F.explode(F.transform("s", lambda s: F.xxhash64("k", s))).alias("key"))
 
 
-def _undated_keys(records: DataFrame, left: bool, p: MatchParameters) -> DataFrame:
+def _undated_keys(records: DataFrame, left: bool) -> DataFrame:
     """Keys of token and measures, through which records without a day meet all of the other side that share a measure and a name.
 
     Without a day or a measure in common no pair reaches probability one half.
     """
-    keys = records.where("named").select("id", F.col("day").isNull().alias("undated"), F.explode("tokens").alias("k"), _measures(p, left, 1).alias("s"))
+    keys = records.where("named").select("id", F.col("day").isNull().alias("undated"), F.explode("tokens").alias("k"), _agreeing(left, 1).alias("s"))
     return keys.select("id", "undated", F.explode(F.transform("s", lambda s: F.xxhash64(F.lit(NO_DAY), "k", s))).alias("key"))
 
 
 def candidates(left: DataFrame, right: DataFrame, p: MatchParameters) -> DataFrame:
     """Distinct (id_a, id_b) of records that share a blocking key and agree in the measures that both have, at every size of a block."""
-    pairs = _keys(left, True, p).withColumnRenamed("id", "id_a").join(_keys(right, False, p).withColumnRenamed("id", "id_b"), "key")
-    u, v = _undated_keys(left, True, p).withColumnRenamed("id", "id_a"), _undated_keys(right, False, p).withColumnRenamed("id", "id_b")
-    late = u.where("undated").drop("undated").join(v.drop("undated"), "key").unionByName(u.where("not undated").drop("undated").join(v.where("undated").drop("undated"), "key"))
+    left, right = _measured(left, True, p), _measured(right, False, p)
+    pairs = _keys(left, True).withColumnRenamed("id", "id_a").join(_keys(right, False).withColumnRenamed("id", "id_b"), "key")
+    u, v = _undated_keys(left, True).withColumnsRenamed({"id": "id_a", "undated": "late_a"}), _undated_keys(right, False).withColumnsRenamed({"id": "id_b", "undated": "late_b"})
+    late = u.where("late_a").join(v, "key").select("id_a", "id_b").unionByName(u.where("not late_a").join(v.where("late_b"), "key").select("id_a", "id_b"))
     return pairs.select("id_a", "id_b").unionByName(late.select("id_a", "id_b")).distinct()
 
 
