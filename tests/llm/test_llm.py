@@ -4,7 +4,6 @@ import itertools
 import random
 
 import numpy as np
-import pandas as pd
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
