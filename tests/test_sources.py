@@ -196,3 +196,15 @@ def test_graphs_and_waypoints(spark, folder):
     sinks.write_files(sinks.waypoint_file(marks, "g"), f"{folder}/marks", "g", "content", ".gpx")
     found = tracks.waypoints(tracks.read_tracks(spark, f"{folder}/marks/*.gpx")).orderBy("candidate_index").collect()
     assert [(r.candidate_id, r.lat, r.ele) for r in found] == [("A<", 33.0, None), ("B", 34.0, 5.0)]
+
+
+def test_times_and_links_of_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("2022-02-15T01:36:00Z",), ("2022-02-15T01:36:00.5Z",), ("2022-02-15T10:36:00+09:00",), ("x",), (None,)], "t string")
+    got = [r.t and str(r.t) for r in df.select(F.date_format(tracks.point_time(F.col("t")), "yyyy-MM-dd HH:mm:ss").alias("t")).collect()]
+    assert got == ["2022-02-15 01:36:00", None, "2022-02-15 01:36:00", None, None]
+    (tmp_path / "a.gpx").write_text('<gpx><link href="https://yamap.com/activities/15239274"/></gpx>')
+    (tmp_path / "b.gpx").write_text("<gpx/>")
+    found = {r.gpx_path[-5:]: (r.activity_id, r.has_site) for r in tracks.activity_links(spark, f"{tmp_path}/*.gpx").collect()}
+    assert found == {"a.gpx": ("15239274", True), "b.gpx": (None, False)}
