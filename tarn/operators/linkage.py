@@ -60,11 +60,10 @@ def names_in_texts(names: DataFrame, texts: DataFrame, longest: int = 40) -> Dat
     return keyed.join(named, F.col("_piece") == F.col("_k")).where(names_match(F.col("name"), F.col("text"))).select("number", "id").distinct()
 
 
-def indexed(rows: DataFrame, key: str, order: list[str], *columns: str) -> DataFrame:
-    """(key, n, rows): per key its rows (structs of columns) in order. A key's rows must fit a row."""
-    entry = F.struct(F.struct(*order).alias("_o"), F.struct(*columns).alias("r"))
-    own = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_all"))
-    return own.select(key, F.size("_all").alias("n"), F.transform("_all", lambda e: e["r"]).alias("rows"))
+def indexed(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """rows with place (from 1, in order within their key) and n (rows of the key); rows of a null key are passed over. Order should have no ties."""
+    own = Window.partitionBy(key)
+    return rows.where(F.col(key).isNotNull()).withColumns({"place": F.row_number().over(own.orderBy(*order)), "n": F.count("*").over(own)})
 
 
 def looked_up(rows: DataFrame, known: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

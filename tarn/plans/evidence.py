@@ -119,8 +119,7 @@ def summary_compared(spark: SparkSession, folder: str) -> DataFrame:
 def link_index(spark: SparkSession, folder: str) -> DataFrame:
     """Candidates of each track in the order of their numbers."""
     rows = profile.once(table(spark, folder, "summit_candidates").select("summit_candidate_id", "candidate_index_in_gpx", F.col("source_gpx_path").alias("gpx_path")), "summit_candidate_id")
-    own = linkage.indexed(rows, "gpx_path", ["candidate_index_in_gpx", "summit_candidate_id"], "summit_candidate_id")
-    return own.select("gpx_path", "n", F.concat_ws(";", F.transform("rows", lambda r: r["summit_candidate_id"])).alias("candidates"))
+    return linkage.indexed(rows, "gpx_path", "candidate_index_in_gpx", "summit_candidate_id")
 
 
 def link_missing(spark: SparkSession, folder: str) -> DataFrame:
@@ -185,7 +184,8 @@ ORACLES = {
     "rows_flagged": """SELECT DISTINCT gpx_path, array_to_string(m, '|') AS flags FROM (SELECT gpx_path, list_filter([CASE WHEN candidate_count_default = 0 THEN 'no candidates' END, CASE WHEN candidate_count_default >= 5 THEN 'many candidates' END, CASE WHEN trackpoint_count < 100 THEN 'few points' END,
         CASE WHEN elevation_range < 50 THEN 'flat' END, CASE WHEN has_missing_elevation THEN 'missing elevation' END], lambda x: x IS NOT NULL) AS m FROM summit_candidate_detection_baseline_summary) WHERE len(m) > 0""",
     "rows_categories": f"SELECT assignment_id, review_category FROM ({_A}) WHERE coalesce(review_category, 'none') IN ('none', 'full_review')",
-    "link_index": """SELECT gpx_path, CAST(count(*) AS INT) AS n, string_agg(id, ';' ORDER BY k, id) AS candidates FROM (SELECT DISTINCT summit_candidate_id AS id, candidate_index_in_gpx AS k, source_gpx_path AS gpx_path FROM summit_candidates) WHERE gpx_path IS NOT NULL GROUP BY 1""",
+    "link_index": """SELECT *, CAST(row_number() OVER (PARTITION BY gpx_path ORDER BY candidate_index_in_gpx, summit_candidate_id) AS INT) AS place, count(*) OVER (PARTITION BY gpx_path) AS n
+        FROM (SELECT DISTINCT summit_candidate_id, candidate_index_in_gpx, source_gpx_path AS gpx_path FROM summit_candidates) WHERE gpx_path IS NOT NULL""",
     "link_missing": f"SELECT assignment_id, proposed_summit_candidate_id AS summit_candidate_id, c.ele_m, c.summit_candidate_id IS NOT NULL AS known FROM ({_A}) a LEFT JOIN ({_C}) c ON c.summit_candidate_id = a.proposed_summit_candidate_id",
     "summary_passes": f"""WITH a AS ({_A}), p AS (SELECT 'within 300 m' AS rule, count(*) FILTER (WHERE distance_csv_to_proposed_m <= 300) AS passed FROM a UNION ALL SELECT 'within 50 m of height', count(*) FILTER (WHERE abs(elevation_diff_csv_to_proposed_m) <= 50) FROM a
         UNION ALL SELECT 'both', count(*) FILTER (WHERE distance_csv_to_proposed_m <= 300 AND abs(elevation_diff_csv_to_proposed_m) <= 50) FROM a UNION ALL SELECT 'no review', count(*) FILTER (WHERE NOT needs_human_review) FROM a) SELECT *, round(passed * 100.0 / (SELECT count(*) FROM a), 2) AS pct FROM p""",

@@ -80,10 +80,8 @@ def place_adjacent(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def place_relations(spark: SparkSession, folder: str) -> DataFrame:
-    """All pairs of regions: with a shared side, with a point in common, or apart."""
-    names = regions(spark).select("region")
-    pairs = names.withColumnRenamed("region", "region_a").join(F.broadcast(names.withColumnRenamed("region", "region_b")), F.col("region_a") < F.col("region_b"))  # at most 64 names
-    return pairs.join(areas.related(regions(spark)), ["region_a", "region_b"], "left").withColumn("relation", F.coalesce("relation", F.lit("apart")))
+    """Pairs of regions with a shared side or only a point in common; all other pairs are apart."""
+    return areas.related(regions(spark))
 
 
 def place_stability(spark: SparkSession, folder: str) -> DataFrame:
@@ -179,9 +177,8 @@ ORACLES = {
         JOIN (SELECT DISTINCT gpx_path, lat, lon FROM trkpt) p ON p.gpx_path = c.source_gpx_path WHERE c.lat IS NOT NULL AND c.lon IS NOT NULL AND p.lat IS NOT NULL AND p.lon IS NOT NULL GROUP BY 1 HAVING min({_D('c', 'p')}) <= 300""",
     "place_in_polygons": f"WITH {_RINGS} {_IN(f'({_F})', 'summit_candidate_id')}",
     "place_adjacent": f"WITH {_RINGS}, {_SIDES} {_ADJ}",
-    "place_relations": f"""WITH {_RINGS}, {_SIDES}, adj AS ({_ADJ}), r AS (SELECT DISTINCT region FROM e), c AS (SELECT DISTINCT region, x1, y1 FROM e), touch AS (SELECT DISTINCT a.region AS region_a, b.region AS region_b FROM c a JOIN c b ON a.x1 = b.x1 AND a.y1 = b.y1 AND a.region < b.region)
-        SELECT a.region AS region_a, b.region AS region_b, CASE WHEN adj.shared_edges > 0 THEN 'shared_side' WHEN touch.region_a IS NOT NULL THEN 'point_contact' ELSE 'apart' END AS relation
-        FROM r a JOIN r b ON a.region < b.region LEFT JOIN adj ON adj.region_a = a.region AND adj.region_b = b.region LEFT JOIN touch ON touch.region_a = a.region AND touch.region_b = b.region""",
+    "place_relations": f"""WITH {_RINGS}, {_SIDES}, adj AS ({_ADJ}), c AS (SELECT DISTINCT region, x1, y1 FROM e), touch AS (SELECT DISTINCT a.region AS region_a, b.region AS region_b FROM c a JOIN c b ON a.x1 = b.x1 AND a.y1 = b.y1 AND a.region < b.region)
+        SELECT region_a, region_b, CASE WHEN adj.shared_edges > 0 THEN 'shared_side' ELSE 'point_contact' END AS relation FROM touch LEFT JOIN adj USING (region_a, region_b)""",
     "place_stability": f"""WITH {_RINGS}, o AS (SELECT summit_candidate_id, m.way, lat + m.dy / 111320.0 AS lat, lon + m.dx / (cos(radians(lat)) * 111320.0) AS lon FROM ({_F}), (VALUES ('centre', 0, 0), ('north', 1000, 0), ('south', -1000, 0), ('east', 0, 1000), ('west', 0, -1000)) m(way, dy, dx)),
         f AS ({_IN('o', 'summit_candidate_id, way')}) SELECT c.summit_candidate_id, min(f.region) FILTER (WHERE f.way = 'centre') AS region, coalesce(count(f.region) = 5 AND count(DISTINCT f.region) = 1 AND count(*) FILTER (WHERE f.way = 'centre') = 1, false) AS all_same
         FROM ({_F}) c LEFT JOIN f USING (summit_candidate_id) GROUP BY 1""",

@@ -1,5 +1,6 @@
 """Operators of the general problems on small cases and against brute force."""
 
+import os
 import time
 
 import numpy as np
@@ -16,8 +17,10 @@ from tarn.operators.spikes import SpikeParameters, implausible, judge
 from tarn.operators.stays import StayParameters, segments, stays_of
 from tarn.operators.timestamps import normalise_fields, normalise_values, shape_mask
 from tarn.operators import tracks
+from tarn.plans import problems
 
 TOKYO = "Asia/Tokyo"
+TABLES = "/root/testdata/sf0.01"
 
 
 def rows(df):
@@ -328,3 +331,11 @@ def test_a_hot_track_has_the_same_segments(spark, monkeypatch):
         monkeypatch.setattr(tracks, "HOT_FIXES", 100)
         assert even(rows(segments(df, p))) == even(whole)
         assert sum(r[1] == "stay" for r in whole) == 9
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="no tables")
+@pytest.mark.parametrize("name", ["p2_segments", "p5_found"])
+def test_whole_tables_do_not_depend_on_what_counts_as_hot(spark, monkeypatch, name):
+    whole = rows(problems.QUERIES[name](spark, TABLES))
+    monkeypatch.setattr(tracks, "HOT_FIXES", 100)
+    assert even(rows(problems.QUERIES[name](spark, TABLES))) == even(whole) and len(whole) > 300

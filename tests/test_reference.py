@@ -250,7 +250,7 @@ def test_last_wins(spark):
 
 def test_indexes_and_lookups(spark):
     df = spark.createDataFrame([(1, "b", 2), (1, "a", 1), (2, None, 1), (None, "x", 1)], "k int, v string, o int")
-    assert rows(linkage.indexed(df, "k", ["o"], "v").select("k", "n", F.transform("rows", lambda r: r["v"]))) == [(1, 2, ["a", "b"]), (2, 1, [None])]
+    assert rows(linkage.indexed(df, "k", "o").select("k", "place", "v", "n")) == [(1, 1, "a", 2), (1, 2, "b", 2), (2, 1, None, 1)]
     found, missing = linkage.looked_up(df, spark.createDataFrame([(1, "one")], "k int, name string"), "k")
     assert rows(found.select("v", "name")) == [("a", "one"), ("b", "one")] and rows(missing.select("k")) == sorted([(2,), (None,)], key=str)
     assert rows(summary.pass_counts(df, {"a": F.col("o") == 1, "b": F.col("v") == "a"})) == [("a", 3, 75.0), ("b", 1, 25.0)]
