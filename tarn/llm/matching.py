@@ -11,15 +11,18 @@ day before or after. How much a matched neighbour tells is counted in the data.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tarn.llm.canonical import NameList, chosen, over_candidates
 from tarn.llm.spelling import fold
 from tarn.operators.packed import tokenize
-from tarn.session import cut_lineage
+from tarn.operators.tracks import groups, numbers
+from tarn.session import cut_lineage, tasks
 
 
 @dataclass(frozen=True)
@@ -39,6 +42,8 @@ class MatchParameters:
     change: float = 1e-3  # of a message or of a neighbour's support, below which all is stable
     at_once: int = 3  # rounds of messages between two looks at their change
     most_rounds: int = 3000  # beyond which the messages count as not ending, an error
+    shared_rounds: int = 12  # after which connected edges that still move are put into one task, if they are local_edges at most
+    local_edges: int = 500_000
 
 
 def tokens_of(texts: DataFrame, blocks: Iterable[list[tuple]]) -> DataFrame:
@@ -146,16 +151,20 @@ def candidates(left: DataFrame, right: DataFrame, p: MatchParameters) -> DataFra
 
 
 def weighted(left: DataFrame, right: DataFrame, p: MatchParameters) -> DataFrame:
-    """Edges (id_a, id_b, w, place, day_a, day_b): logarithm of the odds that a candidate pair is one entity, the least token both share."""
-    total = right.count()
+    """Edges (id_a, id_b, w, place, day_a, day_b, n_a, n_b): logarithm of the odds that a candidate pair is one entity, the least token both share.
+
+    Both sides are those of alike: n says for how many records each row stands.
+    """
+    total = right.agg(F.sum("n")).first()[0]
     if not total:
-        return left.select(F.col("id").alias("id_a"), F.col("id").alias("id_b"), F.lit(0.0).alias("w"), F.lit("").alias("place"), F.col("day").alias("day_a"), F.col("day").alias("day_b")).where("false")
-    rarity = right.select("id", F.explode("tokens").alias("token"))
-    counts = rarity.groupBy("token").agg(F.count("*").alias("n"))
+        return left.select(F.col("id").alias("id_a"), F.col("id").alias("id_b"), F.lit(0.0).alias("w"), F.lit("").alias("place"), F.col("day").alias("day_a"), F.col("day").alias("day_b"), F.col("n").alias("n_a"), F.col("n").alias("n_b")).where("false")
+    rarity = right.select("id", F.explode("tokens").alias("token"), "n")
+    counts = rarity.groupBy("token").agg(F.sum("n").alias("n"))
+    rarity = rarity.drop("n")
     rare = rarity.join(counts, "token").groupBy("id").agg(F.collect_list(F.struct("token", F.log(F.lit(float(total)) / F.col("n")).alias("rare"))).alias("rare"))
-    days = right.where("day is not null").groupBy("day").agg(F.log(F.lit(float(total)) / F.count("*")).alias("day_rare"))
-    b = right.join(rare, "id", "left").join(days, "day", "left").select(F.col("id").alias("id_b"), "rare", "day_rare", *(F.col(c).alias(f"{c}_b") for c in ("day", "km", "minutes", "named")))
-    a = left.select(F.col("id").alias("id_a"), "tokens", *(F.col(c).alias(f"{c}_a") for c in ("day", "km", "minutes", "named")))
+    days = right.where("day is not null").groupBy("day").agg(F.log(F.lit(float(total)) / F.sum("n")).alias("day_rare"))
+    b = right.join(rare, "id", "left").join(days, "day", "left").select(F.col("id").alias("id_b"), "rare", "day_rare", *(F.col(c).alias(f"{c}_b") for c in ("day", "km", "minutes", "named", "n")))
+    a = left.select(F.col("id").alias("id_a"), "tokens", *(F.col(c).alias(f"{c}_a") for c in ("day", "km", "minutes", "named", "n")))
     pairs = candidates(left, right, p).join(a, "id_a").join(b, "id_b")
     shared = F.aggregate(F.filter(F.coalesce("rare", F.array().cast("array<struct<token: string, rare: double>>")), lambda r: F.array_contains("tokens", r["token"])), F.lit(0.0), lambda s, r: s + r["rare"])
     both = F.col("named_a") & F.col("named_b")
@@ -172,31 +181,117 @@ def weighted(left: DataFrame, right: DataFrame, p: MatchParameters) -> DataFrame
 
     w = name + day + close("km", p.slack_km) + close("minutes", p.slack_minutes) + math.log(p.prior / total)
     place = F.array_min(F.array_intersect("tokens", F.transform("rare", lambda r: r["token"])))
-    return pairs.select("id_a", "id_b", w.alias("w"), place.alias("place"), "day_a", "day_b")
+    return pairs.select("id_a", "id_b", w.alias("w"), place.alias("place"), "day_a", "day_b", "n_a", "n_b")
 
 
 def pruned(edges: DataFrame) -> DataFrame:
-    """Meta-blocking by weighted nodes: an edge stays if it is no weaker than the mean of one of its ends (and has any chance)."""
+    """Meta-blocking by weighted nodes: an edge stays if it is no weaker than the mean of one of its ends (and has any chance).
+
+    An edge counts for all records that its other end stands for; rounding never lifts a mean over the strongest edge.
+    """
     a, b = Window.partitionBy("id_a"), Window.partitionBy("id_b")
     kept = edges.where("w > -7")
-    return kept.withColumns({"ma": F.avg("w").over(a), "mb": F.avg("w").over(b)}).where("w >= ma or w >= mb").drop("ma", "mb")
+    mean = lambda n, over: F.least(F.sum(F.col("w") * F.col(n)).over(over) / F.sum(n).over(over), F.max("w").over(over))
+    return kept.withColumns({"ma": mean("n_b", a), "mb": mean("n_a", b)}).where("w >= ma or w >= mb").drop("ma", "mb")
 
 
 def _messages(rest: DataFrame, p: MatchParameters) -> DataFrame:
-    """Edges (with o, xa, xb) after messages of one-to-one matching between edges that share a record, sent until they are stable."""
+    """Edges (with o, xa, xb, n_a, n_b) after messages of one-to-one matching between edges that share a record, sent until they are stable.
+
+    Records with many equal choices need some thousand rounds. So what still moves after the first is cut into connected parts,
+    and each part gets its rounds in one task; only parts too large for one go on as they began.
+    """
+    rest, moved = _rounds(rest, p, p.shared_rounds)
+    if moved < p.change:
+        return rest
+    parts = _connected(rest)
+    sizes = parts.groupBy("part").agg((F.count("*") <= p.local_edges).alias("_local"))
+    parts = cut_lineage(parts.join(sizes, "part"))
+    names = rest.columns
+    spark = rest.sparkSession
+    within = parts.where("_local").select("part", *names).repartition(max(tasks(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))), "part")
+    schema = ", ".join(f"{c} {kind}" for c, kind in rest.dtypes)
+    done = cut_lineage(within.sortWithinPartitions("part").mapInArrow(_local_rounds(p, names), schema))
+    large = parts.where("not _local").select(*names)
+    if large.isEmpty():
+        return done
+    large, moved = _rounds(large, p, p.most_rounds)
+    if moved >= p.change:
+        raise RuntimeError(f"the messages still move by {moved} after {p.most_rounds} rounds")
+    return done.unionByName(large)
+
+
+def _rounds(rest: DataFrame, p: MatchParameters, most: int) -> tuple[DataFrame, float]:
+    """Edges after most rounds, or when they are stable, and by how much the last one moved them."""
     a, b = Window.partitionBy("id_a"), Window.partitionBy("id_b")
-    for _ in range(0, p.most_rounds, p.at_once):
+    moved = 0.0
+    for _ in range(0, most, p.at_once):
         for _ in range(p.at_once):
             rest = rest.withColumnsRenamed({"xa": "_a", "xb": "_b"})
-            rest = rest.withColumn("xa", F.col("o") / (1 + F.greatest(F.sum("_b").over(a) - F.col("_b"), F.lit(0.0))))
-            rest = rest.withColumn("xb", F.col("o") / (1 + F.greatest(F.sum("xa").over(b) - F.col("xa"), F.lit(0.0))))
+            rest = rest.withColumn("xa", F.col("o") / (1 + F.greatest(F.sum(F.col("_b") * F.col("n_b")).over(a) - F.col("_b"), F.lit(0.0))))
+            rest = rest.withColumn("xb", F.col("o") / (1 + F.greatest(F.sum(F.col("xa") * F.col("n_a")).over(b) - F.col("xa"), F.lit(0.0))))
             rest = rest.withColumn("moved", F.greatest(F.abs(F.log(F.col("xa") / F.col("_a"))), F.abs(F.log(F.col("xb") / F.col("_b"))))).drop("_a", "_b")
         rest = cut_lineage(rest)
-        moved = rest.agg(F.max("moved")).first()[0]
+        moved = rest.agg(F.max("moved")).first()[0] or 0.0
         rest = rest.drop("moved")
-        if moved is None or moved < p.change:
-            return rest
-    raise RuntimeError(f"the messages still move by {moved} after {p.most_rounds} rounds")
+        if moved < p.change:
+            break
+    return rest, moved
+
+
+def _connected(edges: DataFrame) -> DataFrame:
+    """edges with part, the least id_a among all edges connected with each. Parts take each other's least and its own in turn, so the rounds grow as the logarithm of a part's width."""
+    a, b = Window.partitionBy("id_a"), Window.partitionBy("id_b")
+    edges = edges.withColumn("part", F.col("id_a"))
+    while True:
+        new = edges.withColumn("_p", F.min("part").over(b)).withColumn("_p", F.min("_p").over(a))
+        of = new.groupBy(F.col("id_a").alias("_p")).agg(F.min("_p").alias("_q"))
+        new = cut_lineage(new.join(of, "_p").withColumn("_p", F.least("_p", "_q")).drop("_q"))
+        ended = new.where("_p < part").isEmpty()
+        edges = new.drop("part").withColumnRenamed("_p", "part")
+        if ended:
+            return edges
+
+
+def _local_rounds(p: MatchParameters, names: list[str]):
+    """Rounds for whole parts, some at a time; a part is left as soon as it is stable, so its result doesn't depend on the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for table in groups(batches, ("part",)):
+            held.append(table)
+            size += len(table)
+            if size >= p.local_edges:
+                yield from _stable(pa.concat_tables(held), p, names)
+                held, size = [], 0
+        if held:
+            yield from _stable(pa.concat_tables(held), p, names)
+
+    return run
+
+
+def _stable(edges: pa.Table, p: MatchParameters, names: list[str]) -> Iterator[pa.RecordBatch]:
+    place = lambda c: np.unique(edges[c].to_numpy(), return_inverse=True)[1]
+    ia, ib, part = place("id_a"), place("id_b"), place("part")
+    o, xa, xb, na, nb = numbers(edges, "o", "xa", "xb", "n_a", "n_b")
+    out_a, out_b, row = xa.copy(), xb.copy(), np.arange(len(o))
+    for _ in range(0, p.most_rounds, p.at_once):
+        for _ in range(p.at_once):
+            was_a, was_b = xa, xb
+            xa = o / (1 + np.maximum(np.bincount(ia, xb * nb)[ia] - xb, 0.0))
+            xb = o / (1 + np.maximum(np.bincount(ib, xa * na)[ib] - xa, 0.0))
+        out_a[row], out_b[row] = xa, xb
+        moved = np.maximum(np.abs(np.log(xa / was_a)), np.abs(np.log(xb / was_b)))
+        moves = np.bincount(part, moved >= p.change)[part] > 0
+        if not moves.all():
+            ia, ib, part, o, xa, xb, na, nb, row = (v[moves] for v in (ia, ib, part, o, xa, xb, na, nb, row))
+            if not len(row):
+                break
+            ia, ib, part = (np.unique(v, return_inverse=True)[1] for v in (ia, ib, part))
+    else:
+        raise RuntimeError(f"the messages still move by {moved.max()} after {p.most_rounds} rounds")
+    found = {"xa": pa.array(out_a), "xb": pa.array(out_b)}
+    yield from pa.table([found.get(c, edges[c]) for c in names], names=names).to_batches()
 
 
 def _supported(edges: DataFrame) -> DataFrame:
@@ -208,10 +303,15 @@ def _supported(edges: DataFrame) -> DataFrame:
 
 
 def propagated(edges: DataFrame, p: MatchParameters) -> DataFrame:
-    """(id_a, id_b, confidence) when messages and the support by neighbours are stable. Support only grows, so it ends."""
+    """(id_a, id_b, confidence) when messages and the support by neighbours are stable. Support only grows, so it ends.
+
+    n_a and n_b are the records that the ends stand for (1 if edges have no such columns): all of them get equal messages, so
+    one edge holds these for all pairs, and sums take it so many times.
+    """
+    edges = edges if "n_a" in edges.columns else edges.withColumns({"n_a": F.lit(1), "n_b": F.lit(1)})
     a, b = Window.partitionBy("id_a"), Window.partitionBy("id_b")
     odds = lambda w: F.exp(F.least(w, F.lit(40.0)))
-    graph = edges.withColumns({"o": odds(F.col("w")), "alone": F.count("*").over(a) + F.count("*").over(b) == 2})
+    graph = edges.withColumns({"o": odds(F.col("w")), "alone": F.sum("n_b").over(a) + F.sum("n_a").over(b) == 2})
     graph = cut_lineage(graph.withColumns({"xa": F.col("o"), "xb": F.col("o"), "support": F.lit(0.0)}))
     worth = None
     while True:
@@ -221,7 +321,7 @@ def propagated(edges: DataFrame, p: MatchParameters) -> DataFrame:
         graph = cut_lineage(_supported(graph.withColumn("confidence", ratio / (1 + ratio))))
         if worth is None:  # how much more often the neighbours of a match match than those of another edge
             sure, not_ = F.col("confidence") > 0.9, F.col("confidence") < 0.1
-            n = graph.agg(*(F.count_if(c).alias(k) for k, c in {"a": sure & (F.col("new") > 0.5), "b": sure, "c": not_ & (F.col("new") > 0.5), "d": not_}.items())).first()
+            n = graph.agg(*(F.coalesce(F.sum(F.when(c, F.col("n_a") * F.col("n_b"))), F.lit(0)).alias(k) for k, c in {"a": sure & (F.col("new") > 0.5), "b": sure, "c": not_ & (F.col("new") > 0.5), "d": not_}.items())).first()
             worth = min(2.0, max(0.0, math.log((n.a + 1) / (n.b + 2) * (n.d + 2) / (n.c + 1))))
         grown = graph.agg(F.max(F.col("new") - F.col("support"))).first()[0]
         if not worth or grown is None or grown * worth < p.change:
@@ -231,6 +331,15 @@ def propagated(edges: DataFrame, p: MatchParameters) -> DataFrame:
         graph = graph.withColumns({"xa": F.when(F.col("alone"), o).otherwise(F.col("xa")), "xb": F.when(F.col("alone"), o).otherwise(F.col("xb")), "o": o, "support": support}).drop("confidence", "new")
 
 
+def alike(records: DataFrame) -> DataFrame:
+    """One row for all records of a side that are equal in all but id: the least id, and n, how many they are.
+
+    They have the same edges, and of equal confidences the least id is taken, so no other can be in a pair.
+    """
+    same = ["tokens", "named", "day", "km", "minutes"]
+    return records.groupBy(*same).agg(F.min("id").alias("id"), F.count("*").alias("n")).select("id", *same, "n")
+
+
 def linked(left: DataFrame, right: DataFrame, p: MatchParameters = MatchParameters()) -> DataFrame:
     """(id_a, id_b, confidence) of pairs of left and right that are one entity, each record in one pair at most.
 
@@ -238,7 +347,7 @@ def linked(left: DataFrame, right: DataFrame, p: MatchParameters = MatchParamete
     null (tokens empty). A record without a day has partners only through a listed name and a distance or duration. Of equal confidences
     the pair of smaller ids is taken; an empty side gives an empty result.
     """
-    left, right = cut_lineage(left), cut_lineage(right)
+    left, right = cut_lineage(alike(left)), cut_lineage(alike(right))
     found = propagated(pruned(weighted(left, right, p)), p).where(F.col("confidence") > p.accept)
     a, b = Window.partitionBy("id_a").orderBy(F.desc("confidence"), "id_b"), Window.partitionBy("id_b").orderBy(F.desc("confidence"), "id_a")
     return found.withColumn("_ra", F.row_number().over(a)).where("_ra = 1").withColumn("_rb", F.row_number().over(b)).where("_rb = 1").drop("_ra", "_rb")

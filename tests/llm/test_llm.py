@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import tempfile
 
 import numpy as np
 import pytest
@@ -281,3 +282,24 @@ def test_filler_rows(spark):
     df = spark.createDataFrame([(1, spam), (1, spam), (2, PROSE), (3, None), (4, ""), (None, spam)], "doc long, text string")
     assert [r.doc for r in filler(df, "doc", "text").collect()] == [1, 1]
     assert filler(df.limit(0), "doc", "text").collect() == []
+
+
+def test_equal_records_need_few_rounds(spark, monkeypatch):
+    looks = []
+    monkeypatch.setattr(matching, "cut_lineage", lambda df: looks.append(1) or (df.checkpoint() if len(looks) < 40 else pytest.fail("too many rounds over all edges")))
+    spark.sparkContext.setCheckpointDir(spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tarn-checkpoint-"))
+    left, right, _ = outings(60, 3)
+    left += [(5000 + i, ["e7"], True, 77, 5.0, 100.0) for i in range(30)] + [(6000, ["e8"], True, 90, 6.0, 120.0), (6010, ["e8"], True, 90, 6.0, 120.0)]
+    right += [(7001 + i, ["e7"], True, 77, 5.0, 100.0) for i in range(30)] + [(6001, ["e8"], True, 90, 6.0, 120.0)]
+    got = {(r.id_a, r.id_b) for r in linked(side(spark, left), side(spark, right)).collect()}
+    assert not any(a in range(5000, 5030) for a, _ in got) and len(got) > 30 and (6010, 6001) not in got
+
+
+def test_messages_in_one_task_or_many(spark):
+    rng = random.Random(4)
+    edges = [(a, 1000 + b, rng.uniform(-2, 6), None, 1, 1, 1 + a % 3, 1 + b % 4) for part in range(12) for a in range(part * 9, part * 9 + 9) for b in range(part * 9, part * 9 + 9) if rng.random() < 0.4]
+    df = spark.createDataFrame(edges, "id_a long, id_b long, w double, place string, day_a int, day_b int, n_a int, n_b int")
+    alone = spark.createDataFrame([(a * 10 + i, b * 10 + j, *rest) for a, b, *rest, n, m in edges for i in range(n) for j in range(m)], "id_a long, id_b long, w double, place string, day_a int, day_b int")
+    many, one, each = ({(r.id_a, r.id_b): r.confidence for r in matching.propagated(d, p).collect()} for d, p in ((df, MatchParameters(local_edges=0)), (df, MatchParameters(shared_rounds=3)), (alone, MatchParameters())))
+    assert many.keys() == one.keys() and all(abs(many[k] - one[k]) < 2e-3 for k in many)
+    assert all(abs(c - many[a // 10, b // 10]) < 2e-3 for (a, b), c in each.items())
