@@ -2,6 +2,7 @@
 
 import os
 import time
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -16,7 +17,7 @@ from tarn.operators.packed import explode_packed, tokenize
 from tarn.operators.spikes import SpikeParameters, implausible, judge
 from tarn.operators.stays import StayParameters, segments, stays_of
 from tarn.operators.timestamps import normalise_fields, normalise_values, shape_mask
-from tarn.operators import tracks
+from tarn.operators import stays, tracks
 from tarn.plans import problems
 
 TOKYO = "Asia/Tokyo"
@@ -339,3 +340,16 @@ def test_whole_tables_do_not_depend_on_what_counts_as_hot(spark, monkeypatch, na
     whole = rows(problems.QUERIES[name](spark, TABLES))
     monkeypatch.setattr(tracks, "HOT_FIXES", 100)
     assert even(rows(problems.QUERIES[name](spark, TABLES))) == even(whole) and len(whole) > 300
+
+
+def test_a_stay_is_measured_without_the_rest_of_the_track():
+    n = 400_000
+    t, place = np.arange(n) * 10.0, (np.arange(n) // 60) % 2
+    x, y = place * 80.0, np.zeros(n)
+    tracemalloc.start()
+    found = [stays.measure(t, x, y, a + 5, a + 40, 0, n - 1, 30.0) for a in (0, 60 * 1000, 60 * 6000)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(a, a + 59) for a in (0, 60 * 1000, 60 * 6000)] and peak < 500_000
+    whole = np.zeros(n)
+    assert stays.measure(t, whole, whole, 200_000, 200_010, 0, n - 1, 30.0) == (0, n - 1)
