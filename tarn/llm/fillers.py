@@ -4,7 +4,7 @@ A text is cut into units (lines, long lines at sentence ends and separators). Ea
 like; a hidden Markov model labels the units as prose, link list, tag list or menu (repeated keywords, names with selling
 words), and a page is filler if units other than prose hold over half of its characters.
 
-Both the words that sell and the chances of the model are learned from a bounded sample of the corpus, without labels: a first
+Both the words that sell and the chances of the model are learned from all texts of the corpus, without labels: a first
 model over repetition and layout alone tells units that are no prose, words far more usual there than in prose are the selling
 words, and a second model is fitted with these. Repetition counts against a page only where it repeats such words: refrains,
 glossaries and lists of species are prose.
@@ -15,17 +15,17 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tarn.session import spread
+from tarn.session import cut_lineage, spread
 
-#: Rows of the corpus that the model is fitted on: those of the least hashes of text and key. All rows are judged.
-FIT_ROWS = 1500
+#: Distinct words or sequences that a task counts before it hands them on, and sequences that run side by side.
+HELD, SIDE_BY_SIDE = 200_000, 2000
 STATES = ("prose", "links", "tags", "menu")
 SYMBOLS = "SQHOLUTRKM"
 #: What the chances are fitted from, worth PRIOR units: of each symbol in each state. S sentence, Q link named as a source, H
@@ -199,10 +199,10 @@ def label(signs: str, model: Model = Model()) -> list[str]:
     return [STATES[s] for s in out[::-1]]
 
 
-def posteriors(sequences: list[str], model: Model, at_once: int = 200) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+def posteriors(sequences: list[str], model: Model, at_once: int = 200, times: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
     """Expected counts of starts, changes and symbols by state, and the chances of states of each sequence (forward and backward).
 
-    Sequences of like length run side by side; longer ones than at_once go in parts.
+    Sequences of like length run side by side; longer ones than at_once go in parts. times: how often each sequence counts.
     """
     cut = [(n, s[i : i + at_once]) for n, s in enumerate(sequences) for i in range(0, len(s), at_once)]
     alike: dict[int, list[int]] = {}
@@ -212,7 +212,7 @@ def posteriors(sequences: list[str], model: Model, at_once: int = 200) -> tuple[
     states: list[np.ndarray] = [np.zeros((0, 4))] * len(cut)
     for group in alike.values():
         parts = [cut[i][1] for i in group]
-        first, moved, seen, chance = _side_by_side(parts, model)
+        first, moved, seen, chance = _side_by_side(parts, model, np.array([times[cut[i][0]] for i in group], float) if times else np.ones(len(group)))
         start, moves, counts = start + first, moves + moved, counts + seen
         for k, i in enumerate(group):
             states[i] = chance[: len(parts[k]), k]
@@ -226,7 +226,7 @@ PLACE = np.zeros(128, np.int64)
 PLACE[[ord(c) for c in SYMBOLS]] = np.arange(len(SYMBOLS))
 
 
-def _side_by_side(parts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _side_by_side(parts: list[str], model: Model, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     size = np.array([len(p) for p in parts])
     signs = PLACE[np.frombuffer("".join(p.ljust(size.max(), SYMBOLS[0]) for p in parts).encode(), np.uint8)].reshape(len(parts), -1)
     start, change, seen = np.exp(model.start), np.exp(model.change), np.exp(model.emission)[:, signs].transpose(2, 1, 0)
@@ -247,20 +247,26 @@ def _side_by_side(parts: list[str], model: Model) -> tuple[np.ndarray, np.ndarra
     chance *= live[:, :, None]
     moves = np.zeros((4, 4))
     for t in range(1, len(seen)):
-        both = (forward[t - 1] * (live[t] / scale[t])[:, None]).T @ (seen[t] * backward[t] * live[t][:, None])
+        both = (forward[t - 1] * (live[t] * times / scale[t])[:, None]).T @ (seen[t] * backward[t] * live[t][:, None])
         moves += both * change
-    counts = np.stack([chance[signs.T == k].sum(0) if (signs.T == k).any() else np.zeros(4) for k in range(len(SYMBOLS))], 1)
-    return chance[0].sum(0), moves, counts, chance
+    counted = chance * times[:, None]
+    counts = np.stack([counted[signs.T == k].sum(0) if (signs.T == k).any() else np.zeros(4) for k in range(len(SYMBOLS))], 1)
+    return counted[0].sum(0), moves, counts, chance
 
 
 def fitted(sequences: list[str], sold: frozenset[str] | None, gain: float = 1e-3) -> Model:
+    """Model of sequences, see maximised."""
+    sequences = [s for s in sequences if s]
+    return maximised(lambda model: posteriors(sequences, model)[:3], sold, gain) if sequences else Model(sold)
+
+
+def maximised(expected: Callable[[Model], tuple[np.ndarray, np.ndarray, np.ndarray]], sold: frozenset[str] | None, gain: float = 1e-3) -> Model:
     """Model by expectation and maximisation until no chance moves by more than gain, from the prior chances, which stay in as counts."""
     prior = Model(sold)
     model = prior
-    sequences = [s for s in sequences if s]
-    moved = 1.0 if sequences else 0.0
+    moved = 1.0
     while moved >= gain:
-        start, moves, counts, _ = posteriors(sequences, model)
+        start, moves, counts = expected(model)
         share = lambda c: np.log(c / c.sum(-1, keepdims=True))
         new = Model(sold, share(start + PRIOR * np.exp(prior.start)), share(moves + PRIOR * np.exp(prior.change)), share(counts + PRIOR * np.exp(prior.emission)))
         moved = max(np.abs(np.exp(a) - np.exp(b)).max() for a, b in ((new.start, model.start), (new.change, model.change), (new.emission, model.emission)))
@@ -268,28 +274,47 @@ def fitted(sequences: list[str], sold: frozenset[str] | None, gain: float = 1e-3
     return model
 
 
+class Count:
+    """Units that hold each word, in other states than prose and in prose, and pages that hold it in others; all units of both kinds."""
+
+    def __init__(self) -> None:
+        self.other, self.prose, self.pages = Counter(), Counter(), Counter()
+        self.all_other = self.all_prose = 0
+
+    def add(self, signs: list[str], words: list[list[list[str]]], model: Model) -> None:
+        known = {}
+        distinct = list(dict.fromkeys(s for s in signs if s))
+        for i in range(0, len(distinct), SIDE_BY_SIDE):
+            some = distinct[i : i + SIDE_BY_SIDE]
+            known |= {s: (c[:, 0] < 0.5).tolist() for s, c in zip(some, posteriors(some, model)[3])}
+        for sign, page in zip(signs, words):
+            here = set()
+            for is_other, unit in zip(known.get(sign, ()), page):
+                kinds = set(unit)
+                if is_other:
+                    self.other.update(kinds)
+                    here |= kinds
+                    self.all_other += 1
+                else:
+                    self.prose.update(kinds)
+                    self.all_prose += 1
+            self.pages.update(here)
+
+
+def sells(other: float, prose: float, pages: float, all_other: float, all_prose: float) -> bool:
+    """Whether a word of these counts (see Count) is a selling word; both totals count one unit more. Also for columns."""
+    return (pages >= SOLD_PAGES) & (other / (all_other + 1) >= SOLD_TIMES * (prose + 1) / (all_prose + 1))
+
+
 def learned(texts: list[str]) -> Model:
-    """Selling words and model of a sample of texts. Without texts, or without other units than prose, the prior model with no words."""
+    """Selling words and model of texts that fit into memory; filler has the same for a table. Without texts, or without other units than prose, the prior model with no words."""
     pages = [units(plain(t)) for t in texts]
     words = [[words_of(p) for p in page] for page in pages]
     signs = [symbols(page, None, w) for page, w in zip(pages, words)]
     first = fitted(signs, None)
-    other, prose, pages_of = Counter(), Counter(), Counter()
-    all_other = all_prose = 1.0
-    chances = posteriors([s for s in signs if s], first)[3] if any(signs) else []
-    for chance, ws in zip(chances, (w for s, w in zip(signs, words) if s)):
-        here = set()
-        for c, unit in zip(chance[:, 0].tolist(), ws):
-            kinds = set(unit)
-            if c < 0.5:
-                other.update(kinds)
-                here |= kinds
-                all_other += 1
-            else:
-                prose.update(kinds)
-                all_prose += 1
-        pages_of.update(here)
-    sold = frozenset(w for w, n in other.items() if pages_of[w] >= SOLD_PAGES and (n / all_other) >= SOLD_TIMES * (prose[w] + 1) / all_prose)
+    count = Count()
+    count.add(signs, words, first)
+    sold = frozenset(w for w, n in count.other.items() if sells(n, count.prose[w], count.pages[w], count.all_other, count.all_prose))
     return fitted([weighed(page, symbols(page, sold, w))[0] for page, w in zip(pages, words)], sold)
 
 
@@ -303,37 +328,120 @@ def other_share(text: str, model: Model) -> float:
     signs = symbols(parts, model.sold)
     if EVIDENCE.isdisjoint(signs):
         return 0.0
-    signs, sizes = weighed(parts, signs)
+    return share_of(*weighed(parts, signs), model)
+
+
+def share_of(signs: str, sizes: list[float], model: Model) -> float:
+    """Share of the sizes of weighed units that are not labelled prose."""
     total = sum(sizes)
     return sum(n for n, s in zip(sizes, label(signs, model)) if s != "prose") / total if total else 0.0
 
 
-def _sample(rows: DataFrame, total: int, size: int) -> list[str]:
-    """Texts of the size rows of the least hashes. Rows above a hash that some times as many lie below are left out first, so the driver gets that many at most."""
-    place = F.xxhash64("text", F.col("key").cast("string"))
-    share = 4 * size / max(total, 1)
-    while True:
-        below = rows if share >= 1 else rows.where(place < int(-(2**63) + share * 2**64))
-        found = [r[0] for r in below.orderBy(place).select("text").limit(size).collect()]
-        if len(found) == size or share >= 1:
-            return found
-        share *= 8
+def _sequences(rows: DataFrame, sign: str, times: Column) -> DataFrame:
+    """(signs, times) of distinct sequences."""
+    return cut_lineage(rows.where(F.length(sign) > 0).groupBy(F.col(sign).alias("signs")).agg(F.sum(times).alias("times")))
+
+
+def _expected(sequences: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected counts over all sequences: 60 numbers of each task go to the driver."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(4 + 16 + 4 * len(SYMBOLS))
+        for batch in batches:
+            for i in range(0, len(batch), SIDE_BY_SIDE):
+                part = batch.iloc[i : i + SIDE_BY_SIDE]
+                total += np.concatenate([c.ravel() for c in posteriors(part["signs"].tolist(), model, times=part["times"].tolist())[:3]])
+        yield pd.DataFrame({"n": [total.tolist()]})
+
+    n = np.sum([r[0] for r in sequences.mapInPandas(run, "n array<double>").collect()], axis=0)
+    return n[:4], n[4:20].reshape(4, 4), n[20:].reshape(4, -1)
+
+
+def _fitted_to(sequences: DataFrame, sold: frozenset[str] | None) -> Model:
+    return Model(sold) if sequences.isEmpty() else maximised(lambda model: _expected(sequences, model), sold)
+
+
+def _read(texts: pd.Series) -> tuple[list[list[str]], list[list[list[str]]]]:
+    pages = [units(plain(t)) for t in texts]
+    return pages, [[words_of(p) for p in page] for page in pages]
+
+
+def _first_signs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    found = Counter()
+    for batch in batches:
+        found.update(symbols(page, None, words) for page, words in zip(*_read(batch["text"])))
+        if len(found) > HELD:
+            yield pd.DataFrame({"signs": list(found), "times": list(found.values())})
+            found = Counter()
+    if found:
+        yield pd.DataFrame({"signs": list(found), "times": list(found.values())})
+
+
+def _selling(rows: DataFrame, first: Model) -> frozenset[str]:
+    """Selling words of all texts."""
+
+    def table(count: Count) -> pd.DataFrame:
+        words: list[str | None] = [None, *(count.other.keys() | count.prose.keys())]
+        return pd.DataFrame({"word": words, "other": [count.all_other, *(count.other[w] for w in words[1:])], "prose": [count.all_prose, *(count.prose[w] for w in words[1:])], "pages": [0, *(count.pages[w] for w in words[1:])]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        count = Count()
+        for batch in batches:
+            pages, words = _read(batch["text"])
+            count.add([symbols(page, None, w) for page, w in zip(pages, words)], words, first)
+            if len(count.prose) > HELD:
+                yield table(count)
+                count = Count()
+        yield table(count)
+
+    found = rows.mapInPandas(run, "word string, other long, prose long, pages long")
+    counts = cut_lineage(found.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("other", "prose", "pages"))))
+    total = counts.where("word is null").first()
+    if total is None:
+        return frozenset()
+    of = counts.where("word is not null and other > 0")
+    return frozenset(r[0] for r in of.where(sells(F.col("other"), F.col("prose"), F.col("pages"), F.lit(total.other), F.lit(total.prose))).select("word").collect())
+
+
+def _weighed_rows(sold: frozenset[str]):
+    """(key, signs, sizes, times): rows with evidence against prose one by one, others as counts of sequences without a key."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            plain_ones, out = Counter(), []
+            for key, page, words in zip(batch["key"], *_read(batch["text"])):
+                signs = symbols(page, sold, words)
+                weights, sizes = weighed(page, signs)
+                if EVIDENCE.isdisjoint(signs):
+                    plain_ones[weights] += 1
+                else:
+                    out.append((key, weights, sizes, 1))
+            out += [(None, signs, None, n) for signs, n in plain_ones.items()]
+            if out:
+                yield pd.DataFrame({name: pd.Series(c, dtype=object) for name, c in zip(("key", "signs", "sizes", "times"), zip(*out))})
+
+    return run
 
 
-def filler(documents: DataFrame, key: str, text: str, least: float = 0.5, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """(key, share) of documents of which more than least of the characters are no prose.
+def filler(documents: DataFrame, key: str, text: str, least: float = 0.5) -> DataFrame:
+    """(key, share) of documents of which more than least (0 at least) of the characters are no prose.
 
     Null, empty and blank texts are none; texts are read whole; repeated rows stay repeated; null keys are passed over. The
-    model is fitted on fit_rows rows at most (see FIT_ROWS), whole texts too, on the driver.
+    model is fitted on all these rows. The texts are read three times: for the first model, for the selling words and for
+    the symbols with these; the models need distinct sequences of symbols only. The driver gets sums and selling words.
     """
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.col("key").isNotNull() & (F.length("text") >= 1))
     kind = dict(rows.dtypes)["key"]
-    model = learned(_sample(rows, documents.count(), fit_rows))
+    rows = spread(rows)
+    first = _fitted_to(_sequences(rows.select("text").mapInPandas(_first_signs, "signs string, times long"), "signs", F.col("times")), None)
+    sold = _selling(rows.select("text"), first)
+    weights = cut_lineage(rows.mapInPandas(_weighed_rows(sold), f"key {kind}, signs string, sizes array<double>, times long"))
+    model = _fitted_to(_sequences(weights, "signs", F.col("times")), sold)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            share = [other_share(t, model) for t in batch["text"]]
+            share = [share_of(signs, sizes, model) for signs, sizes in zip(batch["signs"], batch["sizes"])]
             out = pd.DataFrame({"key": batch["key"], "share": share})
             yield out[out["share"] > least]
 
-    return spread(rows).mapInPandas(run, f"key {kind}, share double").withColumnRenamed("key", key)
+    return weights.where("key is not null").select("key", "signs", "sizes").mapInPandas(run, f"key {kind}, share double").withColumnRenamed("key", key)

@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tarn.llm import leakage, matching, tokenizer
+from tarn.llm import fillers, leakage, matching, tokenizer
 from tarn.llm.canonical import NameList, Trie, all_within, resolve_names
 from tarn.llm.fillers import STATES, SYMBOLS, Model, filler, label, learned, other_share, posteriors, symbols, units
 from tarn.llm.leakage import Patterns, leaks, letters_and_digits
@@ -303,3 +303,19 @@ def test_messages_in_one_task_or_many(spark):
     many, one, each = ({(r.id_a, r.id_b): r.confidence for r in matching.propagated(d, p).collect()} for d, p in ((df, MatchParameters(local_edges=0)), (df, MatchParameters(shared_rounds=3)), (alone, MatchParameters())))
     assert many.keys() == one.keys() and all(abs(many[k] - one[k]) < 2e-3 for k in many)
     assert all(abs(c - many[a // 10, b // 10]) < 2e-3 for (a, b), c in each.items())
+
+
+def test_fillers_are_learned_from_all_rows(spark, monkeypatch):
+    rng = random.Random(8)
+    prose = [(i, "".join(f"{rng.choice('甲乙丙丁戊藍凪楓')}の尾根を{rng.randrange(90)}分歩いて、風が強い。" for _ in range(5))) for i in range(1700)]
+    goods = ["登山靴", "セール", "通販", "格安", "寝袋", "クーポン", "最安値"]
+    spam = [(5000 + i, " | ".join(rng.choice(goods) for _ in range(25))) for i in range(30)] + [(6000, PROSE), (6001, " "), (6002, None)]
+    df = spark.createDataFrame(prose + spam, "doc long, text string").repartition(3)
+    seen = []
+    own = fillers.maximised
+    monkeypatch.setattr(fillers, "maximised", lambda expected, *rest: own(lambda m: seen.append(expected(m)) or seen[-1], *rest))
+    got = {r.doc: r.share for r in filler(df, "doc", "text").collect()}
+    assert round(seen[0][0].sum()) == round(seen[-1][0].sum()) == len(prose) + len(spam) - 2  # one start for each text that isn't blank
+    model = learned([t for _, t in prose + spam if t])
+    want = {k: share for k, t in prose + spam if t and (share := other_share(t, model)) > 0.5}
+    assert got == pytest.approx(want) and set(got) == set(range(5000, 5030))
